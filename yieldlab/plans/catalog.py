@@ -44,3 +44,139 @@ QUERIES: dict[str, Query] = {
     ),
     "top_sensors_per_failure_orders": _orders_rca,
 }
+
+
+# ---- cleaning, sources, time, split -----------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import cleaning as C  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import split as S  # noqa: E402
+from ..operators import timeline as TL  # noqa: E402
+from ..operators.ordering import rolling_stats  # noqa: E402
+from ..sources import tables as TB  # noqa: E402
+from ..sources import text as TX  # noqa: E402
+from . import quality as Q  # noqa: E402
+
+AXIS_END = "2024-01-31 00:00:00"
+
+
+def _clean(s, d):
+    return C.clean_sensors(ad.sensor_long(s, d))
+
+
+def _production_logs(s, d):
+    long_df = ad.sensor_long(s, d)
+    model = C.SensorCleaner().fit(long_df)
+    return TB.production_logs(model.transform(long_df), ad.unit_meta(s, d), model.sensors())
+
+
+def _test_predictions(s, d):
+    split = S.time_split(ad.predictions(s, d), ["Timestamp", "Wafer_ID"])
+    return split.filter(F.col("Split") == S.TEST)
+
+
+def _built_predictions(s, d):
+    test = _test_predictions(s, d)
+    thr = M.best_f1_threshold(test, "Failure_Probability", "Actual_Result").select("threshold")
+    return M.build_predictions(
+        test, thr, label_col="Actual_Result", score_col="Failure_Probability"
+    )
+
+
+def _quality_tables(s, d):
+    meta = ad.unit_meta(s, d).select(F.col("unit_no").alias("Wafer_ID"), "Timestamp", "Label")
+    return {
+        "production_logs": meta,
+        "ml_predictions": ad.predictions(s, d),
+        "root_cause_analysis": ad.rca(s, d),
+    }
+
+
+def _scored_units(s, d):
+    units = S.time_split(ad.unit_meta(s, d), ["Timestamp", "unit_no"])
+    test = units.filter(F.col("Split") == S.TEST).select("unit_no")
+    return ad.sensor_long(s, d).join(test, "unit_no", "left_semi")
+
+
+def _rolling(s, d, col):
+    e = ad.table(s, d, "events").select("event_id", "ts", "value")
+    r = rolling_stats(e, ["ts", "event_id"], "value", 5, "rolling_mean", "rolling_std")
+    return r.select("event_id", F.round(col, 6).alias(col))
+
+
+def _sensor_text(s, d):
+    parsed = TX.parse_sensor_lines(ad.sensor_lines(s, d))
+    return TX.features_to_long(parsed, ["unit_no"])
+
+
+def _label_text(s, d):
+    return TX.parse_label_lines(ad.label_lines(s, d)).select("Wafer_ID", "Label", "Timestamp")
+
+
+def _linear(s, d):
+    clean = _clean(s, d)
+    coef = clean.select("sensor_no").distinct().withColumn(
+        "coef", ((F.col("sensor_no") % 5) - 2) / F.lit(10.0)
+    )
+    out = A.linear_attribution(clean, coef)
+    return out.select("unit_no", "sensor_no", F.round("attribution", 9).alias("attribution"))
+
+
+QUERIES.update(
+    {
+        "sensor_missing_fraction": lambda s, d: C.missing_fraction(ad.sensor_long(s, d)),
+        "drop_high_missing": lambda s, d: C.drop_high_missing(ad.sensor_long(s, d)),
+        "impute_median": lambda s, d: C.impute_median(ad.sensor_long(s, d)),
+        "drop_zero_variance": lambda s, d: C.drop_zero_variance(ad.sensor_long(s, d)),
+        "clean_sensors": _clean,
+        "remaining_missing": lambda s, d: C.remaining_missing(_clean(s, d)),
+        "top_variance_sensors": lambda s, d: C.top_variance_sensors(_clean(s, d)),
+        "control_limits": lambda s, d: V.control_limits(_clean(s, d)),
+        "production_logs": _production_logs,
+        "assign_unit_id": lambda s, d: TL.assign_unit_id(
+            ad.unit_meta(s, d).select("unit_no"), ["unit_no"]
+        ),
+        "fill_timestamps": lambda s, d: TL.fill_timestamps(ad.gapped_times(s, d), ["Wafer_ID"]),
+        "even_time_axis": lambda s, d: TL.even_time_axis(
+            ad.unit_meta(s, d).select("unit_no"), ["unit_no"], AXIS_END
+        ),
+        "time_split": lambda s, d: S.time_split(
+            ad.predictions(s, d), ["Timestamp", "Wafer_ID"]
+        ).select("Wafer_ID", "Split_Index", "Split"),
+        "label_summary": lambda s, d: S.label_summary(ad.predictions(s, d), "Actual_Result"),
+        "class_weight": lambda s, d: S.class_weight(
+            S.time_split(ad.predictions(s, d), ["Timestamp", "Wafer_ID"]).filter(
+                F.col("Split") != S.TEST
+            ),
+            "Actual_Result",
+        ),
+        "pr_curve": lambda s, d: M.pr_curve(
+            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
+        ),
+        "best_f1_threshold": lambda s, d: M.best_f1_threshold(
+            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
+        ),
+        "roc_auc": lambda s, d: M.roc_auc(
+            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
+        ),
+        "build_predictions": _built_predictions,
+        "confusion_matrix": lambda s, d: M.confusion_matrix(_built_predictions(s, d)),
+        "classification_report": lambda s, d: M.classification_report(_built_predictions(s, d)),
+        "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
+        "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),
+        "orphan_rows": lambda s, d: Q.orphan_rows(_quality_tables(s, d)),
+        "select_scored_units": _scored_units,
+        "attach_labels": lambda s, d: ad.sensor_long(s, d).join(
+            ad.unit_meta(s, d), "unit_no", "inner"
+        ),
+        "rolling_mean": lambda s, d: _rolling(s, d, "rolling_mean"),
+        "rolling_std": lambda s, d: _rolling(s, d, "rolling_std"),
+        "load_sensor_text": _sensor_text,
+        "parse_label_lines": _label_text,
+        "linear_attribution": _linear,
+        "global_importance": lambda s, d: A.global_importance(ad.attributions(s, d)),
+        "unit_waterfall": lambda s, d: A.unit_waterfall(ad.attributions(s, d)),
+    }
+)

@@ -149,3 +149,284 @@ ORACLE: dict[str, str] = {
     "top_sensors_per_failure": top3_rca(ATTR, PRED),
     "top_sensors_per_failure_orders": ORDERS_RCA,
 }
+
+
+# ---- cleaning ---------------------------------------------------------------
+
+MEDIANS = """SELECT sensor_no, (MIN(value) + MAX(value)) / CAST(2.0 AS DOUBLE) AS median
+FROM (SELECT sensor_no, value,
+        row_number() OVER (PARTITION BY sensor_no ORDER BY value, unit_no) - 1 AS rn,
+        COUNT(*) OVER (PARTITION BY sensor_no) AS c
+      FROM {src} WHERE value IS NOT NULL) q
+WHERE rn = (c - 1) // 2 OR rn = c // 2
+GROUP BY sensor_no"""
+
+KEPT = """SELECT sensor_no FROM s GROUP BY sensor_no
+HAVING COUNT_IF(value IS NULL) / COUNT(*) <= 0.5"""
+
+CLEAN = with_(
+    """SELECT s.unit_no, s.sensor_no, COALESCE(s.value, med.median) AS value
+FROM s JOIN keep2 USING (sensor_no) LEFT JOIN med USING (sensor_no)""",
+    s=SENSORS,
+    kept=KEPT,
+    ks=f"SELECT * FROM s WHERE sensor_no IN (SELECT sensor_no FROM kept)",
+    med=MEDIANS.format(src="ks"),
+    st="""SELECT sensor_no, COUNT(*) AS nr, COUNT(value) AS n, MIN(value) AS lo, MAX(value) AS hi
+FROM ks GROUP BY sensor_no""",
+    keep2="SELECT sensor_no FROM st WHERE NOT (n >= 1 AND nr >= 2 AND lo = hi)",
+)
+
+SPLIT = """SELECT *, CAST(FLOOR(n * CAST(0.8 AS DOUBLE)) AS BIGINT) AS te,
+  CAST(FLOOR(CAST(FLOOR(n * CAST(0.8 AS DOUBLE)) AS BIGINT) * CAST(0.9 AS DOUBLE)) AS BIGINT) AS fe
+FROM (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS i, COUNT(*) OVER () AS n
+      FROM {src}) q"""
+
+
+def curve(src: str) -> dict:
+    """CTEs of the PR sweep over table ``src`` (Failure_Probability, Actual_Result)."""
+    return dict(
+        g=f"""SELECT Failure_Probability AS threshold, COUNT_IF(Actual_Result = 1) AS pos,
+  COUNT_IF(NOT (Actual_Result = 1)) AS neg FROM {src} GROUP BY 1""",
+        c="""SELECT threshold,
+  SUM(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+  SUM(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+  (SELECT SUM(pos) FROM g) AS P FROM g""",
+        k="""SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+  CASE WHEN tp + fp = 0 THEN CAST(0.0 AS DOUBLE) ELSE tp / (tp + fp) END AS precision,
+  CASE WHEN P = 0 THEN CAST(1.0 AS DOUBLE) ELSE tp / P END AS recall FROM c""",
+        curve="""SELECT *, 2 * precision * recall / (precision + recall + 1e-9) AS f1 FROM k""",
+    )
+
+
+BUILT = dict(
+    p=PRED,
+    sp=SPLIT.format(order="Timestamp, Wafer_ID", src="p"),
+    t="SELECT * FROM sp WHERE i >= te",
+    **curve("t"),
+    b="SELECT threshold FROM curve ORDER BY f1 DESC, threshold LIMIT 1",
+    bp="""SELECT Wafer_ID, Timestamp, Actual_Result,
+  CASE WHEN Failure_Probability >= b.threshold THEN 1 ELSE 0 END AS Predicted_Class,
+  ROUND(Failure_Probability, 6) AS Failure_Probability FROM t, b""",
+)
+
+REPORT_BODY = """SELECT 'Pass' AS label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM f
+UNION ALL SELECT 'Fail', p1, r1, f1, s1 FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL,
+  CASE WHEN tot = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(hits AS DOUBLE) / CAST(tot AS DOUBLE) END, tot FROM f
+UNION ALL SELECT 'macro avg', (p0 + p1) / CAST(2.0 AS DOUBLE), (r0 + r1) / CAST(2.0 AS DOUBLE),
+  (f0 + f1) / CAST(2.0 AS DOUBLE), tot FROM f
+UNION ALL SELECT 'weighted avg',
+  CASE WHEN tot = 0 THEN CAST(0.0 AS DOUBLE) ELSE (p0 * s0 + p1 * s1) / CAST(tot AS DOUBLE) END,
+  CASE WHEN tot = 0 THEN CAST(0.0 AS DOUBLE) ELSE (r0 * s0 + r1 * s1) / CAST(tot AS DOUBLE) END,
+  CASE WHEN tot = 0 THEN CAST(0.0 AS DOUBLE) ELSE (f0 * s0 + f1 * s1) / CAST(tot AS DOUBLE) END,
+  tot FROM f"""
+
+
+def _ratio(num: str, den: str) -> str:
+    return (f"CASE WHEN {den} = 0 THEN CAST(0.0 AS DOUBLE) "
+            f"ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END")
+
+
+REPORT = dict(
+    BUILT,
+    kc="""SELECT COUNT_IF(Actual_Result = 0 AND Predicted_Class = 0) AS n00,
+  COUNT_IF(Actual_Result = 0 AND Predicted_Class = 1) AS n01,
+  COUNT_IF(Actual_Result = 1 AND Predicted_Class = 0) AS n10,
+  COUNT_IF(Actual_Result = 1 AND Predicted_Class = 1) AS n11 FROM bp""",
+    r=f"""SELECT {_ratio('n00', 'n00 + n10')} AS p0, {_ratio('n00', 'n00 + n01')} AS r0,
+  {_ratio('n11', 'n11 + n01')} AS p1, {_ratio('n11', 'n11 + n10')} AS r1,
+  n00 + n01 AS s0, n10 + n11 AS s1, n00 + n11 AS hits FROM kc""",
+    f="""SELECT *,
+  CASE WHEN p0 + r0 = 0 THEN CAST(0.0 AS DOUBLE) ELSE 2.0::DOUBLE * p0 * r0 / (p0 + r0) END AS f0,
+  CASE WHEN p1 + r1 = 0 THEN CAST(0.0 AS DOUBLE) ELSE 2.0::DOUBLE * p1 * r1 / (p1 + r1) END AS f1,
+  s0 + s1 AS tot FROM r""",
+)
+
+QTABLES = dict(
+    pl="SELECT unit_no AS Wafer_ID, Timestamp, Label FROM (" + UNIT_META + ") u",
+    mp=PRED,
+    r=RCA,
+)
+
+ORACLE.update(
+    {
+        "sensor_missing_fraction": with_(
+            """SELECT sensor_no, COUNT(*) AS n_rows, COUNT_IF(value IS NULL) AS n_missing,
+  COUNT_IF(value IS NULL) / COUNT(*) AS missing_fraction FROM s GROUP BY sensor_no""",
+            s=SENSORS,
+        ),
+        "drop_high_missing": with_(
+            "SELECT * FROM s WHERE sensor_no IN (SELECT sensor_no FROM kept)", s=SENSORS, kept=KEPT
+        ),
+        "impute_median": with_(
+            """SELECT s.unit_no, s.sensor_no, COALESCE(s.value, med.median) AS value
+FROM s LEFT JOIN med USING (sensor_no)""",
+            s=SENSORS,
+            med=MEDIANS.format(src="s"),
+        ),
+        "drop_zero_variance": with_(
+            """SELECT * FROM s WHERE sensor_no NOT IN (SELECT sensor_no FROM s GROUP BY sensor_no
+  HAVING COUNT(value) >= 2 AND MIN(value) = MAX(value))""",
+            s=SENSORS,
+        ),
+        "clean_sensors": CLEAN,
+        "remaining_missing": f"SELECT COUNT_IF(value IS NULL) AS remaining_missing FROM ({CLEAN}) c",
+        "top_variance_sensors": f"""SELECT sensor_no, ROUND(var_samp(value), 12) AS variance
+FROM ({CLEAN}) c GROUP BY sensor_no HAVING var_samp(value) IS NOT NULL
+ORDER BY var_samp(value) DESC, sensor_no LIMIT 50""",
+        "control_limits": with_(
+            """SELECT st.sensor_no, st.n_readings, ROUND(m, 9) AS mean, ROUND(sd, 9) AS std,
+  ROUND(m - CAST(3.0 AS DOUBLE) * sd, 9) AS lower_limit,
+  ROUND(m + CAST(3.0 AS DOUBLE) * sd, 9) AS upper_limit,
+  COALESCE(o.n_out, 0) AS n_out_of_limits
+FROM st LEFT JOIN (
+  SELECT c.sensor_no, COUNT_IF(c.value < st.m - CAST(3.0 AS DOUBLE) * st.sd
+                            OR c.value > st.m + CAST(3.0 AS DOUBLE) * st.sd) AS n_out
+  FROM c JOIN st USING (sensor_no) GROUP BY c.sensor_no) o USING (sensor_no)""",
+            c=CLEAN,
+            st="""SELECT sensor_no, COUNT(value) AS n_readings, AVG(value) AS m,
+  STDDEV_SAMP(value) AS sd FROM c GROUP BY sensor_no""",
+        ),
+        "production_logs": f"""PIVOT (
+  SELECT printf('WAFER_%04d', c.unit_no + 1) AS Wafer_ID, m.Timestamp, m.Label,
+         'Sensor_' || CAST(c.sensor_no AS VARCHAR) AS sname, c.value
+  FROM ({CLEAN}) c JOIN ({UNIT_META}) m USING (unit_no)
+) ON sname USING first(value) GROUP BY Wafer_ID, Timestamp, Label""",
+        "assign_unit_id": """SELECT vec_id AS unit_no,
+  printf('WAFER_%04d', row_number() OVER (ORDER BY vec_id)) AS Wafer_ID FROM embeddings""",
+        "fill_timestamps": with_(
+            """SELECT Wafer_ID, COALESCE(
+  LAST_VALUE(Timestamp IGNORE NULLS) OVER (ORDER BY Wafer_ID
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  FIRST_VALUE(Timestamp IGNORE NULLS) OVER (ORDER BY Wafer_ID
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS Timestamp FROM g""",
+            g=f"""SELECT Wafer_ID, CASE WHEN Wafer_ID % 7 < 2 THEN NULL ELSE Timestamp END AS Timestamp
+FROM ({PRED}) p""",
+        ),
+        "even_time_axis": """SELECT vec_id AS unit_no,
+  TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(CAST(
+    (CAST(row_number() OVER (ORDER BY vec_id) - 1 AS HUGEINT) * 2592000000000)
+      // (COUNT(*) OVER () - 1) AS BIGINT)) AS Timestamp
+FROM embeddings""",
+        "time_split": with_(
+            """SELECT Wafer_ID, i AS Split_Index,
+  CASE WHEN i < fe THEN 'train' WHEN i < te THEN 'validation' ELSE 'test' END AS Split FROM sp""",
+            p=PRED,
+            sp=SPLIT.format(order="Timestamp, Wafer_ID", src="p"),
+        ),
+        "label_summary": f"""SELECT COUNT(*) AS n_rows, CAST(SUM(Actual_Result) AS BIGINT) AS n_fail,
+  COUNT_IF(Actual_Result != 1) AS n_pass,
+  ROUND(CAST(100.0 AS DOUBLE) * AVG(CAST(Actual_Result AS DOUBLE)), 4) AS failure_rate_pct,
+  MIN(Timestamp) AS first_time, MAX(Timestamp) AS last_time FROM ({PRED}) p""",
+        "class_weight": with_(
+            """SELECT COUNT_IF(Actual_Result = 0) AS n_neg, COUNT_IF(Actual_Result = 1) AS n_pos,
+  CAST(COUNT_IF(Actual_Result = 0) AS DOUBLE)
+    / CAST(GREATEST(COUNT_IF(Actual_Result = 1), 1) AS DOUBLE) AS scale_pos_weight
+FROM sp WHERE i < te""",
+            p=PRED,
+            sp=SPLIT.format(order="Timestamp, Wafer_ID", src="p"),
+        ),
+        "pr_curve": with_("SELECT * FROM curve", p=PRED, **curve("p")),
+        "best_f1_threshold": with_(
+            "SELECT threshold, precision, recall, f1 FROM curve ORDER BY f1 DESC, threshold LIMIT 1",
+            p=PRED,
+            **curve("p"),
+        ),
+        "roc_auc": with_(
+            """SELECT CAST(P AS BIGINT) AS n_pos, CAST(N AS BIGINT) AS n_neg,
+  CASE WHEN P = 0 OR N = 0 THEN NULL
+       ELSE CAST(U2 AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(P AS DOUBLE) * CAST(N AS DOUBLE))
+  END AS roc_auc FROM t""",
+            p=PRED,
+            g="""SELECT Failure_Probability AS s, COUNT_IF(Actual_Result = 1) AS pos,
+  COUNT_IF(NOT (Actual_Result = 1)) AS neg FROM p GROUP BY 1""",
+            c="""SELECT s, pos, neg, COALESCE(SUM(neg) OVER (ORDER BY s
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM g""",
+            t="SELECT SUM(pos) AS P, SUM(neg) AS N, SUM(pos * (2 * neg_below + neg)) AS U2 FROM c",
+        ),
+        "build_predictions": with_("SELECT * FROM bp", **BUILT),
+        "confusion_matrix": with_(
+            """SELECT a.Actual, q.Predicted, COUNT(bp.Wafer_ID) AS n
+FROM (VALUES (0), (1)) a(Actual) CROSS JOIN (VALUES (0), (1)) q(Predicted)
+LEFT JOIN bp ON bp.Actual_Result = a.Actual AND bp.Predicted_Class = q.Predicted
+GROUP BY a.Actual, q.Predicted""",
+            **BUILT,
+        ),
+        "classification_report": with_(REPORT_BODY, **REPORT),
+        "table_row_counts": with_(
+            """SELECT 'production_logs' AS table_name, COUNT(*) AS n_rows FROM pl
+UNION ALL SELECT 'ml_predictions', COUNT(*) FROM mp
+UNION ALL SELECT 'root_cause_analysis', COUNT(*) FROM r""",
+            **QTABLES,
+        ),
+        "key_violations": with_(
+            """SELECT 'production_logs' AS table_name, 'duplicate_key' AS check_name,
+  COUNT(*) - COUNT(DISTINCT Wafer_ID) AS n_violations FROM pl
+UNION ALL SELECT 'production_logs', 'null_Wafer_ID', COUNT_IF(Wafer_ID IS NULL) FROM pl
+UNION ALL SELECT 'production_logs', 'null_Timestamp', COUNT_IF(Timestamp IS NULL) FROM pl
+UNION ALL SELECT 'production_logs', 'null_Label', COUNT_IF(Label IS NULL) FROM pl
+UNION ALL SELECT 'ml_predictions', 'duplicate_key', COUNT(*) - COUNT(DISTINCT Wafer_ID) FROM mp
+UNION ALL SELECT 'ml_predictions', 'null_Wafer_ID', COUNT_IF(Wafer_ID IS NULL) FROM mp
+UNION ALL SELECT 'root_cause_analysis', 'duplicate_key',
+  COUNT(*) - COUNT(DISTINCT (Wafer_ID, Rank)) FROM r
+UNION ALL SELECT 'root_cause_analysis', 'null_Wafer_ID', COUNT_IF(Wafer_ID IS NULL) FROM r
+UNION ALL SELECT 'root_cause_analysis', 'null_Sensor_Name', COUNT_IF(Sensor_Name IS NULL) FROM r
+UNION ALL SELECT 'root_cause_analysis', 'null_SHAP_Value', COUNT_IF(SHAP_Value IS NULL) FROM r
+UNION ALL SELECT 'root_cause_analysis', 'null_Rank', COUNT_IF(Rank IS NULL) FROM r""",
+            **QTABLES,
+        ),
+        "orphan_rows": with_(
+            """SELECT 'ml_predictions' AS table_name, COUNT(*) AS n_orphans FROM mp
+  WHERE NOT EXISTS (SELECT 1 FROM pl WHERE pl.Wafer_ID = mp.Wafer_ID)
+UNION ALL SELECT 'root_cause_analysis', COUNT(*) FROM r
+  WHERE NOT EXISTS (SELECT 1 FROM pl WHERE pl.Wafer_ID = r.Wafer_ID)""",
+            **QTABLES,
+        ),
+        "select_scored_units": with_(
+            "SELECT * FROM s WHERE unit_no IN (SELECT unit_no FROM sp WHERE i >= te)",
+            s=SENSORS,
+            u=UNIT_META,
+            sp=SPLIT.format(order="Timestamp, unit_no", src="u"),
+        ),
+        "attach_labels": f"""SELECT s.unit_no, s.sensor_no, s.value, m.Timestamp, m.Label
+FROM ({SENSORS}) s JOIN ({UNIT_META}) m ON s.unit_no = m.unit_no""",
+        "rolling_mean": """SELECT event_id, ROUND(AVG(value) OVER w, 6) AS rolling_mean FROM events
+WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+        "rolling_std": """SELECT event_id, ROUND(SQRT(GREATEST(AVG(value * value) OVER w
+  - AVG(value) OVER w * AVG(value) OVER w, CAST(0.0 AS DOUBLE))), 6) AS rolling_std FROM events
+WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+        "load_sensor_text": SENSORS,
+        "parse_label_lines": f"""SELECT Wafer_ID,
+  CASE WHEN Wafer_ID % 11 = 0 THEN 0 ELSE Actual_Result END AS Label,
+  CASE WHEN Wafer_ID % 13 = 0 THEN NULL ELSE date_trunc('second', Timestamp) END AS Timestamp
+FROM ({PRED}) p""",
+        "linear_attribution": with_(
+            """SELECT unit_no, sensor_no,
+  ROUND(((sensor_no % 5) - 2) / CAST(10.0 AS DOUBLE) * (value - mu), 9)
+    + CAST(0.0 AS DOUBLE) AS attribution
+FROM c JOIN m USING (sensor_no)""",
+            c=CLEAN,
+            m="SELECT sensor_no, AVG(value) AS mu FROM c GROUP BY sensor_no",
+        ),
+        "global_importance": with_(
+            """SELECT Sensor_Name, ROUND(SUM(ABS(SHAP_Value)) / CAST(
+  (SELECT COUNT(DISTINCT Wafer_ID) FROM a) AS DOUBLE), 9) AS Mean_Abs_SHAP
+FROM a GROUP BY Sensor_Name
+ORDER BY SUM(ABS(SHAP_Value)) / CAST((SELECT COUNT(DISTINCT Wafer_ID) FROM a) AS DOUBLE) DESC,
+  Sensor_Name LIMIT 20""",
+            a=ATTR,
+        ),
+        "unit_waterfall": with_(
+            """SELECT Wafer_ID, Position, Feature, ROUND(SHAP_Value, 9) AS SHAP_Value,
+  ROUND(CAST(0.0 AS DOUBLE) + SUM(SHAP_Value) OVER (PARTITION BY Wafer_ID ORDER BY Position DESC
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS Cumulative FROM w""",
+            a=ATTR,
+            rk="""SELECT *, row_number() OVER (PARTITION BY Wafer_ID
+  ORDER BY abs(SHAP_Value) DESC, sensor_no, SHAP_Value) AS rk FROM a""",
+            w="""SELECT Wafer_ID, CAST(rk AS INTEGER) AS Position, Sensor_Name AS Feature, SHAP_Value
+FROM rk WHERE rk <= 14
+UNION ALL SELECT Wafer_ID, 15, printf('%d other features', COUNT(*)), SUM(SHAP_Value)
+FROM rk WHERE rk > 14 GROUP BY Wafer_ID""",
+        ),
+    }
+)
