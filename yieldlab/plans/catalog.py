@@ -180,3 +180,25 @@ QUERIES.update(
         "unit_waterfall": lambda s, d: A.unit_waterfall(ad.attributions(s, d)),
     }
 )
+
+
+# ---- model and tree attribution (rows-only checks) ---------------------------
+
+from ..operators import model as MD  # noqa: E402
+from .end_to_end import run_yield_analysis  # noqa: E402
+
+QUICK_GBT = MD.GBTParams(max_iter=100)
+
+
+def _run(s, d):
+    return run_yield_analysis(
+        s, ad.sensor_long(s, d), ad.unit_meta(s, d), gbt_params=QUICK_GBT, register=False
+    )
+
+
+QUERIES.update(
+    {
+        "train_score_gbt": lambda s, d: _run(s, d).predictions,
+        "tree_attribution": lambda s, d: _run(s, d).attributions,
+    }
+)
