@@ -30,8 +30,9 @@ def pr_curve(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     per = scored.groupBy(F.col(score_col).alias("threshold")).agg(
         F.count_if(lab).alias("pos"), F.count_if(~lab | lab.isNull()).alias("neg")
     )
-    n_pos = per.select(F.sum("pos")).scalar()
     cum = running_totals(per, [F.col("threshold").desc()], ["pos", "neg"])
+    # Reads the checkpointed per-score table, not the raw rows again.
+    n_pos = cum.select(F.coalesce(F.sum("pos"), F.lit(0))).scalar()
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     precision = F.when(tp + fp == 0, F.lit(0.0)).otherwise(tp / (tp + fp))
     recall = F.when(n_pos == 0, F.lit(1.0)).otherwise(tp / n_pos)

@@ -205,6 +205,9 @@ def global_rank(
     counts over the distinct values. NULLs sort last for DESC, first for ASC
     (Spark's defaults).
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    # Materialise once: the counts and the join back both read the input.
+    df = df.checkpoint(eager=True)
     v = F.col(value_col)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
