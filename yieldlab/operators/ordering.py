@@ -7,11 +7,13 @@ global RANK. A bare ``Window.orderBy`` would move every row into one task, so
 all of them are built on one primitive:
 
 ``global_index``
-    range-partition on the (total) order, sort inside partitions, write a
-    reliable checkpoint (fixes partition content and order even if executors
-    are lost), count rows per partition (one small row per partition), and
-    add ``offset[partition] + position inside partition``. One shuffle, no
-    join, no Python.
+    range-partition on the (total) order, sort inside partitions, record the
+    range partition and the position inside it as columns, and write the
+    result once as a table in the shared checkpoint folder (this fixes the
+    numbering even if executors are lost later). Rows per partition (one
+    small row each) give the offsets; the index is
+    ``offset[partition] + position``. One shuffle, one write, no join, no
+    Python.
 
 The scans then cut the dense index into contiguous buckets of ``B`` rows and
 use ordinary windows partitioned by bucket; what crosses a bucket edge is
@@ -27,10 +29,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import materialize, shuffle_partitions
 
 IDX = "_idx"
 BUCKET = "_bucket"
+_PART = "_range_part"
+_POS = "_range_pos"
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -49,25 +53,24 @@ def global_index(
     rows with equal keys get an arbitrary but fixed relative order.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n_parts = num_partitions or shuffle_partitions(spark)
     keys = _cols(order)
-    staged = (
+    pid = F.spark_partition_id()
+    ranged = (
         df.repartitionByRange(n_parts, *keys)
         .sortWithinPartitions(*keys)
-        .checkpoint(eager=True)
-    )
-    pid = F.spark_partition_id()
-    counts = dict(
-        (r[0], r[1]) for r in staged.groupBy(pid.alias("p")).count().collect()
+        .withColumn(_PART, pid)
+        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
+    staged = materialize(ranged, "index")
+    counts = dict((r[0], r[1]) for r in staged.groupBy(_PART).count().collect())
     offsets, running = [], 0
     for p in range(max(counts, default=0) + 1):
         offsets.append(running)
         running += counts.get(p, 0)
-    local_pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    return staged.withColumn(idx_col, offset + local_pos), running
+    # A literal array of one offset per range partition (constant-folded).
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
+    return staged.withColumn(idx_col, offset + F.col(_POS)).drop(_PART, _POS), running
 
 
 def bucket_size(spark, n_rows: int, min_size: int = 1) -> int:
@@ -205,9 +208,8 @@ def global_rank(
     counts over the distinct values. NULLs sort last for DESC, first for ASC
     (Spark's defaults).
     """
-    ensure_checkpoint_dir(df.sparkSession)
     # Materialise once: the counts and the join back both read the input.
-    df = df.checkpoint(eager=True)
+    df = materialize(df, "rank")
     v = F.col(value_col)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +81,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     except (TypeError, ValueError):
         return 200
+
+
+def materialize(df, label: str = "table"):
+    """Write ``df`` once as Parquet under the checkpoint folder and read it
+    back: the lineage is cut, the data is computed exactly once (unlike an
+    eager ``Dataset.checkpoint``, which computes it a second time to write),
+    and later reads get column pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"yieldlab-{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
