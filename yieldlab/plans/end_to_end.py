@@ -15,6 +15,7 @@ the leak); row order is (Timestamp, file position).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +44,23 @@ class YieldRun:
     views: list = field(default_factory=list)
 
 
-def units_from_labels(labels: DataFrame) -> DataFrame:
+def units_from_labels(labels: DataFrame, fallback_end: str | None = None) -> DataFrame:
     """``row_idx, Label, Timestamp`` (from ``load_label_text``) -> units with
-    filled times; the unit number is the file position."""
-    from ..operators.timeline import fill_timestamps
-
-    filled = fill_timestamps(labels, ["row_idx"])
-    return filled.select(F.col("row_idx").alias("unit_no"), "Timestamp", "Label")
+    filled times; the unit number is the file position.
+
+    Single unreadable times are filled forward, then backward. When no time
+    is readable at all, the units get an evenly spaced 30-day axis ending at
+    ``fallback_end`` (default: now, cut to the minute), as the reference does.
+    """
+    from ..operators.timeline import even_time_axis, fill_timestamps
+
+    if labels.filter(F.col("Timestamp").isNotNull()).limit(1).count() == 0:
+        if fallback_end is None:
+            fallback_end = datetime.now().replace(second=0, microsecond=0).isoformat(" ")
+        timed = even_time_axis(labels.drop("Timestamp"), ["row_idx"], fallback_end)
+    else:
+        timed = fill_timestamps(labels, ["row_idx"])
+    return timed.select(F.col("row_idx").alias("unit_no"), "Timestamp", "Label")
 
 
 def run_yield_analysis(

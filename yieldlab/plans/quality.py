@@ -74,3 +74,13 @@ def orphan_rows(tables: Mapping[str, DataFrame], foreign: Mapping = FOREIGN_KEYS
             )
         )
     return _union(parts)
+
+
+def smoke_test(spark, view_names: Sequence[str], preview: int = 3) -> DataFrame:
+    """Each registered view answers a ``LIMIT preview`` query; one row per
+    view with its column count and the number of preview rows."""
+    rows = []
+    for name in view_names:
+        df = spark.table(name)
+        rows.append((name, len(df.columns), len(df.limit(preview).collect())))
+    return spark.createDataFrame(rows, "view_name string, n_columns int, preview_rows int")
