@@ -203,25 +203,25 @@ class SensorCleaner:
         self.sensor_col, self.value_col, self.unit_col = sensor_col, value_col, unit_col
 
     def fit(self, long_df: DataFrame) -> CleanerModel:
+        """One aggregation pass gives, per sensor, the missing fraction and
+        the min/max of its readings; both drop rules follow from it (the
+        median lies in [min, max], so constancy after imputation needs no
+        median). Exact medians are then computed only for the survivors."""
         s, v, u = self.sensor_col, self.value_col, self.unit_col
-        kept = drop_high_missing(long_df, self.threshold, s, v)
-        med = exact_medians(kept, s, v, u)
-        stats = kept.groupBy(s).agg(
+        stats = long_df.groupBy(s).agg(
             F.count(F.lit(1)).alias("_rows"),
             F.count(v).alias("_n"),
             F.min(v).alias("_lo"),
             F.max(v).alias("_hi"),
         )
+        sparse = (F.col("_rows") - F.col("_n")) / F.col("_rows") > F.lit(self.threshold)
         # After imputation a sensor with >= 1 reading has _rows values in
         # [_lo, _hi]; it is constant when _rows >= 2 and _lo == _hi.
         # A sensor without readings stays all-NULL and is kept.
         const = (F.col("_n") >= 1) & (F.col("_rows") >= 2) & (F.col("_lo") == F.col("_hi"))
-        params = (
-            stats.filter(~const)
-            .join(med, s, "left")
-            .select(s, "median")
-            .persist()
-        )
+        keep = stats.filter(~sparse & ~const).select(s).persist()
+        med = exact_medians(long_df.join(keep, s, "left_semi"), s, v, u)
+        params = keep.join(med, s, "left").select(s, "median").persist()
         return CleanerModel(params, s, v)
 
 
