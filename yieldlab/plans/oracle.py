@@ -430,3 +430,23 @@ FROM rk WHERE rk > 14 GROUP BY Wafer_ID""",
         ),
     }
 )
+
+
+
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's COUNT_IF is HUGEINT; Spark's is BIGINT. Cast every call."""
+    out, i, key = [], 0, "COUNT_IF("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
+ORACLE = {k: _bigint_counts(v) for k, v in ORACLE.items()}
