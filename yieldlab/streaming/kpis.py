@@ -63,15 +63,21 @@ def stream_events_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def start_to_table(
-    kpis: DataFrame, table: str, checkpoint: str | None = None, available_now: bool = True
+def start_to_path(
+    kpis: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Append final days to a table; the stream's own checkpoint lives in the
-    shared checkpoint folder unless given."""
+    """Append finalised days as Parquet files under ``path``. The stream's
+    own checkpoint lives in the shared checkpoint folder unless given, so a
+    restarted query resumes where it stopped."""
     spark = kpis.sparkSession
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
-    writer = kpis.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = (
+        kpis.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.toTable(table)
+    return writer.start()
