@@ -87,3 +87,14 @@ def test_unit_waterfall_folds_rest(spark):
     assert len(out) == 15 and out[-1].Feature == "6 other features"
     assert abs(out[0].Cumulative - (1.5 + sum(r[3] for r in rows))) < 1e-9
     assert out[0].Feature == "S20"
+
+
+def test_process_stability_monitored_value(spark):
+    p = _pred(spark, [(i, D(2024, 1, 1, i), 0, 0, 0.1 * i) for i in range(3)])
+    logs = p.selectExpr("Wafer_ID", "Timestamp", "Actual_Result AS Label")
+    r = _rca(spark, [(1, D(2024, 1, 1), "S9", 1.0, 1)])
+    readings = spark.createDataFrame([(0, "S9", 4.0), (1, "S9", 5.0), (1, "S1", 9.0)],
+                                     "Wafer_ID long, Sensor_Name string, value double")
+    got = {x.Wafer_ID: x.Monitored_Value
+           for x in V.process_stability(logs, p, r, readings=readings).collect()}
+    assert got == {0: 4.0, 1: 5.0, 2: None}

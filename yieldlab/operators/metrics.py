@@ -182,3 +182,18 @@ def classification_report(
         for a, b, r, g, s in rows
     ]
     return withf.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def balanced_error_rate(
+    pred: DataFrame, actual_col: str = "Actual_Result", predicted_col: str = "Predicted_Class"
+) -> DataFrame:
+    """Mean of the two per-class error rates (the dataset notes' figure of
+    merit): ``(FP / (TN + FP) + FN / (FN + TP)) / 2``; a class without rows
+    contributes an error rate of 0."""
+    c = _counts(pred, actual_col, predicted_col)
+    n00, n01, n10, n11 = (F.col(x) for x in ("n00", "n01", "n10", "n11"))
+    return c.select(
+        ((_ratio(n01, n00 + n01) + _ratio(n10, n10 + n11)) / F.lit(2.0)).alias(
+            "balanced_error_rate"
+        )
+    )

@@ -202,3 +202,17 @@ QUERIES.update(
         "tree_attribution": lambda s, d: _run(s, d).attributions,
     }
 )
+
+
+# ---- feature screening and balanced error rate --------------------------------
+
+from ..operators.screening import sensor_separation  # noqa: E402
+
+QUERIES.update(
+    {
+        "sensor_separation": lambda s, d: sensor_separation(
+            _clean(s, d).join(ad.unit_meta(s, d).select("unit_no", "Label"), "unit_no")
+        ),
+        "balanced_error_rate": lambda s, d: M.balanced_error_rate(_built_predictions(s, d)),
+    }
+)

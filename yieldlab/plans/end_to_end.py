@@ -165,6 +165,8 @@ def run_yield_analysis(
         "n_features": len(names),
         "phase_seconds": phases,
     })
+    data.unpersist()
+    scored.unpersist()
     if register:
         run.views = V.register_views(spark, predictions, rca, plogs, days)
         lap("views")

@@ -433,6 +433,40 @@ FROM rk WHERE rk > 14 GROUP BY Wafer_ID""",
 
 
 
+ORACLE.update(
+    {
+        "sensor_separation": with_(
+            """SELECT sensor_no, n_pass, n_fail,
+  ROUND((m1 - m0) / (SQRT(v0) + SQRT(v1)), 9) AS s2n,
+  ROUND((m1 - m0) / SQRT(v0 / n_pass + v1 / n_fail), 9) AS welch_t,
+  ROUND(r, 9) AS pearson_r,
+  ROUND((n_pass * (m0 - g) * (m0 - g) + n_fail * (m1 - g) * (m1 - g))
+        / (((n_pass - 1.0) * v0 + (n_fail - 1.0) * v1) / (n_pass + n_fail - 2.0)), 9) AS f_stat
+FROM (SELECT *, (n_pass * m0 + n_fail * m1) / (n_pass + n_fail) AS g FROM a) q""",
+            c=CLEAN,
+            j=f"SELECT c.*, m.Label FROM c JOIN ({UNIT_META}) m USING (unit_no)",
+            a="""SELECT sensor_no,
+  COUNT(value) FILTER (WHERE Label = 0) AS n_pass,
+  COUNT(value) FILTER (WHERE Label = 1) AS n_fail,
+  AVG(value) FILTER (WHERE Label = 0) AS m0,
+  AVG(value) FILTER (WHERE Label = 1) AS m1,
+  VAR_SAMP(value) FILTER (WHERE Label = 0) AS v0,
+  VAR_SAMP(value) FILTER (WHERE Label = 1) AS v1,
+  CORR(value, CAST(Label AS DOUBLE)) AS r
+FROM j WHERE value IS NOT NULL GROUP BY sensor_no""",
+        ),
+        "balanced_error_rate": with_(
+            """SELECT (CASE WHEN n00 + n01 = 0 THEN CAST(0.0 AS DOUBLE)
+                 ELSE CAST(n01 AS DOUBLE) / CAST(n00 + n01 AS DOUBLE) END
+          + CASE WHEN n10 + n11 = 0 THEN CAST(0.0 AS DOUBLE)
+                 ELSE CAST(n10 AS DOUBLE) / CAST(n10 + n11 AS DOUBLE) END)
+         / CAST(2.0 AS DOUBLE) AS balanced_error_rate FROM kc""",
+            **REPORT,
+        ),
+    }
+)
+
+
 def _bigint_counts(sql: str) -> str:
     """DuckDB's COUNT_IF is HUGEINT; Spark's is BIGINT. Cast every call."""
     out, i, key = [], 0, "COUNT_IF("

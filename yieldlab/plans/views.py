@@ -106,12 +106,16 @@ def process_stability(
     predictions: DataFrame,
     rca: DataFrame,
     rows: int = 5,
+    readings: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling ``rows``-wafer mean and population std of the failure
     probability in time order (ties by Wafer_ID), with the monitored sensor.
 
     The reference cross-joins with a one-row relation; here the sensor is a
     scalar subquery and an empty rca table gives zero rows, as there.
+    With ``readings`` (``Wafer_ID, Sensor_Name, value`` in long form) the
+    view also carries the monitored sensor's own reading as
+    ``Monitored_Value`` (the reference leaves a placeholder there).
     """
     monitored = top_sensor(rca).select("Sensor_Name").scalar()
     joined = (
@@ -134,7 +138,7 @@ def process_stability(
         mean_col="_m",
         std_col="_s",
     )
-    return rolled.select(
+    out = rolled.select(
         "Wafer_ID",
         "Timestamp",
         F.to_date("Timestamp").alias("Production_Date"),
@@ -145,6 +149,14 @@ def process_stability(
         F.round("_m", 4).alias("Rolling5_Avg_Fail_Prob"),
         F.round("_s", 6).alias("Rolling5_StdDev_Fail_Prob"),
     )
+    if readings is None:
+        return out
+    r = readings.select(
+        "Wafer_ID",
+        F.col("Sensor_Name").alias("Monitored_Sensor"),
+        F.col("value").alias("Monitored_Value"),
+    )
+    return out.join(r, ["Wafer_ID", "Monitored_Sensor"], "left")
 
 
 def failure_detail(predictions: DataFrame, rca: DataFrame) -> DataFrame:
