@@ -69,3 +69,22 @@ def test_top_variance(spark):
     df = _long(spark, {1: [0.0, 10.0], 2: [0.0, 1.0], 3: [5.0, 5.0]})
     got = [r.sensor_no for r in C.top_variance_sensors(df, n=2).collect()]
     assert got == [1, 2]
+
+
+def test_bracket_medians_exact_with_ties_and_misses(spark):
+    import random
+
+    rnd = random.Random(9)
+    cols = {
+        1: [float(rnd.randint(0, 1000)) for _ in range(401)],      # odd count
+        2: [float(rnd.randint(0, 5)) for _ in range(300)],         # heavy ties
+        3: [7.0] * 50 + [float(i) for i in range(51)],             # ties at the middle
+        4: [float(i) for i in range(2)],                           # tiny
+        5: [rnd.gauss(0, 1) for _ in range(256)],                  # even count
+    }
+    df = _long(spark, cols)
+    for acc, margin in ((10000, None), (20, 0.0), (5, 0.3)):   # margin 0 forces misses
+        got = {r.sensor_no: r.median for r in
+               C.exact_medians(df, accuracy=acc, margin=margin).collect()}
+        for s, vals in cols.items():
+            assert got[s] == float(np.median(vals)), (acc, margin, s)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import sanitize_columns
+from ..session import materialize
 from .ordering import IDX, global_index
 
 SENSOR = "sensor_no"
@@ -86,20 +87,10 @@ def drop_high_missing(
     return long_df.join(keep.select(sensor_col), sensor_col, "left_semi")
 
 
-def exact_medians(
-    long_df: DataFrame,
-    sensor_col: str = SENSOR,
-    value_col: str = VALUE,
-    unit_col: str = UNIT,
-) -> DataFrame:
-    """Exact median per sensor without holding a sensor's values in one task.
-
-    All non-NULL readings get a dense position in (sensor, value, unit)
-    order (range partitioned, so a sensor with a third of all rows is spread
-    over many tasks); the one or two middle positions of each sensor are
-    picked with a join on the position and averaged.
-    """
-    vals = long_df.filter(F.col(value_col).isNotNull()).select(sensor_col, value_col, unit_col)
+def _medians_by_sort(vals: DataFrame, sensor_col: str, value_col: str, unit_col: str):
+    """All readings get a dense position in (sensor, value, unit) order
+    (range partitioned, so even a sensor with a third of all rows is spread
+    over many tasks); the one or two middle positions are joined back."""
     indexed, _ = global_index(vals, [sensor_col, value_col, unit_col])
     bounds = indexed.groupBy(sensor_col).agg(
         F.min(IDX).alias("_start"), F.count(F.lit(1)).alias("_c")
@@ -113,6 +104,106 @@ def exact_medians(
     )
 
 
+def exact_medians(
+    long_df: DataFrame,
+    sensor_col: str = SENSOR,
+    value_col: str = VALUE,
+    unit_col: str = UNIT,
+    method: str = "bracket",
+    accuracy: int = 10000,
+    margin: float | None = None,
+) -> DataFrame:
+    """Exact median per sensor (mean of the two middle readings for an even
+    count) without sorting a whole sensor, or the whole table, in one place.
+
+    ``method="sort"`` ranks every reading (one range shuffle of all data).
+    ``method="bracket"`` (default) sorts only a thin slice:
+
+    1. one aggregation pass: count and approximate quantiles ``0.5 -+ d``
+       per sensor (``percentile_approx``, bounded buffers) -> ``[lo, hi]``;
+    2. one counting pass: exact numbers of readings ``< lo``, ``= lo``,
+       ``<= hi`` and ``= hi``, which fix the exact rank of every reading
+       equal to ``lo`` or ``hi`` (ties cost nothing);
+    3. only readings strictly between ``lo`` and ``hi`` (about ``2d`` of the
+       data) are ranked, and the middle ranks are read off.
+
+    A sensor whose bracket does not contain both middle ranks (the
+    approximation missed) is handled by the sort method, so the result is
+    always exact.
+    """
+    s, v, u = sensor_col, value_col, unit_col
+    vals = long_df.filter(F.col(v).isNotNull()).select(s, v, u)
+    if method == "sort":
+        return _medians_by_sort(vals, s, v, u)
+    d = margin if margin is not None else 10.0 / accuracy
+    qs = [max(0.0, 0.5 - d), min(1.0, 0.5 + d)]
+    # one row per sensor, written once so the later passes do not redo it
+    br = materialize(
+        vals.groupBy(s)
+        .agg(F.count(F.lit(1)).alias("_c"), F.percentile_approx(v, qs, accuracy).alias("_q"))
+        .select(s, "_c", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")),
+        "median-bracket",
+    )
+    tagged = vals.join(br.select(s, "_lo", "_hi"), s)
+    x, lo_v, hi_v = F.col(v), F.col("_lo"), F.col("_hi")
+    counts = tagged.groupBy(s).agg(
+        F.count_if(x < lo_v).alias("_below"),
+        F.count_if(x == lo_v).alias("_eq_lo"),
+        F.count_if(x <= hi_v).alias("_upto"),
+        F.count_if(x == hi_v).alias("_eq_hi"),
+    )
+    r_lo = F.floor((F.col("_c") - 1) / 2).cast("long")
+    r_hi = F.ceil((F.col("_c") - 1) / 2).cast("long")
+    plan = materialize(
+        br.join(counts, s).select(
+            s, "_lo", "_hi", "_below", "_eq_lo", "_upto", "_eq_hi",
+            r_lo.alias("_r_lo"), r_hi.alias("_r_hi"),
+        ).withColumn(
+            "_ok", (F.col("_below") <= F.col("_r_lo")) & (F.col("_upto") > F.col("_r_hi"))
+        ),
+        "median-plan",
+    )
+    ok = plan.filter("_ok")
+    # rank r -> value: lo below below+eq_lo, hi from upto-eq_hi, else inside
+    first_inside = F.col("_below") + F.col("_eq_lo")
+    last_inside = F.col("_upto") - F.col("_eq_hi")
+
+    def at_rank(r):
+        return (
+            F.when(r < first_inside, F.col("_lo"))
+            .when(r >= last_inside, F.col("_hi"))
+        )
+
+    inside = (
+        tagged.filter((x > lo_v) & (x < hi_v))
+        .join(ok.select(s), s, "left_semi")
+        .select(s, v, u)
+    )
+    indexed, _ = global_index(inside, [s, v, u])
+    starts = indexed.groupBy(s).agg(F.min(IDX).alias("_start"))
+    wanted = ok.join(starts, s, "left").select(
+        s,
+        F.explode(F.array_distinct(F.array(
+            F.col("_start") + F.col("_r_lo") - first_inside,
+            F.col("_start") + F.col("_r_hi") - first_inside,
+        ))).alias(IDX),
+    )
+    picked = indexed.join(wanted, [s, IDX], "inner").groupBy(s).agg(
+        F.min(v).alias("_in_lo"), F.max(v).alias("_in_hi")
+    )
+    resolved = ok.join(picked, s, "left").select(
+        s,
+        (
+            (F.coalesce(at_rank(F.col("_r_lo")), F.col("_in_lo"))
+             + F.coalesce(at_rank(F.col("_r_hi")), F.col("_in_hi")))
+            / F.lit(2.0)
+        ).alias("median"),
+    )
+    missed = plan.filter(~F.col("_ok")).select(s)
+    rest = _medians_by_sort(vals.join(missed, s, "left_semi"), s, v, u)
+    return resolved.unionByName(rest)
+
+
 def impute_median(
     long_df: DataFrame,
     medians: DataFrame | None = None,
