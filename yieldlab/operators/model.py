@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 @dataclass
 class GBTParams:
@@ -39,6 +41,8 @@ class GBTParams:
     seed: int = 42
     early_stopping: str = "spark"  # "spark" (built-in) or "patience"
     patience: int = 30
+    cache_node_ids: bool = True  # node ids cached and checkpointed every 10 rounds
+    checkpoint_interval: int = 10
 
 
 @dataclass
@@ -87,6 +91,8 @@ def train_gbt(
     driver.
     """
     p = params or GBTParams()
+    if p.cache_node_ids:
+        ensure_checkpoint_dir(train.sparkSession)  # the node-id cache checkpoints there
     if p.early_stopping == "patience" and validation_col and validation_col in train.columns:
         return _train_with_patience(train, feature_cols, label_col, weight_col, validation_col, p)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
@@ -103,6 +109,8 @@ def train_gbt(
         maxBins=p.max_bins,
         lossType="logistic",
         seed=p.seed,
+        cacheNodeIds=p.cache_node_ids,
+        checkpointInterval=p.checkpoint_interval,
     )
     if weight_col:
         gbt.setWeightCol(weight_col)
