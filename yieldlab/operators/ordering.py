@@ -73,6 +73,15 @@ def global_index(
     return staged.withColumn(idx_col, offset + F.col(_POS)).drop(_PART, _POS), running
 
 
+SINGLE_TASK_ROWS = 1_000_000
+
+
+def single_task_rows(spark) -> int:
+    """Row count up to which a table whose size was just checked may be
+    ordered in one task (``yieldlab.singleTaskRows``, default 1,000,000)."""
+    return int(spark.conf.get("yieldlab.singleTaskRows", str(SINGLE_TASK_ROWS)))
+
+
 def bucket_size(spark, n_rows: int, min_size: int = 1) -> int:
     """Rows per bucket so that there are about ``shuffle.partitions`` buckets."""
     return max(min_size, math.ceil(max(n_rows, 1) / shuffle_partitions(spark)))
@@ -208,10 +217,14 @@ def global_rank(
     counts over the distinct values. NULLs sort last for DESC, first for ASC
     (Spark's defaults).
     """
-    # Materialise once: the counts and the join back both read the input.
+    # Materialise once: the counts and the join back both read the input,
+    # and the written table gives an exact row count.
     df = materialize(df, "rank")
     v = F.col(value_col)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
+    if df.count() <= single_task_rows(df.sparkSession):
+        # Proven small (typically one row per sensor): one task ranks it.
+        return df.withColumn(rank_col, F.rank().over(Window.orderBy(key)).cast("long"))
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(counts, [key], ["_n"]).select(
         F.col(value_col).alias("_v"), (F.col("_n_cum") - F.col("_n") + 1).alias(rank_col)
