@@ -39,7 +39,7 @@ def test_load_label_text_fills_gaps(spark, tmp_path):
 
 def test_sensor_text_whitespace_and_nan(spark, tmp_path):
     p = tmp_path / "sensors.data"
-    p.write_text("1.5 NaN 3\n  4 5.25\tnan  \nNA 7 8e-1\n")
+    p.write_text("1.5 NaN 3\n\t 4 5.25\tnan  \nNA 7 8e-1\n\t\n")
     got = TX.load_sensor_text(spark, str(p), long=False).orderBy("row_idx").collect()
     assert [r.features for r in got] == [[1.5, None, 3.0], [4.0, 5.25, None], [None, 7.0, 0.8]]
     long_df = TX.load_sensor_text(spark, str(p))

@@ -22,6 +22,7 @@ def _rca(spark, rows):
 def test_yield_kpis_day_without_predicted_fail(spark):
     p = _pred(spark, [(1, D(2024, 1, 1, 1), 1, 0, 0.2), (2, D(2024, 1, 1, 2), 0, 0, 0.1),
                       (3, D(2024, 1, 2, 1), 0, 1, 0.8), (3, D(2024, 1, 2, 2), 1, 1, 0.6)])
+    assert V.yield_kpis(p).columns == V.YIELD_KPI_COLUMNS
     got = {r.Production_Date: r for r in V.yield_kpis(p).collect()}
     d1, d2 = got[dt.date(2024, 1, 1)], got[dt.date(2024, 1, 2)]
     assert d1.Avg_Failure_Probability is None and d1.Actual_Defect_Rate_Pct == 50.0

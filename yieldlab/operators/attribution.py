@@ -13,17 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-RCA_SCHEMA = T.StructType(
-    [
-        T.StructField("Wafer_ID", T.StringType()),
-        T.StructField("Timestamp", T.TimestampNTZType()),
-        T.StructField("Sensor_Name", T.StringType()),
-        T.StructField("SHAP_Value", T.DoubleType()),
-        T.StructField("Rank", T.IntegerType()),
-    ]
-)
 
 
 def top_n_per_unit(

@@ -1,5 +1,7 @@
 """Query catalog: one callable ``(spark, sf_dir) -> DataFrame`` per operator
-of the survey's inventory, run over whole test tables through the adapters.
+of the survey's inventory (section 2), each run over whole test tables
+through the adapters of ``adapters.py``. ``oracle.py`` holds the matching
+DuckDB SQL; the two model keys have no SQL twin (rows-only check).
 """
 
 from __future__ import annotations
@@ -7,59 +9,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import attribution as A
+from ..operators import cleaning as C
+from ..operators import metrics as M
+from ..operators import model as MD
+from ..operators import split as S
+from ..operators import timeline as TL
+from ..operators.ordering import rolling_stats
+from ..operators.screening import sensor_separation
+from ..sources import tables as TB
+from ..sources import text as TX
 from . import adapters as ad
+from . import quality as Q
 from . import views as V
+from .end_to_end import run_yield_analysis
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+AXIS_END = "2024-01-31 00:00:00"
+QUICK_GBT = MD.GBTParams(max_iter=100)
 
-def _orders_rca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.top_sensors_per_failure(
-        ad.lineitem_attributions(spark, sf_dir), ad.orders_predictions(spark, sf_dir)
-    )
-
-
-QUERIES: dict[str, Query] = {
-    # views
-    "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
-    "yield_kpis_orders": lambda s, d: V.yield_kpis(ad.orders_predictions(s, d)),
-    "high_risk_sensors": lambda s, d: V.high_risk_sensors(ad.rca(s, d)),
-    "high_risk_sensors_orders": lambda s, d: V.high_risk_sensors(_orders_rca(s, d)),
-    "process_stability": lambda s, d: V.process_stability(
-        ad.production_logs_events(s, d), ad.predictions(s, d), ad.rca(s, d)
-    ),
-    "process_stability_orders": lambda s, d: V.process_stability(
-        ad.orders_production_logs(s, d), ad.orders_predictions(s, d), _orders_rca(s, d)
-    ),
-    "failure_detail": lambda s, d: V.failure_detail(ad.predictions(s, d), ad.rca(s, d)),
-    "failure_detail_orders": lambda s, d: V.failure_detail(
-        ad.orders_predictions(s, d), _orders_rca(s, d)
-    ),
-    "top_sensor": lambda s, d: V.top_sensor(ad.rca(s, d)),
-    "recurring_sensors": lambda s, d: A.recurring_sensors(ad.rca(s, d)),
-    "top_sensors_per_failure": lambda s, d: A.top_sensors_per_failure(
-        ad.attributions(s, d), ad.predictions(s, d)
-    ),
-    "top_sensors_per_failure_orders": _orders_rca,
-}
-
-
-# ---- cleaning, sources, time, split -----------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
+# ---- shared building blocks ---------------------------------------------------
 
-from ..operators import cleaning as C  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..operators import split as S  # noqa: E402
-from ..operators import timeline as TL  # noqa: E402
-from ..operators.ordering import rolling_stats  # noqa: E402
-from ..sources import tables as TB  # noqa: E402
-from ..sources import text as TX  # noqa: E402
-from . import quality as Q  # noqa: E402
 
-AXIS_END = "2024-01-31 00:00:00"
+def _orders_rca(s, d):
+    return A.top_sensors_per_failure(
+        ad.lineitem_attributions(s, d), ad.orders_predictions(s, d)
+    )
 
 
 def _clean(s, d):
@@ -72,13 +51,13 @@ def _production_logs(s, d):
     return TB.production_logs(model.transform(long_df), ad.unit_meta(s, d), model.sensors())
 
 
-def _test_predictions(s, d):
-    split = S.time_split(ad.predictions(s, d), ["Timestamp", "Wafer_ID"])
-    return split.filter(F.col("Split") == S.TEST)
+def _split_predictions(s, d):
+    return S.time_split(ad.predictions(s, d), ["Timestamp", "Wafer_ID"])
 
 
 def _built_predictions(s, d):
-    test = _test_predictions(s, d)
+    """Reference mode: tune the threshold on the test rows, apply it there."""
+    test = _split_predictions(s, d).filter(F.col("Split") == S.TEST)
     thr = M.best_f1_threshold(test, "Failure_Probability", "Actual_Result").select("threshold")
     return M.build_predictions(
         test, thr, label_col="Actual_Result", score_col="Failure_Probability"
@@ -124,95 +103,89 @@ def _linear(s, d):
     return out.select("unit_no", "sensor_no", F.round("attribution", 9).alias("attribution"))
 
 
-QUERIES.update(
-    {
-        "sensor_missing_fraction": lambda s, d: C.missing_fraction(ad.sensor_long(s, d)),
-        "drop_high_missing": lambda s, d: C.drop_high_missing(ad.sensor_long(s, d)),
-        "impute_median": lambda s, d: C.impute_median(ad.sensor_long(s, d)),
-        "drop_zero_variance": lambda s, d: C.drop_zero_variance(ad.sensor_long(s, d)),
-        "clean_sensors": _clean,
-        "remaining_missing": lambda s, d: C.remaining_missing(_clean(s, d)),
-        "top_variance_sensors": lambda s, d: C.top_variance_sensors(_clean(s, d)),
-        "control_limits": lambda s, d: V.control_limits(_clean(s, d)),
-        "production_logs": _production_logs,
-        "assign_unit_id": lambda s, d: TL.assign_unit_id(
-            ad.unit_meta(s, d).select("unit_no"), ["unit_no"]
-        ),
-        "fill_timestamps": lambda s, d: TL.fill_timestamps(ad.gapped_times(s, d), ["Wafer_ID"]),
-        "even_time_axis": lambda s, d: TL.even_time_axis(
-            ad.unit_meta(s, d).select("unit_no"), ["unit_no"], AXIS_END
-        ),
-        "time_split": lambda s, d: S.time_split(
-            ad.predictions(s, d), ["Timestamp", "Wafer_ID"]
-        ).select("Wafer_ID", "Split_Index", "Split"),
-        "label_summary": lambda s, d: S.label_summary(ad.predictions(s, d), "Actual_Result"),
-        "class_weight": lambda s, d: S.class_weight(
-            S.time_split(ad.predictions(s, d), ["Timestamp", "Wafer_ID"]).filter(
-                F.col("Split") != S.TEST
-            ),
-            "Actual_Result",
-        ),
-        "pr_curve": lambda s, d: M.pr_curve(
-            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
-        ),
-        "best_f1_threshold": lambda s, d: M.best_f1_threshold(
-            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
-        ),
-        "roc_auc": lambda s, d: M.roc_auc(
-            ad.predictions(s, d), "Failure_Probability", "Actual_Result"
-        ),
-        "build_predictions": _built_predictions,
-        "confusion_matrix": lambda s, d: M.confusion_matrix(_built_predictions(s, d)),
-        "classification_report": lambda s, d: M.classification_report(_built_predictions(s, d)),
-        "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
-        "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),
-        "orphan_rows": lambda s, d: Q.orphan_rows(_quality_tables(s, d)),
-        "select_scored_units": _scored_units,
-        "attach_labels": lambda s, d: ad.sensor_long(s, d).join(
-            ad.unit_meta(s, d), "unit_no", "inner"
-        ),
-        "rolling_mean": lambda s, d: _rolling(s, d, "rolling_mean"),
-        "rolling_std": lambda s, d: _rolling(s, d, "rolling_std"),
-        "load_sensor_text": _sensor_text,
-        "parse_label_lines": _label_text,
-        "linear_attribution": _linear,
-        "global_importance": lambda s, d: A.global_importance(ad.attributions(s, d)),
-        "unit_waterfall": lambda s, d: A.unit_waterfall(ad.attributions(s, d)),
-    }
-)
-
-
-# ---- model and tree attribution (rows-only checks) ---------------------------
-
-from ..operators import model as MD  # noqa: E402
-from .end_to_end import run_yield_analysis  # noqa: E402
-
-QUICK_GBT = MD.GBTParams(max_iter=100)
-
-
 def _run(s, d):
     return run_yield_analysis(
         s, ad.sensor_long(s, d), ad.unit_meta(s, d), gbt_params=QUICK_GBT, register=False
     )
 
 
-QUERIES.update(
-    {
-        "train_score_gbt": lambda s, d: _run(s, d).predictions,
-        "tree_attribution": lambda s, d: _run(s, d).attributions,
-    }
-)
-
-
-# ---- feature screening and balanced error rate --------------------------------
-
-from ..operators.screening import sensor_separation  # noqa: E402
-
-QUERIES.update(
-    {
-        "sensor_separation": lambda s, d: sensor_separation(
-            _clean(s, d).join(ad.unit_meta(s, d).select("unit_no", "Label"), "unit_no")
-        ),
-        "balanced_error_rate": lambda s, d: M.balanced_error_rate(_built_predictions(s, d)),
-    }
-)
+QUERIES: dict[str, Query] = {
+    # 2.10 views and 2.4 aggregations
+    "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
+    "yield_kpis_orders": lambda s, d: V.yield_kpis(ad.orders_predictions(s, d)),
+    "high_risk_sensors": lambda s, d: V.high_risk_sensors(ad.rca(s, d)),
+    "high_risk_sensors_orders": lambda s, d: V.high_risk_sensors(_orders_rca(s, d)),
+    "process_stability": lambda s, d: V.process_stability(
+        ad.production_logs_events(s, d), ad.predictions(s, d), ad.rca(s, d)
+    ),
+    "process_stability_orders": lambda s, d: V.process_stability(
+        ad.orders_production_logs(s, d), ad.orders_predictions(s, d), _orders_rca(s, d)
+    ),
+    "failure_detail": lambda s, d: V.failure_detail(ad.predictions(s, d), ad.rca(s, d)),
+    "failure_detail_orders": lambda s, d: V.failure_detail(
+        ad.orders_predictions(s, d), _orders_rca(s, d)
+    ),
+    "control_limits": lambda s, d: V.control_limits(_clean(s, d)),
+    "top_sensor": lambda s, d: V.top_sensor(ad.rca(s, d)),
+    "recurring_sensors": lambda s, d: A.recurring_sensors(ad.rca(s, d)),
+    "label_summary": lambda s, d: S.label_summary(ad.predictions(s, d), "Actual_Result"),
+    "class_weight": lambda s, d: S.class_weight(
+        _split_predictions(s, d).filter(F.col("Split") != S.TEST), "Actual_Result"
+    ),
+    # 2.8 attribution
+    "top_sensors_per_failure": lambda s, d: A.top_sensors_per_failure(
+        ad.attributions(s, d), ad.predictions(s, d)
+    ),
+    "top_sensors_per_failure_orders": _orders_rca,
+    "linear_attribution": _linear,
+    "global_importance": lambda s, d: A.global_importance(ad.attributions(s, d)),
+    "unit_waterfall": lambda s, d: A.unit_waterfall(ad.attributions(s, d)),
+    # 2.2 cleaning
+    "sensor_missing_fraction": lambda s, d: C.missing_fraction(ad.sensor_long(s, d)),
+    "drop_high_missing": lambda s, d: C.drop_high_missing(ad.sensor_long(s, d)),
+    "impute_median": lambda s, d: C.impute_median(ad.sensor_long(s, d)),
+    "drop_zero_variance": lambda s, d: C.drop_zero_variance(ad.sensor_long(s, d)),
+    "clean_sensors": _clean,
+    "remaining_missing": lambda s, d: C.remaining_missing(_clean(s, d)),
+    "top_variance_sensors": lambda s, d: C.top_variance_sensors(_clean(s, d)),
+    "assign_unit_id": lambda s, d: TL.assign_unit_id(
+        ad.unit_meta(s, d).select("unit_no"), ["unit_no"]
+    ),
+    "fill_timestamps": lambda s, d: TL.fill_timestamps(ad.gapped_times(s, d), ["Wafer_ID"]),
+    "even_time_axis": lambda s, d: TL.even_time_axis(
+        ad.unit_meta(s, d).select("unit_no"), ["unit_no"], AXIS_END
+    ),
+    "select_scored_units": _scored_units,
+    # 2.1 sources and sinks, 2.3 joins
+    "load_sensor_text": _sensor_text,
+    "parse_label_lines": _label_text,
+    "production_logs": _production_logs,
+    "attach_labels": lambda s, d: ad.sensor_long(s, d).join(
+        ad.unit_meta(s, d), "unit_no", "inner"
+    ),
+    # 2.5 windows
+    "rolling_mean": lambda s, d: _rolling(s, d, "rolling_mean"),
+    "rolling_std": lambda s, d: _rolling(s, d, "rolling_std"),
+    # 2.7 modelling and evaluation
+    "time_split": lambda s, d: _split_predictions(s, d).select("Wafer_ID", "Split_Index", "Split"),
+    "pr_curve": lambda s, d: M.pr_curve(
+        ad.predictions(s, d), "Failure_Probability", "Actual_Result"
+    ),
+    "best_f1_threshold": lambda s, d: M.best_f1_threshold(
+        ad.predictions(s, d), "Failure_Probability", "Actual_Result"
+    ),
+    "roc_auc": lambda s, d: M.roc_auc(ad.predictions(s, d), "Failure_Probability", "Actual_Result"),
+    "build_predictions": _built_predictions,
+    "confusion_matrix": lambda s, d: M.confusion_matrix(_built_predictions(s, d)),
+    "classification_report": lambda s, d: M.classification_report(_built_predictions(s, d)),
+    "balanced_error_rate": lambda s, d: M.balanced_error_rate(_built_predictions(s, d)),
+    "sensor_separation": lambda s, d: sensor_separation(
+        _clean(s, d).join(ad.unit_meta(s, d).select("unit_no", "Label"), "unit_no")
+    ),
+    "train_score_gbt": lambda s, d: _run(s, d).predictions,
+    "tree_attribution": lambda s, d: _run(s, d).attributions,
+    # 2.11 data quality
+    "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
+    "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),
+    "orphan_rows": lambda s, d: Q.orphan_rows(_quality_tables(s, d)),
+}

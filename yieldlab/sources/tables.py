@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import sanitize_columns, sensor_name, unit_id_from_index
+from ..functions.columns import sanitize_columns, unit_id_from_index
 from ..operators.cleaning import to_wide
 
 DATE_PART = "Production_Date"
@@ -62,7 +62,3 @@ def production_logs(
     logs = units.join(wide, unit_col, "inner")
     cols = ["Wafer_ID", "Timestamp", "Label"] + sanitize_columns(names)
     return logs.withColumn("Wafer_ID", unit_id_from_index(F.col(unit_col))).select(*cols)
-
-
-def long_with_names(long_df: DataFrame, sensor_col: str = "sensor_no") -> DataFrame:
-    return long_df.withColumn("Sensor_Name", sensor_name(F.col(sensor_col)))

@@ -21,6 +21,12 @@ from ..operators.ordering import IDX, global_index
 WHITESPACE = r"\s+"
 
 
+def _strip(c: Column) -> Column:
+    """Remove leading/trailing whitespace of any kind (``trim`` only removes
+    spaces, so a leading tab would create an empty first token)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def resolve_path(spark: SparkSession, *candidates: str) -> str:
     """First candidate that exists (checked through the data source, so it
     works for any file system the session can read); else the first one."""
@@ -42,7 +48,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], row_col: str = "r
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_m"),
     )
-    raw = raw.filter(F.length(F.trim("value")) > 0)
+    raw = raw.filter(F.length(_strip(F.col("value"))) > 0)
     indexed, _ = global_index(raw, ["_f", "_b", "_m"])
     return indexed.select(F.col(IDX).alias(row_col), "value")
 
@@ -52,7 +58,7 @@ def parse_sensor_lines(
 ) -> DataFrame:
     """Add ``features ARRAY<DOUBLE>``: tokens split on ``delimiter``; NaN,
     NA, empty and unreadable tokens become NULL."""
-    tokens = F.split(F.trim(F.col(value_col)), delimiter)
+    tokens = F.split(_strip(F.col(value_col)), delimiter)
     return lines.withColumn("features", F.transform(tokens, lambda t: missing_to_null(t)))
 
 
@@ -90,7 +96,7 @@ def parse_label_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     Accepted: ``-1 "19/07/2008 11:55:00"`` (quoted day-first) and
     ``-1 09:28:36 20-01-2008`` (documented); unreadable time gives NULL.
     """
-    txt = F.trim(F.col(value_col))
+    txt = _strip(F.col(value_col))
     label_tok = F.regexp_extract(txt, r"^(\S+)", 1)
     rest = F.regexp_replace(F.regexp_extract(txt, r"^\S+\s+(.*)$", 1), '"', "")
     rest = F.trim(F.regexp_replace(rest, r"\s+", " "))
