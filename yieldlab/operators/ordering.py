@@ -35,6 +35,7 @@ IDX = "_idx"
 BUCKET = "_bucket"
 _PART = "_range_part"
 _POS = "_range_pos"
+LITERAL_OFFSETS_MAX = 1000  # above this many range partitions, broadcast the offsets
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -68,9 +69,20 @@ def global_index(
     for p in range(max(counts, default=0) + 1):
         offsets.append(running)
         running += counts.get(p, 0)
-    # A literal array of one offset per range partition (constant-folded).
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1)
-    return staged.withColumn(idx_col, offset + F.col(_POS)).drop(_PART, _POS), running
+    if len(offsets) <= LITERAL_OFFSETS_MAX:
+        # A literal array of one offset per range partition (constant-folded).
+        offset = F.element_at(
+            F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1
+        )
+        return staged.withColumn(idx_col, offset + F.col(_POS)).drop(_PART, _POS), running
+    # Many partitions: ship the offsets once per executor instead of inside
+    # every task (one row per range partition, so the broadcast is bounded).
+    table = spark.createDataFrame(list(enumerate(offsets)), f"{_PART} int, _off long")
+    joined = staged.join(F.broadcast(table), _PART)
+    return (
+        joined.withColumn(idx_col, F.col("_off") + F.col(_POS)).drop(_PART, _POS, "_off"),
+        running,
+    )
 
 
 SINGLE_TASK_ROWS = 1_000_000
