@@ -52,6 +52,10 @@ def test_run_from_text(spark, tmp_path):
     assert smoke["v_process_stability"].n_columns == 9
     assert smoke["v_yield_kpis"].preview_rows > 0
     assert spark.sql("SELECT COUNT(*) FROM v_wafer_failure_detail").first()[0] >= n_fail
+    days = [r.Production_Date for r in spark.table("v_yield_kpis").collect()]
+    assert days == sorted(days)
+    ranks = [r.Impact_Rank for r in spark.table("v_high_risk_sensors").collect()]
+    assert ranks == sorted(ranks)
 
 
 def test_all_times_unreadable_gets_even_axis(spark, tmp_path):

@@ -210,14 +210,33 @@ def control_limits(sensor_long: DataFrame, sigmas: float = 3.0) -> DataFrame:
     )
 
 
+# The reference's final ORDER BY of each view, with tie-breaks added so the
+# order is total (Spark sorts with a range-partitioned, distributed sort).
+VIEW_ORDER = {
+    "v_yield_kpis": [("Production_Date", "asc")],
+    "v_high_risk_sensors": [("Total_SHAP_Impact", "desc"), ("Sensor_Name", "asc")],
+    "v_process_stability": [("Timestamp", "asc"), ("Wafer_ID", "asc")],
+    "v_wafer_failure_detail": [
+        ("Timestamp", "desc"), ("Failure_Probability", "desc"), ("Wafer_ID", "asc"),
+        ("Sensor_Rank", "asc"),
+    ],
+}
+
+
+def _sort_keys(name: str):
+    return [F.asc(c) if d == "asc" else F.desc(c) for c, d in VIEW_ORDER[name]]
+
+
 def register_views(
     spark: SparkSession,
     predictions: DataFrame,
     rca: DataFrame,
     production_logs: DataFrame,
     days: int = 7,
+    ordered: bool = True,
 ) -> list[str]:
-    """Register the base tables and the four views as temporary views."""
+    """Register the base tables and the four views as temporary views
+    (sorted as the reference's views are, unless ``ordered=False``)."""
     predictions.createOrReplaceTempView("ml_predictions")
     rca.createOrReplaceTempView("root_cause_analysis")
     production_logs.createOrReplaceTempView("production_logs")
@@ -228,5 +247,5 @@ def register_views(
         "v_wafer_failure_detail": failure_detail(predictions, rca),
     }
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
+        (df.orderBy(*_sort_keys(name)) if ordered else df).createOrReplaceTempView(name)
     return list(views)
