@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 LOG_ODDS_SCALE = 2.0  # P(fail) = sigmoid(2 * margin) for Spark's logistic loss
+MAX_PATH_FEATURES = 12  # 2^12 hit patterns per leaf; the reference's depth is 5
 
 
 @dataclass
@@ -139,6 +140,11 @@ def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODD
             base += v * float(np.prod(z)) if len(feats) else v
             leaves.append((v, feats, [rule[f][0] for f in feats], [rule[f][1] for f in feats], z))
     depth = max([len(lf[1]) for lf in leaves] + [1])
+    if depth > MAX_PATH_FEATURES:
+        raise ValueError(
+            f"paths with {depth} distinct features: the per-leaf pattern table "
+            f"(2^{depth} entries per leaf) is only built up to {MAX_PATH_FEATURES}"
+        )
     L = len(leaves)
     feat = np.zeros((L, depth), np.int32)
     lo = np.full((L, depth), -np.inf)

@@ -103,10 +103,18 @@ def _linear(s, d):
     return out.select("unit_no", "sensor_no", F.round("attribution", 9).alias("attribution"))
 
 
+_RUNS: dict = {}
+
+
 def _run(s, d):
-    return run_yield_analysis(
-        s, ad.sensor_long(s, d), ad.unit_meta(s, d), gbt_params=QUICK_GBT, register=False
-    )
+    """One trained run per (application, data folder): the two model keys
+    share it instead of training twice."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        _RUNS[key] = run_yield_analysis(
+            s, ad.sensor_long(s, d), ad.unit_meta(s, d), gbt_params=QUICK_GBT, register=False
+        )
+    return _RUNS[key]
 
 
 QUERIES: dict[str, Query] = {
