@@ -118,13 +118,14 @@ def rolling_stats(
     indexed, n = global_index(df, order)
     size = bucket_size(df.sparkSession, n, min_size=max(k, 1))
     b = F.floor(F.col(IDX) / F.lit(size)).cast("long")
-    main = indexed.withColumn(BUCKET, b).withColumn("_halo", F.lit(False))
-    halo = (
-        indexed.filter(F.col(IDX) % F.lit(size) >= F.lit(size - k))
-        .withColumn(BUCKET, b + 1)
-        .withColumn("_halo", F.lit(True))
+    # One scan: every row goes to its bucket; the last k rows of a bucket are
+    # also copied (as halo) into the next one.
+    copies = F.when(F.col(IDX) % F.lit(size) >= F.lit(size - k), F.array(b, b + 1)).otherwise(
+        F.array(b)
+    )
+    framed = indexed.withColumn(BUCKET, F.explode(copies)).withColumn(
+        "_halo", F.col(BUCKET) != b
     )
-    framed = main.unionByName(halo) if k > 0 else main
     w = Window.partitionBy(BUCKET).orderBy(IDX).rowsBetween(-k, 0)
     x = F.col(value_col)
     out = framed.withColumn(mean_col, F.avg(x).over(w))
