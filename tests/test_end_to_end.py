@@ -65,3 +65,15 @@ def test_all_times_unreadable_gets_even_axis(spark, tmp_path):
     times = [r.Timestamp for r in units.orderBy("unit_no").collect()]
     assert str(times[0]) == "2024-01-01 00:00:00" and str(times[-1]) == "2024-01-31 00:00:00"
     assert len(set(times)) == 5
+
+
+def test_command_line(spark, tmp_path):
+    from yieldlab.__main__ import main
+    from yieldlab.operators.model import load_bundle
+
+    sp, lp = _write_inputs(tmp_path, n=60)
+    out = str(tmp_path / "out")
+    metrics = main([sp, lp, out, "--tune-on", "test", "--max-iter", "10"])
+    assert metrics["n_features"] == 7 and len(metrics["views"]) == 4
+    assert spark.read.parquet(f"{out}/ml_predictions").count() == 12
+    assert load_bundle(spark, f"{out}/model").feature_names[0] == "Sensor_3"
