@@ -72,3 +72,11 @@ def test_sanitize_names():
     assert sanitize_columns(["Sensor-1", "Sensor 2", "x"]) == ["Sensor_1", "Sensor_2", "x"]
     with pytest.raises(ValueError):
         sanitize_columns(["a-b", "a b"])
+
+
+def test_sensor_text_wide_layout(spark, tmp_path):
+    p = tmp_path / "sensors.data"
+    p.write_text("1 2 3\n4 NaN\n")
+    wide = TX.load_sensor_text(spark, str(p), layout="wide").orderBy("row_idx").collect()
+    assert list(wide[0].asDict()) == ["row_idx", "Sensor_1", "Sensor_2", "Sensor_3"]
+    assert wide[1].Sensor_2 is None and wide[1].Sensor_3 is None and wide[0].Sensor_3 == 3.0

@@ -76,18 +76,32 @@ def load_sensor_text(
     delimiter: str = WHITESPACE,
     header: bool = False,
     long: bool = True,
+    layout: str | None = None,
 ) -> DataFrame:
-    """Sensor matrix text -> ``row_idx, sensor_no, value`` (or
-    ``row_idx, features`` when ``long=False``).
+    """Sensor matrix text -> one of three layouts:
+
+    * ``"long"`` (default): ``row_idx, sensor_no, value``;
+    * ``"array"`` (or ``long=False``): ``row_idx, features ARRAY<DOUBLE>``;
+    * ``"wide"``: ``row_idx, Sensor_1 .. Sensor_N`` like the reference, N
+      being the widest line (one scalar aggregate; shorter lines get NULLs).
 
     ``delimiter=","`` reads comma-separated files; ``header=True`` drops the
-    first line. The width is whatever the lines hold.
+    first line.
     """
+    layout = layout or ("long" if long else "array")
     lines = read_lines(spark, path)
     if header:
         lines = lines.filter(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)
     parsed = parse_sensor_lines(lines, delimiter=delimiter).select("row_idx", "features")
-    return features_to_long(parsed, ["row_idx"]) if long else parsed
+    if layout == "long":
+        return features_to_long(parsed, ["row_idx"])
+    if layout == "wide":
+        width = parsed.agg(F.max(F.size("features"))).first()[0] or 0
+        return parsed.select(
+            "row_idx",
+            *[F.get(F.col("features"), i).alias(f"Sensor_{i + 1}") for i in range(width)],
+        )
+    return parsed
 
 
 def parse_label_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
