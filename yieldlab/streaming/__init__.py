@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: daily yield KPIs over an event-time watermark."""
