@@ -181,3 +181,22 @@ def lineitem_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
         sensor_name(F.col("l_suppkey")).alias("Sensor_Name"),
         ((F.col("l_discount") - F.lit(0.05)) * F.col("l_quantity")).alias("SHAP_Value"),
     )
+
+
+def lineitem_sensor_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long sensor readings at lineitem scale: unit ``l_orderkey``, sensor
+    ``l_linenumber``; sensor 6 is mostly missing, sensor 7 constant, and
+    quantities above 45 are missing readings (many tied values)."""
+    li = table(spark, sf_dir, "lineitem")
+    line, qty = F.col("l_linenumber"), F.col("l_quantity")
+    value = (
+        F.when((line == 6) & (qty > 10), F.lit(None))
+        .when(qty > 45, F.lit(None))
+        .when(line == 7, F.lit(1.0))
+        .otherwise(F.col("l_extendedprice"))
+    )
+    return li.select(
+        F.col("l_orderkey").alias("unit_no"),
+        line.cast("int").alias("sensor_no"),
+        value.cast("double").alias("value"),
+    )

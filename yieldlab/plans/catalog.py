@@ -154,6 +154,7 @@ QUERIES: dict[str, Query] = {
     "impute_median": lambda s, d: C.impute_median(ad.sensor_long(s, d)),
     "drop_zero_variance": lambda s, d: C.drop_zero_variance(ad.sensor_long(s, d)),
     "clean_sensors": _clean,
+    "clean_sensors_lineitem": lambda s, d: C.clean_sensors(ad.lineitem_sensor_long(s, d)),
     "remaining_missing": lambda s, d: C.remaining_missing(_clean(s, d)),
     "top_variance_sensors": lambda s, d: C.top_variance_sensors(_clean(s, d)),
     "assign_unit_id": lambda s, d: TL.assign_unit_id(

@@ -164,6 +164,30 @@ GROUP BY sensor_no"""
 KEPT = """SELECT sensor_no FROM s GROUP BY sensor_no
 HAVING COUNT_IF(value IS NULL) / COUNT(*) <= 0.5"""
 
+LINE_SENSORS = """SELECT l_orderkey AS unit_no, CAST(l_linenumber AS INTEGER) AS sensor_no,
+  CASE WHEN l_linenumber = 6 AND l_quantity > 10 THEN NULL
+       WHEN l_quantity > 45 THEN NULL
+       WHEN l_linenumber = 7 THEN CAST(1.0 AS DOUBLE)
+       ELSE l_extendedprice END AS value
+FROM lineitem"""
+
+
+def clean_sql(src: str) -> str:
+    """The cleaning chain (drop sparse, exact medians, drop constant) over
+    the long readings produced by ``src``."""
+    return with_(
+        """SELECT s.unit_no, s.sensor_no, COALESCE(s.value, med.median) AS value
+FROM s JOIN keep2 USING (sensor_no) LEFT JOIN med USING (sensor_no)""",
+        s=src,
+        kept=KEPT,
+        ks="SELECT * FROM s WHERE sensor_no IN (SELECT sensor_no FROM kept)",
+        med=MEDIANS.format(src="ks"),
+        st="""SELECT sensor_no, COUNT(*) AS nr, COUNT(value) AS n, MIN(value) AS lo, MAX(value) AS hi
+FROM ks GROUP BY sensor_no""",
+        keep2="SELECT sensor_no FROM st WHERE NOT (n >= 1 AND nr >= 2 AND lo = hi)",
+    )
+
+
 CLEAN = with_(
     """SELECT s.unit_no, s.sensor_no, COALESCE(s.value, med.median) AS value
 FROM s JOIN keep2 USING (sensor_no) LEFT JOIN med USING (sensor_no)""",
@@ -467,6 +491,9 @@ FROM j WHERE value IS NOT NULL GROUP BY sensor_no""",
 )
 
 
+ORACLE["clean_sensors_lineitem"] = clean_sql(LINE_SENSORS)
+
+
 def _bigint_counts(sql: str) -> str:
     """DuckDB's COUNT_IF is HUGEINT; Spark's is BIGINT. Cast every call."""
     out, i, key = [], 0, "COUNT_IF("
