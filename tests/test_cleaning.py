@@ -83,8 +83,14 @@ def test_bracket_medians_exact_with_ties_and_misses(spark):
         5: [rnd.gauss(0, 1) for _ in range(256)],                  # even count
     }
     df = _long(spark, cols)
-    for acc, margin in ((10000, None), (20, 0.0), (5, 0.3)):   # margin 0 forces misses
-        got = {r.sensor_no: r.median for r in
-               C.exact_medians(df, accuracy=acc, margin=margin).collect()}
-        for s, vals in cols.items():
-            assert got[s] == float(np.median(vals)), (acc, margin, s)
+    spark.conf.set("spark.yieldlab.exactMedianRows", "0")  # force the bracket path
+    try:
+        for acc, margin in ((10000, None), (20, 0.0), (5, 0.3)):   # margin 0 forces misses
+            got = {r.sensor_no: r.median for r in
+                   C.exact_medians(df, accuracy=acc, margin=margin).collect()}
+            for s, vals in cols.items():
+                assert got[s] == float(np.median(vals)), (acc, margin, s)
+    finally:
+        spark.conf.unset("spark.yieldlab.exactMedianRows")
+    small = {r.sensor_no: r.median for r in C.exact_medians(df).collect()}
+    assert small == {s: float(np.median(vals)) for s, vals in cols.items()}

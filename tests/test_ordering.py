@@ -99,11 +99,11 @@ def test_global_rank_with_ties(spark):
 def test_global_rank_distributed_path(spark):
     vals = [5.0, 3.0, 5.0, 1.0, 3.0, 9.0, None, 3.0]
     df = spark.createDataFrame(list(enumerate(vals)), "id long, x double")
-    spark.conf.set("yieldlab.singleTaskRows", "0")
+    spark.conf.set("spark.yieldlab.singleTaskRows", "0")
     try:
         got = {r.id: r.rank for r in global_rank(df, "x").collect()}
     finally:
-        spark.conf.unset("yieldlab.singleTaskRows")
+        spark.conf.unset("spark.yieldlab.singleTaskRows")
     naive = df.withColumn("r", F.rank().over(Window.orderBy(F.col("x").desc_nulls_last())))
     assert got == {r.id: r.r for r in naive.collect()}
 

@@ -90,8 +90,8 @@ SINGLE_TASK_ROWS = 1_000_000
 
 def single_task_rows(spark) -> int:
     """Row count up to which a table whose size was just checked may be
-    ordered in one task (``yieldlab.singleTaskRows``, default 1,000,000)."""
-    return int(spark.conf.get("yieldlab.singleTaskRows", str(SINGLE_TASK_ROWS)))
+    ordered in one task (``spark.yieldlab.singleTaskRows``, default 1,000,000)."""
+    return int(spark.conf.get("spark.yieldlab.singleTaskRows", str(SINGLE_TASK_ROWS)))
 
 
 def bucket_size(spark, n_rows: int, min_size: int = 1) -> int:
