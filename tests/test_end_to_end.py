@@ -30,9 +30,9 @@ def _write_inputs(tmp_path, n=120, width=9, seed=3):
         day = 1 + i // 8
         labs.append(f'{1 if fail else -1} "{day:02d}/07/2008 {i % 8 + 8:02d}:{i % 60:02d}:00"')
     labs[5] = '-1 "garbled"'
-    (tmp_path / "secom.data").write_text("\n".join(sens) + "\n")
-    (tmp_path / "secom_labels.data").write_text("\r\n".join(labs) + "\r\n")
-    return str(tmp_path / "secom.data"), str(tmp_path / "secom_labels.data")
+    (tmp_path / "sensor_matrix.data").write_text("\n".join(sens) + "\n")
+    (tmp_path / "unit_labels.data").write_text("\r\n".join(labs) + "\r\n")
+    return str(tmp_path / "sensor_matrix.data"), str(tmp_path / "unit_labels.data")
 
 
 def test_run_from_text(spark, tmp_path):

@@ -62,9 +62,9 @@ def test_file_order_across_files(spark, tmp_path):
 
 
 def test_resolve_path(spark, tmp_path):
-    (tmp_path / "secom.csv").write_text("1 2\n")
-    first = str(tmp_path / "secom.data")
-    assert TX.resolve_path(spark, first, str(tmp_path / "secom.csv")) == str(tmp_path / "secom.csv")
+    (tmp_path / "sensor_matrix.csv").write_text("1 2\n")
+    first = str(tmp_path / "sensor_matrix.data")
+    assert TX.resolve_path(spark, first, str(tmp_path / "sensor_matrix.csv")) == str(tmp_path / "sensor_matrix.csv")
     assert TX.resolve_path(spark, first) == first
 
 
