@@ -27,3 +27,27 @@ def test_parquet_round_trip_partitioned(spark, tmp_path):
     back = TB.drop_autoincrement(TB.read_table(spark, str(tmp_path / "rca")))
     assert sorted(back.collect()) == sorted(df.select(*back.columns).collect())
     assert dict(back.dtypes)["Timestamp"] == "timestamp_ntz"
+
+
+def test_workers_need_no_install(tmp_path):
+    """Run the Python-side job from a folder where workers cannot import the
+    package (as on a cluster without it installed)."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry_mod", {os.path.join(repo, "__spark_entry__.py")!r})
+mod = importlib.util.module_from_spec(spec); spec.loader.exec_module(mod)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").getOrCreate()
+n = mod.queries()["tree_attribution"](spark, "/root/testdata/sf0.001").count()
+print("ROWS", n)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0

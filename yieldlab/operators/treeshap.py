@@ -25,8 +25,10 @@ from __future__ import annotations
 
 import math
 import os
+import sys
 import uuid
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -196,6 +198,18 @@ SHAP_FIELDS = [
 ]
 
 
+def _ship_by_value() -> None:
+    """Executors need not have this package installed: the task function and
+    ``shap_matrix`` travel inside the pickled task, and the broadcast holds
+    only numpy arrays and builtins."""
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except (ImportError, AttributeError, ValueError):  # older cloudpickle: rely on install
+        pass
+
+
 def tree_attributions(
     df: DataFrame,
     tables: LeafTables,
@@ -206,12 +220,18 @@ def tree_attributions(
     """Long attributions for every row of ``df`` (``features_col`` is an
     ``ARRAY<DOUBLE>`` in model feature order)."""
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast((tables, list(feature_names)))
+    _ship_by_value()
+    plain = dict(
+        feat=tables.feat, lo=tables.lo, hi=tables.hi, width=tables.width,
+        table=tables.table, n_features=tables.n_features,
+    )
+    bc = spark.sparkContext.broadcast((plain, list(feature_names)))
     id_fields = [df.schema[c] for c in id_cols]
     schema = T.StructType(id_fields + SHAP_FIELDS)
 
     def run(batches):
-        tab, names = bc.value
+        fields, names = bc.value
+        tab = SimpleNamespace(**fields)
         names_arr = np.array(names, dtype=object)
         for pdf in batches:
             if len(pdf) == 0:
