@@ -51,3 +51,17 @@ print("ROWS", n)
                          capture_output=True, text=True, timeout=600)
     assert "ROWS" in out.stdout, out.stderr[-2000:]
     assert int(out.stdout.split("ROWS")[1].split()[0]) > 0
+
+
+def test_drop_materialized(spark):
+    import os
+
+    from yieldlab.session import _WRITTEN, drop_materialized, materialize
+
+    drop_materialized(spark)
+    t = materialize(spark.range(10), "probe")
+    assert t.count() == 10
+    path = _WRITTEN[-1]
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert os.path.isdir(local)
+    assert drop_materialized(spark) == 1 and not os.path.exists(local)

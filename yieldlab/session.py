@@ -83,6 +83,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return 200
 
 
+_WRITTEN: list[str] = []  # folders written by materialize() in this process
+
+
 def materialize(df, label: str = "table"):
     """Write ``df`` once as Parquet under the checkpoint folder and read it
     back: the lineage is cut, the data is computed exactly once (unlike an
@@ -91,4 +94,20 @@ def materialize(df, label: str = "table"):
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"yieldlab-{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote with ``materialize``
+    (call it when no DataFrame built on them is needed any more). Uses the
+    Hadoop file system of each path, so it works on any cluster storage.
+    Returns the number of folders removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            removed += 1
+    return removed
