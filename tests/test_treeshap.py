@@ -103,3 +103,50 @@ def test_gbt_additivity_and_bundle_round_trip(spark, tmp_path):
 def test_best_prefix_rule():
     assert MD.best_prefix([3, 2, 1, 2, 3, 4], 2) == (2, True)
     assert MD.best_prefix([3, 2, 1], 5) == (2, False)
+
+
+def _brute_ap(scores, labels):
+    P = sum(labels)
+    ap = 0.0
+    for t in sorted(set(scores), reverse=True):
+        tp = sum(1 for s, y in zip(scores, labels) if s >= t and y == 1)
+        n = sum(1 for s in scores if s >= t)
+        pos_here = sum(1 for s, y in zip(scores, labels) if s == t and y == 1)
+        ap += pos_here / P * tp / n
+    return ap
+
+
+def test_prefix_margins_and_validation_ap(spark, tmp_path):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(240):
+        a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+        rows.append((i, a, b, 1 if a - b + rnd.gauss(0, 1) > 0.5 else 0))
+    df = spark.createDataFrame(rows, "unit long, f1 double, f2 double, Label int")
+    bundle = MD.train_gbt(df, ["f1", "f2"], weight_col=None, validation_col=None,
+                          params=MD.GBTParams(max_iter=6, max_depth=3))
+    tab = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt, str(tmp_path / "t")), 2)
+    X = np.array([[r[1], r[2]] for r in rows])
+    m = TS.prefix_margins(X, tab)
+    raw = [r.lo for r in bundle.model.transform(df).select(
+        (vector_to_array("rawPrediction")[1] * 2).alias("lo")).collect()]
+    assert np.allclose(m[:, -1], raw, atol=1e-9)
+    feats = df.withColumn("fa", F.array("f1", "f2"))
+    aps = TS.validation_average_precision(feats, tab, "fa", "Label")
+    labels = [r[3] for r in rows]
+    for k in (0, len(aps) - 1):
+        assert abs(aps[k] - _brute_ap(list(m[:, k]), labels)) < 1e-12
+
+
+def test_patience_on_average_precision(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.gauss(0, 1), 0) for i in range(200)]
+    rows = [(i, x, 1 if x + rnd.gauss(0, 0.7) > 0.8 else 0) for i, x, _ in rows]
+    df = spark.createDataFrame(rows, "unit long, f1 double, Label int").withColumn(
+        "is_validation", F.col("unit") >= 160)
+    b = MD.train_gbt(df, ["f1"], weight_col=None, params=MD.GBTParams(
+        max_iter=8, max_depth=2, patience=3, early_stopping="patience"))
+    assert b.meta["stopping_metric"] == "aucpr"
+    curve = b.meta["validation_curve"]
+    assert b.meta["best_iteration"] == int(np.argmin(curve[: b.meta["best_iteration"] + 1]))
+    assert len(b.gbt.trees) == b.meta["best_iteration"] + 1

@@ -7,9 +7,11 @@ row subsample 0.8 -> ``subsamplingRate``; column share 0.6 ->
 ``featureSubsetStrategy="0.6"`` (per node instead of per tree); min child
 weight 5 -> ``minInstancesPerNode``; class weight ``n_neg / n_pos`` ->
 ``weightCol``; early stopping on the last 10% of the training rows ->
-``validationIndicatorCol`` with ``validationTol`` (stops at the first round
-whose validation log loss does not improve by that share). L1/L2 and gamma
-have no Spark counterpart.
+``validationIndicatorCol`` with ``validationTol`` by default (stops at the
+first round whose validation log loss does not improve by that share), or
+``early_stopping="patience"``: validation PR-AUC with 30 rounds of patience
+as in the reference, then a refit with the best number of rounds. L1/L2 and
+gamma have no Spark counterpart.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ class GBTParams:
     seed: int = 42
     early_stopping: str = "spark"  # "spark" (built-in) or "patience"
     patience: int = 30
+    stopping_metric: str = "aucpr"  # patience mode: validation "aucpr" or "logloss"
     cache_node_ids: bool = True  # node ids cached and checkpointed every 10 rounds
     checkpoint_interval: int = 10
 
@@ -139,7 +142,19 @@ def _train_with_patience(train, feature_cols, label_col, weight_col, validation_
     while True:
         spark_p = replace(p, max_iter=rounds, early_stopping="spark")
         bundle = train_gbt(fit_rows, feature_cols, label_col, weight_col, None, spark_p)
-        losses = bundle.gbt.evaluateEachIteration(bundle.model.stages[0].transform(val_rows))
+        if p.stopping_metric == "aucpr":
+            # validation average precision of every prefix (higher is better)
+            from .treeshap import build_leaf_tables, read_trees, validation_average_precision
+
+            spark = train.sparkSession
+            tables = build_leaf_tables(read_trees(spark, bundle.gbt), len(feature_cols))
+            feats = val_rows.withColumn(
+                "_feats", F.array(*[F.col(c).cast("double") for c in feature_cols])
+            )
+            aps = validation_average_precision(feats, tables, "_feats", label_col)
+            losses = [-a for a in aps]
+        else:
+            losses = bundle.gbt.evaluateEachIteration(bundle.model.stages[0].transform(val_rows))
         best, stopped = best_prefix(list(losses), p.patience)
         if stopped or rounds >= p.max_iter:
             break
@@ -150,7 +165,8 @@ def _train_with_patience(train, feature_cols, label_col, weight_col, validation_
             replace(p, max_iter=best + 1, early_stopping="spark"),
         )
     bundle.meta["best_iteration"] = best
-    bundle.meta["validation_losses"] = [float(x) for x in losses[: best + p.patience + 1]]
+    bundle.meta["stopping_metric"] = p.stopping_metric
+    bundle.meta["validation_curve"] = [float(x) for x in losses[: best + p.patience + 1]]
     return bundle
 
 

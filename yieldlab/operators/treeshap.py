@@ -51,6 +51,9 @@ class LeafTables:
     base: float  # expected value (log-odds)
     n_features: int
     depth: int
+    value: np.ndarray | None = None  # float64 [L] leaf value (log-odds, weighted)
+    tree: np.ndarray | None = None  # int32 [L] tree index of the leaf
+    n_trees: int = 0
 
 
 def read_trees(spark: SparkSession, gbt_model, path: str | None = None) -> list[dict]:
@@ -133,14 +136,16 @@ def _pattern_table(z: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODDS_SCALE) -> LeafTables:
     leaves = []
+    tree_of = []
     base = 0.0
-    for t in trees:
+    for ti, t in enumerate(trees):
         for value, rule in _leaf_rules(t):
             v = scale * t["weight"] * value
             feats = sorted(rule)
             z = np.array([rule[f][2] for f in feats])
             base += v * float(np.prod(z)) if len(feats) else v
             leaves.append((v, feats, [rule[f][0] for f in feats], [rule[f][1] for f in feats], z))
+            tree_of.append(ti)
     depth = max([len(lf[1]) for lf in leaves] + [1])
     if depth > MAX_PATH_FEATURES:
         raise ValueError(
@@ -164,7 +169,85 @@ def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODD
         z = np.stack([leaves[k][4] for k in idx])
         vals = np.array([leaves[k][0] for k in idx])
         table[idx, : 2**p, :p] = _pattern_table(z, vals)
-    return LeafTables(feat, lo, hi, width, table, base, n_features, depth)
+    values = np.array([lf[0] for lf in leaves], dtype=float)
+    return LeafTables(
+        feat, lo, hi, width, table, base, n_features, depth,
+        values, np.array(tree_of, dtype=np.int32), len(trees),
+    )
+
+
+def prefix_margins(X: np.ndarray, t, max_cells: int = 4_000_000) -> np.ndarray:
+    """Log-odds margins ``[n, n_trees]`` of every prefix of the ensemble:
+    column ``k`` is the model made of trees ``0..k``. A row reaches the one
+    leaf per tree whose whole path rule it satisfies."""
+    n, T = X.shape[0], t.n_trees
+    per_tree = np.zeros(n * T)
+    L, D = t.feat.shape
+    chunk = max(1, max_cells // max(n * D, 1))
+    row_off = (np.arange(n, dtype=np.int64) * T)[:, None]
+    for s in range(0, L, chunk):
+        e = min(L, s + chunk)
+        vals = X[:, t.feat[s:e]]
+        used = np.arange(D)[None, :] < t.width[s:e, None]
+        hi = t.hi[s:e]
+        ok = (~(vals <= t.lo[s:e])) & ((vals <= hi) | np.isinf(hi))
+        reached = np.all(ok | ~used, axis=-1)  # n, C
+        idx = (row_off + t.tree[s:e][None, :]).ravel()
+        per_tree += np.bincount(idx, weights=(reached * t.value[s:e][None, :]).ravel(),
+                                minlength=n * T)
+    return np.cumsum(per_tree.reshape(n, T), axis=1)
+
+
+def validation_average_precision(
+    df: DataFrame, tables: LeafTables, features_col: str, label_col: str
+) -> list[float]:
+    """Average precision (area under the PR curve, step form) on ``df`` for
+    every prefix of the ensemble, as a Spark job: margins per (row, prefix)
+    in ``mapInPandas``, then one ordered pass of running counts over
+    (prefix, score desc) with per-prefix offsets -- no prefix is ever held in
+    one task."""
+    from pyspark.sql import functions as F
+
+    from .ordering import running_totals
+
+    spark = df.sparkSession
+    _ship_by_value()
+    plain = dict(feat=tables.feat, lo=tables.lo, hi=tables.hi, width=tables.width,
+                 value=tables.value, tree=tables.tree, n_trees=tables.n_trees)
+    bc = spark.sparkContext.broadcast(plain)
+    schema = "k int, score double, y int"
+
+    def run(batches):
+        tab = SimpleNamespace(**bc.value)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.stack([np.asarray(v, dtype=float) for v in pdf[features_col]])
+            m = prefix_margins(X, tab)
+            n, T = m.shape
+            y = (pdf[label_col].to_numpy() == 1).astype(np.int32)
+            yield pd.DataFrame({"k": np.repeat(np.arange(T, dtype=np.int32)[None, :], n, 0).ravel(),
+                                "score": m.ravel(), "y": np.repeat(y, T)})
+
+    scores = df.select(features_col, label_col).mapInPandas(run, schema)
+    per = scores.groupBy("k", "score").agg(
+        F.sum("y").alias("pos"), F.count(F.lit(1)).alias("cnt")
+    )
+    cum = running_totals(per, [F.col("k").asc(), F.col("score").desc()], ["pos", "cnt"])
+    # running counts restart at each prefix: subtract the totals of earlier prefixes
+    tot = per.groupBy("k").agg(F.sum("pos").alias("P"), F.sum("cnt").alias("C"))
+    from pyspark.sql import Window
+
+    before = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("k", "P",
+                     F.coalesce(F.sum("P").over(before), F.lit(0)).alias("_p0"),
+                     F.coalesce(F.sum("C").over(before), F.lit(0)).alias("_c0"))
+    prec = (F.col("pos_cum") - F.col("_p0")) / (F.col("cnt_cum") - F.col("_c0"))
+    ap = cum.join(F.broadcast(off), "k").groupBy("k").agg(
+        (F.sum(F.col("pos") * prec) / F.nullif(F.first("P"), F.lit(0))).alias("ap")
+    )
+    got = {r.k: (r.ap if r.ap is not None else 0.0) for r in ap.collect()}
+    return [got.get(k, 0.0) for k in range(tables.n_trees)]
 
 
 def shap_matrix(X: np.ndarray, t: LeafTables, max_cells: int = 4_000_000) -> np.ndarray:
