@@ -25,6 +25,10 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--fit-cleaner-on", default="all", choices=["all", "train"])
     ap.add_argument("--top-n", type=int, default=3)
     ap.add_argument("--max-iter", type=int, default=400)
+    ap.add_argument(
+        "--early-stopping", default="spark", choices=["spark", "patience"],
+        help="patience: validation PR-AUC with 30 rounds of patience (the reference's rule)",
+    )
     args = ap.parse_args(argv)
 
     from .operators.model import GBTParams, save_bundle
@@ -41,7 +45,7 @@ def main(argv: list[str] | None = None) -> dict:
         tune_on=args.tune_on,
         fit_cleaner_on=args.fit_cleaner_on,
         top_n=args.top_n,
-        gbt_params=GBTParams(max_iter=args.max_iter),
+        gbt_params=GBTParams(max_iter=args.max_iter, early_stopping=args.early_stopping),
     )
     save_bundle(run.bundle, f"{args.out_dir}/model")
     metrics = dict(run.metrics, views=run.views)
