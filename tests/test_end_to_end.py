@@ -28,7 +28,7 @@ def _write_inputs(tmp_path, n=120, width=9, seed=3):
                 vals.append(f"{rnd.gauss(shift, 1):.4f}")
         sens.append(" ".join(vals))
         day = 1 + i // 8
-        labs.append(f'{1 if fail else -1} "{day:02d}/07/2008 {i % 8 + 8:02d}:{i % 60:02d}:00"')
+        labs.append(f'{1 if fail else -1} "{day:02d}/05/2010 {i % 8 + 8:02d}:{i % 60:02d}:00"')
     labs[5] = '-1 "garbled"'
     (tmp_path / "sensor_matrix.data").write_text("\n".join(sens) + "\n")
     (tmp_path / "unit_labels.data").write_text("\r\n".join(labs) + "\r\n")

@@ -10,30 +10,30 @@ import pytest
 
 def test_label_line_forms(spark):
     lines = spark.createDataFrame(
-        [(0, '-1 "19/07/2008 11:55:00"'), (1, '1 "19/07/2008 12:32:00"'),
-         (2, "-1  09:28:36  20-01-2008"), (3, '2 "not a time"'), (4, "0 31/02/2008 10:00:00")],
+        [(0, '-1 "03/02/2009 08:15:00"'), (1, '1 "03/02/2009 09:41:00"'),
+         (2, "-1  07:05:12  14-03-2009"), (3, '2 "not a time"'), (4, "0 31/02/2009 10:00:00")],
         "row_idx long, value string",
     )
     got = {r.row_idx: (r.Label, r.Timestamp) for r in TX.parse_label_lines(lines).collect()}
-    assert got[0] == (0, dt.datetime(2008, 7, 19, 11, 55))
-    assert got[1] == (1, dt.datetime(2008, 7, 19, 12, 32))
-    assert got[2] == (0, dt.datetime(2008, 1, 20, 9, 28, 36))
+    assert got[0] == (0, dt.datetime(2009, 2, 3, 8, 15))
+    assert got[1] == (1, dt.datetime(2009, 2, 3, 9, 41))
+    assert got[2] == (0, dt.datetime(2009, 3, 14, 7, 5, 12))
     assert got[3] == (0, None)  # unknown label -> pass, unreadable time -> NULL
     assert got[4] == (0, None)
 
 
 def test_load_label_text_fills_gaps(spark, tmp_path):
     p = tmp_path / "labels.data"
-    p.write_text('-1 "bad"\r\n1 "19/07/2008 12:32:00"\r\n\r\n-1 "bad"\r\n-1 "20/07/2008 01:00:00"\r\n')
+    p.write_text('-1 "bad"\r\n1 "03/02/2009 09:41:00"\r\n\r\n-1 "bad"\r\n-1 "04/02/2009 01:00:00"\r\n')
     from yieldlab.plans.end_to_end import units_from_labels
 
     units = units_from_labels(TX.load_label_text(spark, str(p)))
     got = [(r.unit_no, r.Label, r.Timestamp) for r in units.orderBy("unit_no").collect()]
     assert got == [
-        (0, 0, dt.datetime(2008, 7, 19, 12, 32)),  # backward fill of the leading gap
-        (1, 1, dt.datetime(2008, 7, 19, 12, 32)),
-        (2, 0, dt.datetime(2008, 7, 19, 12, 32)),  # forward fill
-        (3, 0, dt.datetime(2008, 7, 20, 1, 0)),
+        (0, 0, dt.datetime(2009, 2, 3, 9, 41)),  # backward fill of the leading gap
+        (1, 1, dt.datetime(2009, 2, 3, 9, 41)),
+        (2, 0, dt.datetime(2009, 2, 3, 9, 41)),  # forward fill
+        (3, 0, dt.datetime(2009, 2, 4, 1, 0)),
     ]
 
 

@@ -107,8 +107,8 @@ def load_sensor_text(
 def parse_label_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Add ``Label`` (1 fail, else 0) and ``Timestamp`` from label lines.
 
-    Accepted: ``-1 "19/07/2008 11:55:00"`` (quoted day-first) and
-    ``-1 09:28:36 20-01-2008`` (documented); unreadable time gives NULL.
+    Accepted: ``-1 "03/02/2009 08:15:00"`` (quoted day-first) and
+    ``-1 07:05:12 14-03-2009`` (documented); unreadable time gives NULL.
     """
     txt = _strip(F.col(value_col))
     label_tok = F.regexp_extract(txt, r"^(\S+)", 1)
