@@ -77,3 +77,26 @@ def test_ordered_helpers_property(spark, vals):
     for i, v in rows:
         last = v if v is not None else last
         assert filled[i] == last
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.one_of(st.none(), st.integers(-20, 20))),
+                min_size=1, max_size=80))
+def test_exact_medians_property(spark, cells):
+    import numpy as np
+
+    rows = [(u, s, None if v is None else float(v) / 4) for u, (s, v) in enumerate(cells)]
+    df = spark.createDataFrame(rows, "unit_no long, sensor_no int, value double")
+    exp = {}
+    for s in {c[0] for c in cells}:
+        vals = [r[2] for r in rows if r[1] == s and r[2] is not None]
+        if vals:
+            exp[s] = float(np.median(vals))
+    for forced in ("0", None):
+        if forced is not None:
+            spark.conf.set("spark.yieldlab.exactMedianRows", forced)
+        try:
+            got = {r.sensor_no: r.median for r in C.exact_medians(df, accuracy=50).collect()}
+        finally:
+            spark.conf.unset("spark.yieldlab.exactMedianRows")
+        assert got == exp
