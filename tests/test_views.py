@@ -99,3 +99,28 @@ def test_process_stability_monitored_value(spark):
     got = {x.Wafer_ID: x.Monitored_Value
            for x in V.process_stability(logs, p, r, readings=readings).collect()}
     assert got == {0: 4.0, 1: 5.0, 2: None}
+
+
+def test_hot_unit_top_n_and_waterfall(spark):
+    """One unit holds a third of all rows; results equal a pandas reference."""
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(2)
+    rows = [(1, s, f"S{s}", round(rnd.uniform(-1, 1), 6)) for s in range(3000)]
+    rows += [(u, s, f"S{s}", round(rnd.uniform(-1, 1), 6)) for u in range(2, 2002) for s in range(3)]
+    schema = "Wafer_ID long, sensor_no int, Sensor_Name string, SHAP_Value double"
+    attr = spark.createDataFrame(rows, schema).repartition(8)
+    top = A.top_n_per_unit(attr, "Wafer_ID", "SHAP_Value", 3, ["sensor_no"])
+    got = sorted((r.Wafer_ID, r.Rank, r.sensor_no) for r in top.collect())
+    pdf = pd.DataFrame(rows, columns=["Wafer_ID", "sensor_no", "Sensor_Name", "SHAP_Value"])
+    pdf["a"] = pdf.SHAP_Value.abs()
+    pdf = pdf.sort_values(["Wafer_ID", "a", "sensor_no", "SHAP_Value"], ascending=[True, False, True, True])
+    pdf["Rank"] = pdf.groupby("Wafer_ID").cumcount() + 1
+    exp = sorted((int(w), int(k), int(s)) for w, k, s in
+                 pdf[pdf.Rank <= 3][["Wafer_ID", "Rank", "sensor_no"]].itertuples(index=False))
+    assert got == exp
+    wf = {r.Position: r for r in A.unit_waterfall(attr).filter("Wafer_ID = 1").collect()}
+    assert wf[15].Feature == "2986 other features"
+    assert abs(wf[1].Cumulative - round(pdf[pdf.Wafer_ID == 1].SHAP_Value.sum(), 9)) < 1e-8
