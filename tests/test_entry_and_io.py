@@ -16,7 +16,7 @@ def test_oracle_keys_are_queries():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert {"yield_kpis", "high_risk_sensors", "process_stability", "failure_detail"} <= set(o)
-    assert set(q) - set(o) == {"train_score_gbt", "tree_attribution"}
+    assert set(q) - set(o) == {"train_score_gbt", "tree_attribution", "stream_yield_kpis"}
 
 
 def test_parquet_round_trip_partitioned(spark, tmp_path):

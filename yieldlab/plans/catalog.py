@@ -21,6 +21,7 @@ from ..operators.ordering import rolling_stats
 from ..operators.screening import sensor_separation
 from ..sources import tables as TB
 from ..sources import text as TX
+from ..streaming.kpis import run_stream_kpis
 from . import adapters as ad
 from . import quality as Q
 from . import views as V
@@ -193,6 +194,8 @@ QUERIES: dict[str, Query] = {
     ),
     "train_score_gbt": lambda s, d: _run(s, d).predictions,
     "tree_attribution": lambda s, d: _run(s, d).attributions,
+    # 2.12 streaming form of the daily KPIs (rows-only: distinct is HLL++)
+    "stream_yield_kpis": run_stream_kpis,
     # 2.11 data quality
     "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
     "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),

@@ -81,3 +81,20 @@ def start_to_path(
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def run_stream_kpis(spark: SparkSession, sf_dir: str, timeout_s: int = 600) -> DataFrame:
+    """Run the KPI stream over the events table until all available input is
+    processed and return the finalised days (written under the checkpoint
+    folder)."""
+    base = os.path.join(ensure_checkpoint_dir(spark), f"stream-kpis-{uuid.uuid4().hex}")
+    q = start_to_path(
+        stream_yield_kpis(stream_events_predictions(spark, sf_dir)),
+        f"{base}/out",
+        checkpoint=f"{base}/state",
+    )
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("streaming KPIs did not finish")
+    return spark.read.parquet(f"{base}/out")
