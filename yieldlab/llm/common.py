@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["HashCache", "drop_table", "materialize", "partitions", "remainder", "table", "text_rows"]
+__all__ = ["HashCache", "drop_table", "materialize", "partitions", "remainder", "small_batches", "table", "text_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hand texts to Python tasks in batches of at most ``most`` bytes; a
+    smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key, str(1 << 40))).rstrip("b")) > most:
+        spark.conf.set(key, str(most))
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle parallelism."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
@@ -52,7 +60,7 @@ class HashCache(dict):
     """Word bytes -> 64-bit hash, remembered; forgets all when it gets large,
     so that memory is bounded whatever the vocabulary."""
 
-    def __init__(self, most: int = 400_000, seed: int = 0):
+    def __init__(self, most: int = 200_000, seed: int = 0):
         super().__init__()
         import xxhash
 

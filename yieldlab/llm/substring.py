@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import HashCache, drop_table, materialize, partitions, text_rows
+from .common import HashCache, drop_table, materialize, partitions, small_batches, text_rows
 
 WINDOW, GRAM = 50, 20
 HOT = 20_000
@@ -139,7 +139,7 @@ def _passage_task(batches: Iterator[pa.RecordBatch], window: int, gram: int) ->
         ids.append(i)
         parts.append(cache.array(words))
         held += len(words)
-        if held > 200_000:
+        if held > 100_000:
             yield flush()
             ids, parts, held = [], [], 0
     if ids:
@@ -335,6 +335,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Ranges may overlap. Rows without an id are neither searched nor indexed;
     rows that share an id are searched as one document's rows."""
     spark = docs.sparkSession
+    small_batches(spark)
     n = partitions(spark)
     src = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("data"))
     kind = "id long, key long, body long, start int, before int, n int, run int"
