@@ -23,7 +23,7 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """Hand texts to Python tasks in batches of at most ``most`` bytes; a
     smaller setting of the session stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(str(spark.conf.get(key, str(1 << 40))).rstrip("b")) > most:
+    if int(spark.conf.get(key).rstrip("b")) > most:
         spark.conf.set(key, str(most))
 
 
