@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, partitions, text_rows
+from .common import materialize, partitions, small_batches, text_rows
 from .components import components
 
 SEED = 20_240_229
@@ -191,6 +191,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     last range with the very first row. The texts are shuffled once. Null ids
     come first; rows with one id are ordered by text."""
     spark = docs.sparkSession
+    small_batches(spark)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     n = partitions(spark)
     at = F.percentile_approx("id", F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(0.5)), F.lit(100 * n))
@@ -249,6 +250,7 @@ def _print_task(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Rec
 
 def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """``(id_col, fingerprint)`` of every row; a null text counts as empty."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return src.mapInArrow(partial(_print_task, seed=seed), "id long, fingerprint string").withColumnRenamed("id", id_col)
 

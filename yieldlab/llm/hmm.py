@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashCache, drop_table, materialize, remainder, text_rows
+from .common import HashCache, materialize, remainder, small_batches, text_rows
 
 STATES, PASSES = 8, 3
 FREQUENT, BUCKETS = 2e-5, 4096
@@ -329,6 +329,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blank text is its end token. Without any training text every token is
     unknown and has the base probability 1."""
     spark = docs.sparkSession
+    small_batches(spark)
     held = F.coalesce(remainder(id_col) == 1, F.lit(False))
     src = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.col(text_col).cast("binary").alias("data"))
     chunks = materialize(src.mapInArrow(partial(_chunk_task, most=CHUNK_TOKENS), _CHUNK), "chunks")

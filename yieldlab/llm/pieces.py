@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_rows
+from .common import small_batches, text_rows
 
 SPACE = "▁"
 CACHE_WORDS, CACHE_CHARS = 150_000, 64
@@ -256,6 +256,7 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
     """``(id_col, n_tokens, ids_sha256, decoded_sha256)``, one row for each
     row: digests of a text's ids and of the text they decode to. A null text
     is empty and has no ids."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     kind = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return src.mapInArrow(partial(_digest_task, model=model), kind).withColumnRenamed("id", id_col)
@@ -276,6 +277,7 @@ def _ids_task(batches: Iterator[pa.RecordBatch], model: bytes, text_at: int) ->
 def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of ``text_col``, without begin or end ids; of a
     null text an empty list. Other columns pass through whatever their names."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, remainder, text_rows
+from .common import materialize, remainder, small_batches, text_rows
 
 WAVES, WIDTH, RIDGE, SEED = 256, 1.0, 1e-3, 11
 LABELLED = 400_000
@@ -151,6 +151,7 @@ class Classifier:
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, x array<double>)`` of every row."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("data"))
     return src.mapInArrow(_statistics_task, "id long, x array<double>")
 

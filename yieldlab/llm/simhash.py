@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize, partitions, text_rows
+from .common import materialize, partitions, small_batches, text_rows
 from .components import components
 
 SHINGLE, MAX_BITS = 3, 3
@@ -77,6 +77,7 @@ def _fingerprint_task(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``(id, simhash long)`` for every row."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("data"))
     return src.mapInArrow(partial(_fingerprint_task, k=shingle), "id long, simhash long")
 
@@ -272,7 +273,6 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``component_id`` is the smallest id reachable; a null id is never the
     smallest, and where all ids are null the component is null. Rows that
     repeat an id each get a row. Other columns are ignored."""
-    spark = docs.sparkSession
     own = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
     reps = own.groupBy("simhash").agg(F.min("id").alias("rep"))
     distinct = materialize(reps, "prints")

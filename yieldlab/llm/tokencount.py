@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_rows
+from .common import small_batches, text_rows
 
 RULES = ("start", "most", "shares")
 
@@ -142,6 +142,7 @@ def section_tokens(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "d
     don't count, and overlapping ones raise. Other columns are ignored."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {', '.join(RULES)}")
+    small_batches(docs.sparkSession)
     spans = F.col(sections_col).cast("array<struct<start:long,stop:long>>") if sections_col else F.lit(None).cast("array<struct<start:long,stop:long>>")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), spans.alias("spans"))
     kind = "id long, section int, start long, stop long, n_tokens double, n_crossing long, doc_tokens long"

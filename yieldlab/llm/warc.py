@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_rows
+from .common import small_batches, text_rows
 
 LEAST_REVISIT = 1000  # bytes of a payload that may be revisited
 SEGMENT_CHARS, CHUNK_CHARS, FILE_ROWS = 16_384, 4096, 2000
@@ -102,6 +102,7 @@ def _write_task(batches: Iterator[pa.RecordBatch], segment_chars: int, chunk_cha
 def write_archive(planned: DataFrame, path: str, segment_chars: int = SEGMENT_CHARS, chunk_chars: int = CHUNK_CHARS, file_rows: int = FILE_ROWS, compression: str = "gzip") -> None:
     """Write the records of ``plan_records`` as WARC files to the folder
     ``path`` (``compression``: "gzip" or "none"). A null url is empty."""
+    small_batches(planned.sparkSession)
     records = planned.mapInArrow(partial(_write_task, segment_chars=segment_chars, chunk_chars=chunk_chars), "value string")
     records.write.mode("overwrite").option("lineSep", "\r\n").option("compression", compression).option("maxRecordsPerFile", file_rows).text(path)
 
@@ -174,6 +175,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of the archives in a folder, as they stand."""
+    small_batches(spark)
     kind = "type string, record_id string, uri string, digest string, refers_to string, origin string, segment int, total long, block binary"
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_read_task, kind)
 
