@@ -35,71 +35,78 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashCache, materialize, remainder, small_batches, text_rows
+from .common import materialize, remainder, small_batches, text_rows
 
 STATES, PASSES = 8, 3
 FREQUENT, BUCKETS = 2e-5, 4096
 CHUNK_TOKENS, SEQUENCE, SPAN, DIRECT = 300_000, 256, 512, 2048
 SEED_CHUNKS, SEED_SEQUENCES, SEED_PASSES = 8, 64, 25
 MIX = 0.02
-END = 0x5EED0FE2D  # the end token's hash
 
 
 # ---- chunks -------------------------------------------------------------------
 
 
-def bucket_of(word: bytes) -> int:
-    """Class of a word that isn't frequent: by its length and last two bytes."""
-    tail = word[-2:]
-    return (int.from_bytes(tail, "little") * 40503 + min(len(word), 12) * 977) % BUCKETS
+def word_number(word: bytes) -> int:
+    """52 bits of a word's hash, and below them the class of words that aren't
+    frequent that it belongs to: by its length and last two bytes."""
+    tail = int.from_bytes(word[-2:], "little") * 40503 + min(len(word), 12) * 977
+    return xxhash.xxh64_intdigest(word) & -BUCKETS | tail % BUCKETS
+
+
+END = word_number(b"")  # no word is empty
+
+
+class _Numbers(dict):
+    """Word -> its number in a chunk, by first occurrence."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 def _chunk_task(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    names = ["chunk", "ids", "held", "lengths", "vocab", "buckets", "train", "wide", "tokens"]
-    cache, part = HashCache(), TaskContext.get().partitionId()
-    ids, held, parts, buckets, size, n = [], [], [], {END: 0}, 0, 0
+    names, part = ["chunk", "ids", "held", "lengths", "vocab", "train", "wide", "tokens"], TaskContext.get().partitionId()
+    known, ids, held, parts, size, n = _Numbers({b"": 0}), [], [], [], 0, 0
 
     def flush() -> pa.RecordBatch:
         lengths = np.array([len(p) for p in parts], np.int32)
-        flat = np.concatenate(parts)
-        vocab, tokens = np.unique(flat, return_inverse=True)
+        tokens = np.concatenate(parts)
         learn = np.repeat(~np.array(held, bool), lengths)
-        train = np.bincount(tokens[learn], minlength=len(vocab)).astype(np.int64)
+        train = np.bincount(tokens[learn], minlength=len(known)).astype(np.int32)
+        vocab = np.array([word_number(w) for w in known], np.uint64)
         wide = len(vocab) > 65536
-        own = np.array([buckets[v] for v in vocab.tolist()], np.uint16)
         row = [[part << 32 | n], [ids], [held], [lengths.tolist()]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32())]
         cols = [pa.array(v, t) for v, t in zip(row, kinds)]
-        cols += [pa.array([x.tobytes()]) for x in (vocab, own, train)]
+        cols += [pa.array([x.tobytes()]) for x in (vocab, train)]
         cols += [pa.array([wide]), pa.array([tokens.astype(np.uint32 if wide else np.uint16).tobytes()])]
         return pa.record_batch(cols, names)
 
-    end = np.array([END], np.uint64)
     for i, out, data in text_rows(batches, "id", "held", "data"):
         words = data.lower().split() if data else []
-        own = cache.array(words)
-        for w, h in zip(set(words), map(cache.__getitem__, set(words))):
-            if h not in buckets:
-                buckets[h] = bucket_of(w)
+        words.append(b"")  # the end
         ids.append(i)
         held.append(out)
-        parts.append(np.concatenate([own, end]))
-        size += len(own) + 1
+        parts.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+        size += len(words)
         if size > most:
             yield flush()
             n += 1
-            ids, held, parts, size = [], [], [], 0
-            if len(buckets) > 400_000:
-                buckets = {END: 0}
+            known, ids, held, parts, size = _Numbers({b"": 0}), [], [], [], 0
     if ids:
         yield flush()
 
 
-_CHUNK = "chunk long, ids array<long>, held array<boolean>, lengths array<int>, vocab binary, buckets binary, train binary, wide boolean, tokens binary"
+_CHUNK = "chunk long, ids array<long>, held array<boolean>, lengths array<int>, vocab binary, train binary, wide boolean, tokens binary"
+
+
+_CLASSED = ["chunk", "ids", "held", "lengths", "wide", "tokens", "classes"]
 
 
 def _array(data: bytes, kind) -> np.ndarray:
@@ -110,15 +117,16 @@ class Chunk:
     def __init__(self, row: dict):
         self.id, self.ids, self.held = row["chunk"], row["ids"], np.array(row["held"], bool)
         self.lengths = np.array(row["lengths"], np.int64)
-        self.vocab, self.buckets, self.train = _array(row["vocab"], np.uint64), _array(row["buckets"], np.uint16), _array(row["train"], np.int64)
         self.tokens = _array(row["tokens"], np.uint32 if row["wide"] else np.uint16)
+        self.vocab, self.train = _array(row["vocab"], np.uint64), _array(row["train"], np.int32)
 
-    def symbols(self, frequent: np.ndarray) -> np.ndarray:
+    def classes(self, frequent: np.ndarray) -> np.ndarray:
         """The class of each word of the vocabulary."""
+        rare = len(frequent) + (self.vocab & np.uint64(BUCKETS - 1)).astype(np.int64)
         if not len(frequent):
-            return self.buckets.astype(np.int64)
+            return rare
         at = np.minimum(np.searchsorted(frequent, self.vocab), len(frequent) - 1)
-        return np.where(frequent[at] == self.vocab, at, len(frequent) + self.buckets.astype(np.int64))
+        return np.where(frequent[at] == self.vocab, at, rare)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -130,17 +138,25 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
 def _vocab_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for c in _chunks(batches):
         on = c.train > 0
-        cols = [c.vocab[on].view(np.int64), c.buckets[on].astype(np.int32), c.train[on]]
-        yield pa.record_batch([pa.array(x) for x in cols], ["word", "bucket", "n"])
+        yield pa.record_batch([pa.array(c.vocab[on].view(np.int64)), pa.array(c.train[on])], ["word", "n"])
 
 
 def _rare_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     for c in _chunks(batches):
-        at = np.flatnonzero(c.symbols(frequent) >= len(frequent))
+        at = np.flatnonzero(c.classes(frequent) >= len(frequent))
         cols = [c.vocab[at].view(np.int64), np.full(len(at), c.id), at.astype(np.int32)]
         yield pa.record_batch([pa.array(x) for x in cols], ["word", "chunk", "at"])
 
 
+def _class_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Chunks with the classes of their words in place of the words."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            own = Chunk(row.to_pylist()[0]).classes(frequent).astype(np.int32).tobytes()
+            yield pa.record_batch([row.column(row.schema.get_field_index(c)) if c != "classes" else pa.array([own]) for c in _CLASSED], _CLASSED)
+
+
 # ---- the model ----------------------------------------------------------------
 
 
@@ -275,7 +291,7 @@ def _learners(c: Chunk, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     learn = ~c.held
     tokens = c.tokens[np.repeat(learn, c.lengths)]
     start, size, _ = sequences(c.lengths[learn], SEQUENCE)
-    return c.symbols(frequent)[tokens], start, size
+    return c.classes(frequent)[tokens], start, size
 
 
 def _pass_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, model) -> Iterator[pa.RecordBatch]:
@@ -303,22 +319,21 @@ def _seed_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, most: in
         yield pa.record_batch([pa.array(rows, pa.binary())], ["symbols"])
 
 
-def _score(chunk: Chunk, counts: np.ndarray, frequent: np.ndarray, model: Model, mass: np.ndarray, total: float) -> pd.DataFrame:
+def _score(ids: list, held: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, classes: np.ndarray, counts: np.ndarray, model: Model, mass: np.ndarray, total: float) -> pd.DataFrame:
     """Scores of a chunk's documents; ``counts`` is of its vocabulary, and
     ``total`` is N + 0.5 (V + 1)."""
-    symbols = chunk.symbols(frequent)
     known = counts > 0
     base = np.log((counts + 0.5) / total)
     # An unknown word is a class of its own, the last one.
-    share = np.where(known, np.log((counts + 0.5) / np.where(known, mass[symbols], 1)) + np.log1p(-0.5 / total), 0.0)
-    symbols = np.where(known, symbols, len(mass))
-    ends = np.cumsum(chunk.lengths)
-    sums = np.concatenate([[0.0], np.cumsum(base[chunk.tokens])])
-    knows = np.concatenate([[0], np.cumsum(known[chunk.tokens])])
-    log = forward(symbols[chunk.tokens], share[chunk.tokens], chunk.lengths, model)
-    begin = ends - chunk.lengths
+    share = np.where(known, np.log((counts + 0.5) / np.where(known, mass[classes], 1)) + np.log1p(-0.5 / total), 0.0)
+    classes = np.where(known, classes, len(mass))
+    ends = np.cumsum(lengths)
+    begin = ends - lengths
+    sums = np.concatenate([[0.0], np.cumsum(base[tokens])])
+    knows = np.concatenate([[0], np.cumsum(known[tokens])])
+    log = forward(classes[tokens], share[tokens], lengths, model)
     ten = np.log(10.0)
-    return pd.DataFrame({"id": pd.array(chunk.ids, dtype="Int64"), "held_out": chunk.held, "n_tokens": chunk.lengths, "n_known": knows[ends] - knows[begin], "base_score": (sums[ends] - sums[begin]) / ten, "score": log / ten})
+    return pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "held_out": held, "n_tokens": lengths, "n_known": knows[ends] - knows[begin], "base_score": (sums[ends] - sums[begin]) / ten, "score": log / ten})
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, passes: int = PASSES) -> DataFrame:
@@ -333,7 +348,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held = F.coalesce(remainder(id_col) == 1, F.lit(False))
     src = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.col(text_col).cast("binary").alias("data"))
     chunks = materialize(src.mapInArrow(partial(_chunk_task, most=CHUNK_TOKENS), _CHUNK), "chunks")
-    words = chunks.mapInArrow(_vocab_task, "word long, bucket int, n long").groupBy("word", "bucket").agg(F.sum("n").alias("c"))
+    words = chunks.select("chunk", "ids", "held", "lengths", "vocab", "train", "wide", F.lit(b"").alias("tokens")).mapInArrow(_vocab_task, "word long, n int").groupBy("word").agg(F.sum("n").alias("c"))
     words = materialize(words, "words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total = n + 0.5 * (v + 1)
@@ -343,7 +358,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)[order]
     mass = np.zeros(len(frequent) + BUCKETS)
     mass[: len(frequent)] = top["c"].to_numpy(float)[order] + 0.5 if len(top) else []
-    for b, m in words.filter(F.col("c") < least).groupBy("bucket").agg(F.sum(F.col("c") + 0.5)).collect():  # BUCKETS rows
+    for b, m in words.filter(F.col("c") < least).groupBy(F.col("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).agg(F.sum(F.col("c") + 0.5)).collect():  # BUCKETS rows
         mass[len(frequent) + b] = m
     prior = mass / mass.sum() if n else np.full(len(mass), 1 / len(mass))
 
@@ -371,22 +386,22 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # The last class is the unknown word, as likely in every state.
     model.emit = np.concatenate([model.emit, np.full((1, states), 0.5 / total)])
-    rare = chunks.mapInArrow(partial(_rare_task, frequent=frequent), "word long, chunk long, at int").join(words.select("word", "c"), "word").select("chunk", "at", "c")
-    known = mass[: len(frequent)] - 0.5
-    sent = spark.sparkContext.broadcast((model, frequent, known, mass, total))
+    rare = chunks.mapInArrow(partial(_rare_task, frequent=frequent), "word long, chunk long, at int").join(words, "word").select("chunk", "at", "c")
+    sent = spark.sparkContext.broadcast((model, mass[: len(frequent)] - 0.5, mass, total))
 
     def score(chunk: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        model, frequent, known, mass, total = sent.value
+        model, known, mass, total = sent.value
         out = []
         for row in chunk.to_dict("records"):
-            c = Chunk(row)
-            symbols, counts = c.symbols(frequent), np.zeros(len(c.vocab))
-            often = symbols < len(frequent)
-            counts[often] = known[symbols[often]]
+            classes = _array(row["classes"], np.int32).astype(np.int64)
+            often, counts = classes < len(known), np.zeros(len(classes))
+            counts[often] = known[classes[often]]
             counts[own["at"].to_numpy()] = own["c"].to_numpy()
-            out.append(_score(c, counts, frequent, model, mass, total))
+            tokens = _array(row["tokens"], np.uint32 if row["wide"] else np.uint16)
+            out.append(_score(row["ids"], np.array(row["held"], bool), np.array(row["lengths"], np.int64), tokens, classes, counts, model, mass, total))
         return pd.concat(out) if out else pd.DataFrame(columns=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     kind = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = chunks.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInPandas(score, kind)
+    classed = chunks.mapInArrow(partial(_class_task, frequent=frequent), "chunk long, ids array<long>, held array<boolean>, lengths array<int>, wide boolean, tokens binary, classes binary")
+    out = classed.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInPandas(score, kind)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
