@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import ensure_checkpoint_dir
 
 __all__ = ["HashCache", "drop_table", "materialize", "partitions", "remainder", "small_batches", "table", "text_rows"]
 
@@ -37,12 +38,20 @@ def remainder(id_col: str, n: int = 5) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
-def drop_table(spark: SparkSession, df_or_path) -> None:
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: computed
+    once, and no executor that is lost later takes it along."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm-{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def drop_table(spark: SparkSession, df: DataFrame) -> None:
     """Delete the folder behind a DataFrame made by ``materialize``, once
     nothing that is still to run reads it."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for f in {p.rpartition("/")[0] for p in df_or_path.inputFiles()}:
+    for f in {p.rpartition("/")[0] for p in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(f)
         path.getFileSystem(conf).delete(path, True)
 

@@ -8,7 +8,7 @@ by its last bytes. So the table of states and classes is bounded
 (``1 / FREQUENT + BUCKETS`` rows), while the counts of all words stay a table
 of the cluster, however many there are.
 
-1. Documents are written once as chunks of some hundred thousand tokens: the
+1. Documents are written once as chunks of some two million tokens: the
    chunk's own vocabulary (64-bit word hashes) and tokens as numbers in it.
 2. Training counts of all words: one aggregation over the vocabularies.
 3. Baum-Welch: each task runs the scaled forward and backward recursions over
@@ -44,7 +44,7 @@ from .common import materialize, remainder, small_batches, text_rows
 
 STATES, PASSES = 8, 3
 FREQUENT, BUCKETS = 2e-5, 4096
-CHUNK_TOKENS, SEQUENCE, SPAN, DIRECT = 300_000, 256, 512, 2048
+CHUNK_TOKENS, BLOCK_TOKENS, SEQUENCE, SPAN, DIRECT = 2_000_000, 300_000, 256, 512, 2048
 SEED_CHUNKS, SEED_SEQUENCES, SEED_PASSES = 8, 64, 25
 MIX = 0.02
 
@@ -59,9 +59,6 @@ def word_number(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) & -BUCKETS | tail % BUCKETS
 
 
-END = word_number(b"")  # no word is empty
-
-
 class _Numbers(dict):
     """Word -> its number in a chunk, by first occurrence."""
 
@@ -71,7 +68,7 @@ class _Numbers(dict):
 
 
 def _chunk_task(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    names, part = ["chunk", "ids", "held", "lengths", "vocab", "train", "wide", "tokens"], TaskContext.get().partitionId()
+    names, part = ["chunk", "ids", "held", "lengths", "vocab", "train", "low", "high"], TaskContext.get().partitionId()
     known, ids, held, parts, size, n = _Numbers({b"": 0}), [], [], [], 0, 0
 
     def flush() -> pa.RecordBatch:
@@ -80,12 +77,11 @@ def _chunk_task(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
         learn = np.repeat(~np.array(held, bool), lengths)
         train = np.bincount(tokens[learn], minlength=len(known)).astype(np.int32)
         vocab = np.array([word_number(w) for w in known], np.uint64)
-        wide = len(vocab) > 65536
         row = [[part << 32 | n], [ids], [held], [lengths.tolist()]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32())]
         cols = [pa.array(v, t) for v, t in zip(row, kinds)]
-        cols += [pa.array([x.tobytes()]) for x in (vocab, train)]
-        cols += [pa.array([wide]), pa.array([tokens.astype(np.uint32 if wide else np.uint16).tobytes()])]
+        # 24 bits of a token; the high ones are mostly zero, and so they are kept apart
+        cols += [pa.array([x.tobytes()]) for x in (vocab, train, tokens.astype(np.uint16), (tokens >> 16).astype(np.uint8))]
         return pa.record_batch(cols, names)
 
     for i, out, data in text_rows(batches, "id", "held", "data"):
@@ -103,21 +99,25 @@ def _chunk_task(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
         yield flush()
 
 
-_CHUNK = "chunk long, ids array<long>, held array<boolean>, lengths array<int>, vocab binary, train binary, wide boolean, tokens binary"
+_CHUNK = "chunk long, ids array<long>, held array<boolean>, lengths array<int>, vocab binary, train binary, low binary, high binary"
 
 
-_CLASSED = ["chunk", "ids", "held", "lengths", "wide", "tokens", "classes"]
+_CLASSED = ["chunk", "ids", "held", "lengths", "low", "high", "classes"]
 
 
 def _array(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(data, kind)
 
 
+def _tokens(row: dict) -> np.ndarray:
+    return _array(row["low"], np.uint16) | _array(row["high"], np.uint8).astype(np.int32) << 16
+
+
 class Chunk:
     def __init__(self, row: dict):
         self.id, self.ids, self.held = row["chunk"], row["ids"], np.array(row["held"], bool)
         self.lengths = np.array(row["lengths"], np.int64)
-        self.tokens = _array(row["tokens"], np.uint32 if row["wide"] else np.uint16)
+        self.tokens = _tokens(row)
         self.vocab, self.train = _array(row["vocab"], np.uint64), _array(row["train"], np.int32)
 
     def classes(self, frequent: np.ndarray) -> np.ndarray:
@@ -191,6 +191,13 @@ def sequences(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, n
     return start, np.minimum(size, lengths[doc] - nth * size), doc
 
 
+def blocks(lengths: np.ndarray, most: int = BLOCK_TOKENS) -> list[tuple[int, int]]:
+    """Ranges of sequences or texts with about ``most`` tokens."""
+    which = (np.cumsum(lengths) - lengths) // most
+    cut = np.flatnonzero(np.r_[True, which[1:] != which[:-1], True]) if len(lengths) else []
+    return list(zip(cut[:-1], cut[1:]))
+
+
 def expected(symbols: np.ndarray, start: np.ndarray, length: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts of (class, state), of (state, state) and of first
     states over sequences, and their log likelihood: scaled forward and
@@ -301,8 +308,8 @@ def _pass_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, model) -
     k, counts, moves, begins, log = len(m.begin), None, None, None, 0.0
     for c in _chunks(batches):
         symbols, start, size = _learners(c, frequent)
-        if len(size):
-            got = expected(symbols, start, size, m)
+        for a, b in blocks(size):
+            got = expected(symbols, start[a:b], size[a:b], m)
             counts, moves, begins = got[:3] if counts is None else (counts + got[0], moves + got[1], begins + got[2])
     if counts is not None:
         row = np.concatenate([np.arange(len(counts)), -2 - np.arange(k), [-1]])
@@ -327,13 +334,17 @@ def _score(ids: list, held: np.ndarray, lengths: np.ndarray, tokens: np.ndarray,
     # An unknown word is a class of its own, the last one.
     share = np.where(known, np.log((counts + 0.5) / np.where(known, mass[classes], 1)) + np.log1p(-0.5 / total), 0.0)
     classes = np.where(known, classes, len(mass))
-    ends = np.cumsum(lengths)
-    begin = ends - lengths
-    sums = np.concatenate([[0.0], np.cumsum(base[tokens])])
-    knows = np.concatenate([[0], np.cumsum(known[tokens])])
-    log = forward(classes[tokens], share[tokens], lengths, model)
-    ten = np.log(10.0)
-    return pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "held_out": held, "n_tokens": lengths, "n_known": knows[ends] - knows[begin], "base_score": (sums[ends] - sums[begin]) / ten, "score": log / ten})
+    ends, out, ten = np.cumsum(lengths), [], np.log(10.0)
+    for a, b in blocks(lengths):
+        own = tokens[ends[a] - lengths[a] : ends[b - 1]]
+        size = lengths[a:b]
+        stop = np.cumsum(size)
+        sums = np.concatenate([[0.0], np.cumsum(base[own])])
+        knows = np.concatenate([[0], np.cumsum(known[own])])
+        log = forward(classes[own], share[own], size, model)
+        out.append((knows[stop] - knows[stop - size], (sums[stop] - sums[stop - size]) / ten, log / ten))
+    n_known, base_score, score = (np.concatenate(x) for x in zip(*out))
+    return pd.DataFrame({"id": pd.array(ids, dtype="Int64"), "held_out": held, "n_tokens": lengths, "n_known": n_known, "base_score": base_score, "score": score})
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, passes: int = PASSES) -> DataFrame:
@@ -348,7 +359,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held = F.coalesce(remainder(id_col) == 1, F.lit(False))
     src = docs.select(F.col(id_col).cast("long").alias("id"), held.alias("held"), F.col(text_col).cast("binary").alias("data"))
     chunks = materialize(src.mapInArrow(partial(_chunk_task, most=CHUNK_TOKENS), _CHUNK), "chunks")
-    words = chunks.select("chunk", "ids", "held", "lengths", "vocab", "train", "wide", F.lit(b"").alias("tokens")).mapInArrow(_vocab_task, "word long, n int").groupBy("word").agg(F.sum("n").alias("c"))
+    words = chunks.select("chunk", "ids", "held", "lengths", "vocab", "train", F.lit(b"").alias("low"), F.lit(b"").alias("high")).mapInArrow(_vocab_task, "word long, n int").groupBy("word").agg(F.sum("n").alias("c"))
     words = materialize(words, "words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total = n + 0.5 * (v + 1)
@@ -397,11 +408,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             often, counts = classes < len(known), np.zeros(len(classes))
             counts[often] = known[classes[often]]
             counts[own["at"].to_numpy()] = own["c"].to_numpy()
-            tokens = _array(row["tokens"], np.uint32 if row["wide"] else np.uint16)
-            out.append(_score(row["ids"], np.array(row["held"], bool), np.array(row["lengths"], np.int64), tokens, classes, counts, model, mass, total))
+            out.append(_score(row["ids"], np.array(row["held"], bool), np.array(row["lengths"], np.int64), _tokens(row), classes, counts, model, mass, total))
         return pd.concat(out) if out else pd.DataFrame(columns=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     kind = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    classed = chunks.mapInArrow(partial(_class_task, frequent=frequent), "chunk long, ids array<long>, held array<boolean>, lengths array<int>, wide boolean, tokens binary, classes binary")
+    classed = chunks.mapInArrow(partial(_class_task, frequent=frequent), "chunk long, ids array<long>, held array<boolean>, lengths array<int>, low binary, high binary, classes binary")
     out = classed.groupBy("chunk").cogroup(rare.groupBy("chunk")).applyInPandas(score, kind)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
