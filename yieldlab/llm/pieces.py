@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .common import small_batches, text_rows
 
 SPACE = "▁"
-CACHE_WORDS, CACHE_CHARS = 150_000, 64
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NEVER = np.iinfo(np.int32).max
 
@@ -82,6 +82,8 @@ class Vocabulary:
             inner = np.array([len(self.pieces[i]) > 1 for i in part], bool)
             early[part[inner & (ranks[made] <= ranks[part])]] = True
         self.lone = early | (np.isin(ranks, np.flatnonzero(shared)) & (ranks < NEVER))
+        #: What a piece reads as behind others, if it says so by itself.
+        self.reads = [p.replace(SPACE, " ") if k == NORMAL else None for p, k in zip(self.pieces, kinds)]
         letters = re.escape("".join(sorted(self.joins - {SPACE})))
         # a run of spaces with what joins it; a run that follows something else; one character that joins nothing
         self.split = re.compile(f"{SPACE}+[{letters}]*|[{letters}]+|[^{letters}{SPACE}]", re.S)
@@ -108,19 +110,24 @@ def encode_words(vocab: Vocabulary, words: list[str]) -> list[list[int]]:
     out: list = [None] * len(words)
 
     def finish(sym: np.ndarray, word: np.ndarray) -> None:
-        if not len(sym):
-            return
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        for w, ids in zip(word[starts].tolist(), np.split(sym, starts[1:])):
-            ids = ids.tolist()
-            if min(ids) < 0:
-                ids = [j for i in ids for j in ([i] if i >= 0 else vocab.bytes[list(chr(-1 - i).encode("utf-8", "surrogatepass"))].tolist())]
-            out[w] = ids
-
+        raw = np.minimum.reduceat(sym, starts) < 0
+        ids, stops = sym.tolist(), [*starts[1:].tolist(), len(sym)]
+        for w, a, b, r in zip(word[starts].tolist(), starts.tolist(), stops, raw.tolist()):
+            own = ids[a:b]
+            if r:
+                own = [j for i in own for j in ([i] if i >= 0 else vocab.bytes[list(chr(-1 - i).encode("utf-8", "surrogatepass"))].tolist())]
+            out[w] = own
+
+    def pairs(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece and rank of the symbols at ``left`` with those behind them."""
+        right = np.minimum(left + 1, len(sym) - 1)
+        made, rank = vocab.merged(sym[left], sym[right])
+        return made, np.where((word[left] == word[right]) & (right > left), rank, NEVER)
+
+    if len(sym):
+        piece, rank = pairs(np.arange(len(sym)))
     while len(sym):
-        piece, rank = vocab.merged(sym[:-1], sym[1:])
-        inside = word[:-1] == word[1:]
-        rank = np.append(np.where(inside, rank, NEVER), NEVER)
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         size = np.diff(np.r_[starts, len(sym)])
         best = np.minimum.reduceat(rank, starts)
@@ -128,13 +135,10 @@ def encode_words(vocab: Vocabulary, words: list[str]) -> list[list[int]]:
         if done.any():
             rest = np.repeat(~done, size)
             finish(sym[~rest], word[~rest])
-            piece, sym, word, rank = np.append(piece, -1)[rest], sym[rest], word[rest], rank[rest]
+            sym, word, piece, rank = sym[rest], word[rest], piece[rest], rank[rest]
             best, size = best[~done], size[~done]
             if not len(sym):
                 break
-            starts = np.cumsum(size) - size
-        else:
-            piece = np.append(piece, -1)
         at = np.flatnonzero(rank == np.repeat(best, size))
         # Of one word: the leftmost only where it must be, else every other one of a run of overlapping pairs.
         first = np.r_[True, word[at[1:]] != word[at[:-1]]]
@@ -145,7 +149,11 @@ def encode_words(vocab: Vocabulary, words: list[str]) -> list[list[int]]:
         sym[at] = piece[at]
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
-        sym, word = sym[keep], word[keep]
+        at = np.cumsum(keep)[at] - 1
+        sym, word, piece, rank = sym[keep], word[keep], piece[keep], rank[keep]
+        # only the pairs on both sides of a merged one have changed
+        new = np.unique(np.concatenate([np.maximum(at - 1, 0), at]))
+        piece[new], rank[new] = pairs(new)
     return [x if x is not None else [] for x in out]
 
 
@@ -225,9 +233,14 @@ def _digest_task(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa
     vocab = Vocabulary(model)
     encoder = Encoder(vocab)
 
+    decimal, reads = [str(i) for i in range(len(vocab.pieces))], vocab.reads
+
     def join(ids: list[int]) -> tuple[str, int, str]:
-        # behind a letter nothing is dropped, so that a word decodes as it does within a text
-        return ",".join(map(str, ids)), len(ids), decode_ids(vocab, [vocab.ids["a"], *ids])[1:]
+        try:
+            text = "".join([reads[i] for i in ids])
+        except TypeError:  # bytes; behind a letter nothing is dropped, as within a text
+            text = decode_ids(vocab, [vocab.ids["a"], *ids])[1:]
+        return ",".join([decimal[i] for i in ids]), len(ids), text
 
     ids, texts, held = [], [], 0
 
