@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, text_rows
+from .common import materialize, small_batches, text_rows
 
 LEAST_REVISIT = 1000  # bytes of a payload that may be revisited
 SEGMENT_CHARS, CHUNK_CHARS, FILE_ROWS = 16_384, 4096, 2000
@@ -235,6 +235,7 @@ def page_report(archived: DataFrame) -> DataFrame:
         F.octet_length("payload").cast("long").alias("own"), F.regexp_extract("digest", "^sha1:(.*)$", 1).alias("payload_digest"),
         F.col("type").alias("record_type"), F.when(F.col("type") == "revisit", page("refers_to").cast("long")).alias("refers_to"),
     )
+    rows = materialize(rows, "pages")  # without payloads; the archive is taken apart once
     of = ["refers_to", "payload_digest"]
     theirs = rows.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", F.col("own").alias("theirs"))
     wanted = theirs.join(rows.filter("record_type = 'revisit'").select(*of).distinct(), of).groupBy(*of).agg(F.max("theirs").alias("theirs"))
