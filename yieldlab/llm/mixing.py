@@ -16,11 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import materialize, partitions
 
 RATE = 16.0
 #: P(X > 80) of a Poisson number X with mean 16 is below 1e-29, smaller than a step of the hashed number.
 TAIL = 80
+#: Sources whose rates are sent to every executor; with more, they are joined.
+SMALL = 100_000
 
 
 def hashed(*parts: Column) -> Column:
@@ -73,7 +75,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str =
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     row = F.coalesce(F.col(f"c{names.index(id_col)}").cast("string"), F.lit("null"))
-    per = rates(docs, targets, source_col, power, epochs)
+    per = materialize(rates(docs, targets, source_col, power, epochs), "rates")
+    per = F.broadcast(per) if per.count() <= SMALL else per
     source = F.col(f"c{names.index(source_col)}")
     joined = plain.join(per, source.eqNullSafe(F.col("source")), "left").drop("source")
     draws = F.greatest(F.ceil(F.col("rate") / RATE), F.lit(1)).cast("int")
