@@ -83,14 +83,19 @@ def test_bracket_medians_exact_with_ties_and_misses(spark):
         5: [rnd.gauss(0, 1) for _ in range(256)],                  # even count
     }
     df = _long(spark, cols)
-    spark.conf.set("spark.yieldlab.exactMedianRows", "0")  # force the bracket path
-    try:
-        for acc, margin in ((10000, None), (20, 0.0), (5, 0.3)):   # margin 0 forces misses
-            got = {r.sensor_no: r.median for r in
-                   C.exact_medians(df, accuracy=acc, margin=margin).collect()}
-            for s, vals in cols.items():
-                assert got[s] == float(np.median(vals)), (acc, margin, s)
-    finally:
-        spark.conf.unset("spark.yieldlab.exactMedianRows")
-    small = {r.sensor_no: r.median for r in C.exact_medians(df).collect()}
-    assert small == {s: float(np.median(vals)) for s, vals in cols.items()}
+    for acc, margin in ((10000, None), (20, 0.0), (5, 0.3)):   # margin 0 forces misses
+        got = {r.sensor_no: r.median for r in
+               C.exact_medians(df, accuracy=acc, margin=margin).collect()}
+        for s, vals in cols.items():
+            assert got[s] == float(np.median(vals)), (acc, margin, s)
+
+
+def test_separation_without_spread(spark):
+    """A sensor that separates the classes perfectly, and a constant one."""
+    from yieldlab.operators.screening import sensor_separation
+
+    rows = [(i, s, v, y) for i, y in enumerate((0, 0, 1, 1)) for s, v in ((1, 1.0 + 4 * y), (2, 3.0), (3, float(i)))]
+    df = spark.createDataFrame(rows, "unit_no long, sensor_no int, value double, Label int")
+    got = {r.sensor_no: r for r in sensor_separation(df).collect()}
+    assert (got[1].s2n, got[1].welch_t, got[1].f_stat, got[1].pearson_r) == (None, None, None, 1.0)
+    assert got[2].s2n is None and got[3].s2n is not None

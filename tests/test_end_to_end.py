@@ -56,6 +56,11 @@ def test_run_from_text(spark, tmp_path):
     assert days == sorted(days)
     ranks = [r.Impact_Rank for r in spark.table("v_high_risk_sensors").collect()]
     assert ranks == sorted(ranks)
+    assert set(run.evaluation) == {"confusion_matrix", "classification_report", "roc_auc", "global_importance",
+                                   "recurring_sensors", "table_row_counts"}
+    assert all(df.count() > 0 or n_fail == 0 for df in run.evaluation.values())
+    assert run.attributions.select("Wafer_ID").distinct().count() <= n_fail
+    assert run.scored.count() == 24
 
 
 def test_all_times_unreadable_gets_even_axis(spark, tmp_path):

@@ -94,26 +94,3 @@ def test_global_rank_with_ties(spark):
     got = {r.id: r.rank for r in global_rank(df, "x").collect()}
     naive = df.withColumn("r", F.rank().over(Window.orderBy(F.col("x").desc_nulls_last())))
     assert got == {r.id: r.r for r in naive.collect()}
-
-
-def test_global_rank_distributed_path(spark):
-    vals = [5.0, 3.0, 5.0, 1.0, 3.0, 9.0, None, 3.0]
-    df = spark.createDataFrame(list(enumerate(vals)), "id long, x double")
-    spark.conf.set("spark.yieldlab.singleTaskRows", "0")
-    try:
-        got = {r.id: r.rank for r in global_rank(df, "x").collect()}
-    finally:
-        spark.conf.unset("spark.yieldlab.singleTaskRows")
-    naive = df.withColumn("r", F.rank().over(Window.orderBy(F.col("x").desc_nulls_last())))
-    assert got == {r.id: r.r for r in naive.collect()}
-
-
-def test_global_index_broadcast_offsets(spark, monkeypatch):
-    from yieldlab.operators import ordering
-
-    monkeypatch.setattr(ordering, "LITERAL_OFFSETS_MAX", 2)
-    df = _frame(spark, n=211)
-    got, n = global_index(df, ["k", "id"], num_partitions=9)
-    naive = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "id")) - 1)
-    assert n == 211
-    assert {r.id: r[IDX] for r in got.collect()} == {r.id: r.rn for r in naive.collect()}

@@ -92,11 +92,5 @@ def test_exact_medians_property(spark, cells):
         vals = [r[2] for r in rows if r[1] == s and r[2] is not None]
         if vals:
             exp[s] = float(np.median(vals))
-    for forced in ("0", None):
-        if forced is not None:
-            spark.conf.set("spark.yieldlab.exactMedianRows", forced)
-        try:
-            got = {r.sensor_no: r.median for r in C.exact_medians(df, accuracy=50).collect()}
-        finally:
-            spark.conf.unset("spark.yieldlab.exactMedianRows")
-        assert got == exp
+    got = {r.sensor_no: r.median for r in C.exact_medians(df, accuracy=50).collect()}
+    assert got == exp

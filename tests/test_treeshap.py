@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -78,8 +79,7 @@ def test_gbt_additivity_and_bundle_round_trip(spark, tmp_path):
         rows.append((i, a, b, c, 1 if a + 0.5 * b + rnd.gauss(0, 0.5) > 0.8 else 0))
     df = spark.createDataFrame(rows, "unit long, f1 double, f2 double, f3 double, Label int")
     df = MD.with_class_weight(df, "Label", 3.0).withColumn("is_validation", F.col("unit") >= 270)
-    bundle = MD.train_gbt(df, ["f1", "f2", "f3"], params=MD.GBTParams(max_iter=15, max_depth=3, patience=3,
-                                                                      early_stopping="patience"))
+    bundle = MD.train_gbt(df, ["f1", "f2", "f3"], params=MD.GBTParams(max_iter=15, max_depth=3, patience=3))
     assert bundle.meta["n_trees"] >= 1
     tab = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt, str(tmp_path / "trees")), 3)
     feats = df.withColumn("features_arr", F.array("f1", "f2", "f3")).withColumn("Wafer_ID", F.col("unit"))
@@ -145,8 +145,63 @@ def test_patience_on_average_precision(spark):
     df = spark.createDataFrame(rows, "unit long, f1 double, Label int").withColumn(
         "is_validation", F.col("unit") >= 160)
     b = MD.train_gbt(df, ["f1"], weight_col=None, params=MD.GBTParams(
-        max_iter=8, max_depth=2, patience=3, early_stopping="patience"))
+        max_iter=8, max_depth=2, patience=3))
     assert b.meta["stopping_metric"] == "aucpr"
     curve = b.meta["validation_curve"]
     assert b.meta["best_iteration"] == int(np.argmin(curve[: b.meta["best_iteration"] + 1]))
     assert len(b.gbt.trees) == b.meta["best_iteration"] + 1
+
+
+@pytest.mark.parametrize("depth", [8, 14])
+def test_deep_paths_add_up(depth):
+    rnd = random.Random(depth)
+    M = depth + 2
+    trees = [_random_tree(rnd, M, depth if depth < 10 else 11)]
+    nodes, at = {}, 0  # and one chain of ``depth`` different features
+    for level in range(depth):
+        nodes[at] = (0.0, 100.0 * 0.7**level, at + 1, at + 2, level, rnd.uniform(-1, 1))
+        nodes[at + 1] = (rnd.uniform(-1, 1), 30.0 * 0.7**level, -1, -1, 0, 0.0)
+        at += 2
+    nodes[at] = (1.0, 100.0 * 0.7**depth, -1, -1, 0, 0.0)
+    trees.append({"weight": 1.0, "nodes": nodes})
+    tab = TS.build_leaf_tables(trees, M, scale=1.0)
+    assert tab.depth >= depth
+    X = np.array([[rnd.uniform(-1.2, 1.2) for _ in range(M)] for _ in range(5)])
+    got = TS.shap_matrix(X, tab)
+    for row, x in enumerate(X):
+        f = sum(t["weight"] * _cond_exp(t, x, set(range(M))) for t in trees)
+        assert abs(tab.base + got[row].sum() - f) < 1e-9
+    if depth == 8:
+        assert np.allclose(got[0], _brute_shap(trees, X[0], M), atol=1e-9)
+
+
+def test_model_learns_and_keeps_its_layout(spark):
+    """Many trees, both classes, better than two trees, and the same model
+    with another number of shuffle partitions."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(1200):
+        x = [rnd.gauss(0, 1) for _ in range(5)]
+        rows.append((i, *x, 1 if x[0] + 0.8 * x[1] - 0.6 * x[2] * x[2] + rnd.gauss(0, 0.8) > 1.2 else 0))
+    names = [f"f{j}" for j in range(5)]
+    df = spark.createDataFrame(rows, "unit long, " + ", ".join(f"{n} double" for n in names) + ", Label int")
+    train = df.filter("unit < 900").withColumn("is_validation", F.col("unit") >= 700)
+    params = MD.GBTParams(max_iter=120)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    scores = []
+    for n in ("3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        b = MD.train_gbt(train.repartition(int(n)), names, weight_col=None, params=params)
+        scores.append({r.unit: r.probability_fail for r in MD.score(b, df.filter("unit >= 900")).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(b.gbt.trees) > 20
+    assert scores[0] == pytest.approx(scores[1])
+    label = {r[0]: r[-1] for r in rows}
+
+    def auc(s):
+        pos, neg = ([v for u, v in s.items() if label[u] == y] for y in (1, 0))
+        return np.mean([(p > q) + 0.5 * (p == q) for p in pos for q in neg])
+
+    two = {r.unit: r.probability_fail for r in MD.score(MD.first_trees(b, 2), df.filter("unit >= 900")).collect()}
+    assert auc(scores[0]) > auc(two) and auc(scores[0]) > 0.8
+    assert min(scores[0].values()) < 0.5 < max(scores[0].values())

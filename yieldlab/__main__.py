@@ -4,7 +4,8 @@
 
 Writes ``production_logs``, ``ml_predictions`` and ``root_cause_analysis``
 (Parquet, partitioned by production date) and the model bundle under
-OUT_DIR, and prints the run's metrics as one JSON line. Spark settings come
+OUT_DIR, prints the run's metrics, evaluation, row counts and view check as
+one JSON line, and deletes the tables it staged in the checkpoint folder. Spark settings come
 from the usual ``spark-submit`` / ``--conf`` mechanisms; set
 ``spark.checkpoint.dir`` to a shared folder on a cluster.
 """
@@ -25,16 +26,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--fit-cleaner-on", default="all", choices=["all", "train"])
     ap.add_argument("--top-n", type=int, default=3)
     ap.add_argument("--max-iter", type=int, default=400)
-    ap.add_argument(
-        "--early-stopping", default="spark", choices=["spark", "patience"],
-        help="patience: validation PR-AUC with 30 rounds of patience (the reference's rule)",
-    )
+    ap.add_argument("--explain", default="failures", choices=["failures", "all"])
     args = ap.parse_args(argv)
 
     from .operators.model import GBTParams, save_bundle
     from .plans.end_to_end import run_from_text
+    from .plans.quality import smoke_test
     from .sources.text import resolve_path
-    from .session import get_session
+    from .session import drop_materialized, get_session
 
     spark = get_session()
     run = run_from_text(
@@ -45,10 +44,15 @@ def main(argv: list[str] | None = None) -> dict:
         tune_on=args.tune_on,
         fit_cleaner_on=args.fit_cleaner_on,
         top_n=args.top_n,
-        gbt_params=GBTParams(max_iter=args.max_iter, early_stopping=args.early_stopping),
+        gbt_params=GBTParams(max_iter=args.max_iter),
+        explain=args.explain,
     )
     save_bundle(run.bundle, f"{args.out_dir}/model")
     metrics = dict(run.metrics, views=run.views)
+    for name, df in run.evaluation.items():  # small tables
+        metrics[name] = [r.asDict() for r in df.collect()]
+    metrics["smoke_test"] = [r.asDict() for r in smoke_test(spark, run.views).collect()]
+    drop_materialized(spark)
     print(json.dumps(metrics, default=str))
     return metrics
 

@@ -87,15 +87,6 @@ def drop_high_missing(
     return long_df.join(keep.select(sensor_col), sensor_col, "left_semi")
 
 
-EXACT_BUFFER_ROWS = 1_000_000
-
-
-def exact_buffer_rows(spark) -> int:
-    """Readings up to which exact medians may use in-memory aggregate buffers
-    (``spark.yieldlab.exactMedianRows``, default 1,000,000; checked by a count)."""
-    return int(spark.conf.get("spark.yieldlab.exactMedianRows", str(EXACT_BUFFER_ROWS)))
-
-
 def _medians_by_sort(vals: DataFrame, sensor_col: str, value_col: str, unit_col: str):
     """All readings get a dense position in (sensor, value, unit) order
     (range partitioned, so even a sensor with a third of all rows is spread
@@ -126,10 +117,7 @@ def exact_medians(
     count) without sorting a whole sensor, or the whole table, in one place.
 
     ``method="sort"`` ranks every reading (one range shuffle of all data).
-    ``method="bracket"`` (default): when the reading count (known after the
-    first pass) is at most ``spark.yieldlab.exactMedianRows``, exact
-    ``percentile_disc`` aggregates give the two middle values at once;
-    otherwise only a thin slice is sorted:
+    ``method="bracket"`` (default) sorts a thin slice only:
 
     1. one aggregation pass: count and approximate quantiles ``0.5 -+ d``
        per sensor (``percentile_approx``, bounded buffers) -> ``[lo, hi]``;
@@ -156,15 +144,6 @@ def exact_medians(
         .select(s, "_c", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")),
         "median-bracket",
     )
-    total = br.agg(F.sum("_c")).first()[0] or 0
-    if total <= exact_buffer_rows(vals.sparkSession):
-        # Proven small: exact per-sensor aggregates whose buffers hold at
-        # most ``total`` readings; lower and upper middle value directly.
-        mid = vals.groupBy(s).agg(
-            F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{v}`)").alias("_a"),
-            F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{v}` DESC)").alias("_b"),
-        )
-        return mid.select(s, ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias("median"))
     tagged = vals.join(br.select(s, "_lo", "_hi"), s)
     x, lo_v, hi_v = F.col(v), F.col("_lo"), F.col("_hi")
     counts = tagged.groupBy(s).agg(

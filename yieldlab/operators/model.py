@@ -6,12 +6,13 @@ Mapping of the reference's hyper-parameters (re-aimed, not bit-equal):
 row subsample 0.8 -> ``subsamplingRate``; column share 0.6 ->
 ``featureSubsetStrategy="0.6"`` (per node instead of per tree); min child
 weight 5 -> ``minInstancesPerNode``; class weight ``n_neg / n_pos`` ->
-``weightCol``; early stopping on the last 10% of the training rows ->
-``validationIndicatorCol`` with ``validationTol`` by default (stops at the
-first round whose validation log loss does not improve by that share), or
-``early_stopping="patience"``: validation PR-AUC with 30 rounds of patience
-as in the reference, then a refit with the best number of rounds. L1/L2 and
-gamma have no Spark counterpart.
+``weightCol``; early stopping on the last 10% of the training rows -> validation PR-AUC with
+30 rounds of patience, as in the reference; the best prefix of the fitted
+trees is the model. Splits are sought among ``max_bins`` quantiles of a sensor
+(Spark's trees need a number; the reference's default histogram has 256).
+L1/L2 and gamma have no Spark counterpart. Rows are laid out by a hash of the
+row key before fitting, so the model doesn't depend on the session's shuffle
+settings.
 """
 
 from __future__ import annotations
@@ -38,14 +39,13 @@ class GBTParams:
     feature_subset: str = "0.6"
     min_instances_per_node: int = 5
     min_info_gain: float = 0.0
-    validation_tol: float = 0.0
-    max_bins: int = 32
+    max_bins: int = 256
     seed: int = 42
-    early_stopping: str = "spark"  # "spark" (built-in) or "patience"
     patience: int = 30
-    stopping_metric: str = "aucpr"  # patience mode: validation "aucpr" or "logloss"
+    stopping_metric: str = "aucpr"  # on the validation rows: "aucpr" or "logloss"
     cache_node_ids: bool = True  # node ids cached and checkpointed every 10 rounds
     checkpoint_interval: int = 10
+    rows_per_partition: int = 50_000  # of the rows as laid out for fitting
 
 
 @dataclass
@@ -91,18 +91,37 @@ def train_gbt(
 
     Rows with ``validation_col`` true are not fitted; they drive early
     stopping. Training runs as distributed Spark jobs; only trees reach the
-    driver.
+    driver. The number of rounds is raised until ``patience`` of them bring
+    no improvement; the trees behind the best round are cut off.
     """
     p = params or GBTParams()
     if p.cache_node_ids:
         ensure_checkpoint_dir(train.sparkSession)  # the node-id cache checkpoints there
-    if p.early_stopping == "patience" and validation_col and validation_col in train.columns:
-        return _train_with_patience(train, feature_cols, label_col, weight_col, validation_col, p)
+    train = train.withColumn(label_col, F.col(label_col).cast("double"))
+    watched = validation_col if validation_col and validation_col in train.columns else None
+    fit_rows = train.filter(~F.col(watched)) if watched else train
+    fit_rows = laid_out(fit_rows, feature_cols, p.rows_per_partition).persist()
+    try:
+        if not watched or train.filter(F.col(watched)).limit(1).count() == 0:
+            return _fit(fit_rows, feature_cols, label_col, weight_col, p.max_iter, p)
+        return _fit_with_patience(fit_rows, train.filter(F.col(watched)), feature_cols, label_col, weight_col, p)
+    finally:
+        fit_rows.unpersist()
+
+
+def laid_out(rows: DataFrame, feature_cols: list[str], per_partition: int) -> DataFrame:
+    """Rows in partitions and an order that follow from their values alone."""
+    n = max(1, -(-rows.count() // per_partition))
+    key = F.xxhash64(*feature_cols)
+    return rows.repartition(n, key).sortWithinPartitions(key, *feature_cols[:3])
+
+
+def _fit(rows, feature_cols, label_col, weight_col, rounds, p) -> ModelBundle:
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(
         featuresCol="features",
         labelCol=label_col,
-        maxIter=p.max_iter,
+        maxIter=rounds,
         maxDepth=p.max_depth,
         stepSize=p.step_size,
         subsamplingRate=p.subsampling_rate,
@@ -117,53 +136,49 @@ def train_gbt(
     )
     if weight_col:
         gbt.setWeightCol(weight_col)
-    if validation_col and validation_col in train.columns:
-        gbt.setValidationIndicatorCol(validation_col)
-        gbt._set(validationTol=p.validation_tol)
-    data = train.withColumn(label_col, F.col(label_col).cast("double"))
-    model = Pipeline(stages=[assembler, gbt]).fit(data)
-    gbt_model = model.stages[-1]
-    meta = {"params": asdict(p), "n_trees": len(gbt_model.trees)}
+    model = Pipeline(stages=[assembler, gbt]).fit(rows)
+    meta = {"params": asdict(p), "n_trees": len(model.stages[-1].trees)}
     return ModelBundle(model, list(feature_cols), 0.5, meta)
 
 
-def _train_with_patience(train, feature_cols, label_col, weight_col, validation_col, p):
-    """Fit without the validation rows, read the validation loss of every
-    prefix with ``evaluateEachIteration`` (one distributed pass), grow the
-    round budget until ``patience`` rounds pass without improvement, then
-    refit with the best number of rounds (same seed, so the same trees)."""
-    from dataclasses import replace
-
-    fit_rows = train.filter(~F.col(validation_col))
-    val_rows = train.filter(F.col(validation_col)).withColumn(
-        label_col, F.col(label_col).cast("double")
-    )
-    rounds = min(p.max_iter, p.patience + 20)
+def first_trees(bundle: ModelBundle, n: int) -> ModelBundle:
+    """The model made of the first ``n`` trees of ``bundle``."""
+    gbt = bundle.gbt
+    sc = SparkSession.getActiveSession().sparkContext
+    old = gbt._java_obj
+    kind = sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = sc._gateway.new_array(kind, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = old.trees()[i], old.treeWeights()[i]
+    new = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(old.uid(), trees, weights)
+    cut = GBTClassificationModel(old.copyValues(new, sc._jvm.org.apache.spark.ml.param.ParamMap.empty()))
+    meta = dict(bundle.meta, n_trees=n)
+    return ModelBundle(PipelineModel([bundle.model.stages[0], cut]), bundle.feature_names, bundle.threshold, meta)
+
+
+def _fit_with_patience(fit_rows, val_rows, feature_cols, label_col, weight_col, p) -> ModelBundle:
+    """One validation figure for each prefix of the fitted trees (a
+    distributed pass); twice the rounds while the best is too near the end
+    (the same seed gives the same first trees)."""
+    from .treeshap import build_leaf_tables, read_trees, validation_average_precision
+
+    rounds = min(p.max_iter, 2 * p.patience + 40)
     while True:
-        spark_p = replace(p, max_iter=rounds, early_stopping="spark")
-        bundle = train_gbt(fit_rows, feature_cols, label_col, weight_col, None, spark_p)
+        bundle = _fit(fit_rows, feature_cols, label_col, weight_col, rounds, p)
         if p.stopping_metric == "aucpr":
-            # validation average precision of every prefix (higher is better)
-            from .treeshap import build_leaf_tables, read_trees, validation_average_precision
-
-            spark = train.sparkSession
+            spark = fit_rows.sparkSession
             tables = build_leaf_tables(read_trees(spark, bundle.gbt), len(feature_cols))
-            feats = val_rows.withColumn(
-                "_feats", F.array(*[F.col(c).cast("double") for c in feature_cols])
-            )
-            aps = validation_average_precision(feats, tables, "_feats", label_col)
-            losses = [-a for a in aps]
+            feats = val_rows.withColumn("_feats", F.array(*[F.col(c).cast("double") for c in feature_cols]))
+            losses = [-a for a in validation_average_precision(feats, tables, "_feats", label_col)]
         else:
-            losses = bundle.gbt.evaluateEachIteration(bundle.model.stages[0].transform(val_rows))
-        best, stopped = best_prefix(list(losses), p.patience)
+            losses = list(bundle.gbt.evaluateEachIteration(bundle.model.stages[0].transform(val_rows)))
+        best, stopped = best_prefix(losses, p.patience)
         if stopped or rounds >= p.max_iter:
             break
         rounds = min(p.max_iter, rounds * 2)
     if best + 1 < len(bundle.gbt.trees):
-        bundle = train_gbt(
-            fit_rows, feature_cols, label_col, weight_col, None,
-            replace(p, max_iter=best + 1, early_stopping="spark"),
-        )
+        bundle = first_trees(bundle, best + 1)
     bundle.meta["best_iteration"] = best
     bundle.meta["stopping_metric"] = p.stopping_metric
     bundle.meta["validation_curve"] = [float(x) for x in losses[: best + p.patience + 1]]

@@ -35,7 +35,6 @@ IDX = "_idx"
 BUCKET = "_bucket"
 _PART = "_range_part"
 _POS = "_range_pos"
-LITERAL_OFFSETS_MAX = 1000  # above this many range partitions, broadcast the offsets
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -69,14 +68,7 @@ def global_index(
     for p in range(max(counts, default=0) + 1):
         offsets.append(running)
         running += counts.get(p, 0)
-    if len(offsets) <= LITERAL_OFFSETS_MAX:
-        # A literal array of one offset per range partition (constant-folded).
-        offset = F.element_at(
-            F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PART) + 1
-        )
-        return staged.withColumn(idx_col, offset + F.col(_POS)).drop(_PART, _POS), running
-    # Many partitions: ship the offsets once per executor instead of inside
-    # every task (one row per range partition, so the broadcast is bounded).
+    # One row per range partition, so the broadcast is bounded.
     table = spark.createDataFrame(list(enumerate(offsets)), f"{_PART} int, _off long")
     joined = staged.join(F.broadcast(table), _PART)
     return (
@@ -85,15 +77,6 @@ def global_index(
     )
 
 
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def single_task_rows(spark) -> int:
-    """Row count up to which a table whose size was just checked may be
-    ordered in one task (``spark.yieldlab.singleTaskRows``, default 1,000,000)."""
-    return int(spark.conf.get("spark.yieldlab.singleTaskRows", str(SINGLE_TASK_ROWS)))
-
-
 def bucket_size(spark, n_rows: int, min_size: int = 1) -> int:
     """Rows per bucket so that there are about ``shuffle.partitions`` buckets."""
     return max(min_size, math.ceil(max(n_rows, 1) / shuffle_partitions(spark)))
@@ -230,14 +213,10 @@ def global_rank(
     counts over the distinct values. NULLs sort last for DESC, first for ASC
     (Spark's defaults).
     """
-    # Materialise once: the counts and the join back both read the input,
-    # and the written table gives an exact row count.
+    # Materialise once: the counts and the join back both read the input.
     df = materialize(df, "rank")
     v = F.col(value_col)
     key = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    if df.count() <= single_task_rows(df.sparkSession):
-        # Proven small (typically one row per sensor): one task ranks it.
-        return df.withColumn(rank_col, F.rank().over(Window.orderBy(key)).cast("long"))
     counts = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(counts, [key], ["_n"]).select(
         F.col(value_col).alias("_v"), (F.col("_n_cum") - F.col("_n") + 1).alias(rank_col)

@@ -28,17 +28,20 @@ def sensor_separation(
         F.avg(x1).alias("_m1"),
         F.var_samp(x0).alias("_v0"),
         F.var_samp(x1).alias("_v1"),
-        F.corr(x, y.cast("double")).alias("_r"),
+        F.try_divide(
+            F.covar_pop(x, y.cast("double")), F.stddev_pop(x) * F.stddev_pop(y.cast("double"))
+        ).alias("_r"),
     )
     n0, n1 = F.col("n_pass").cast("double"), F.col("n_fail").cast("double")
     m0, m1, v0, v1 = (F.col(c) for c in ("_m0", "_m1", "_v0", "_v1"))
     diff = m1 - m0
-    s2n = diff / (F.sqrt(v0) + F.sqrt(v1))
-    welch = diff / F.sqrt(v0 / n0 + v1 / n1)
-    grand = (n0 * m0 + n1 * m1) / (n0 + n1)
+    # NULL where both classes have no spread at all (a perfect separator, or a constant)
+    s2n = F.try_divide(diff, F.sqrt(v0) + F.sqrt(v1))
+    welch = F.try_divide(diff, F.sqrt(F.try_divide(v0, n0) + F.try_divide(v1, n1)))
+    grand = F.try_divide(n0 * m0 + n1 * m1, n0 + n1)
     ssb = n0 * (m0 - grand) * (m0 - grand) + n1 * (m1 - grand) * (m1 - grand)
     ssw = (n0 - F.lit(1.0)) * v0 + (n1 - F.lit(1.0)) * v1
-    f_stat = ssb / (ssw / (n0 + n1 - F.lit(2.0)))
+    f_stat = F.try_divide(ssb, F.try_divide(ssw, n0 + n1 - F.lit(2.0)))
     r9 = lambda c: F.round(c, 9)
     return agg.select(
         sensor_col,

@@ -11,12 +11,14 @@ features, hit flags ``o`` and fractions ``z``, feature ``i`` receives
                                              * prod_{j in S} o_j
                                              * prod_{j not in S, j != i} z_j
 
-so for every leaf and each of the ``2^|P|`` hit patterns the contribution
-vector is precomputed once (size <= trees * 2^depth * 2^depth * depth).
-
-Data side (executors): the leaf table is broadcast; ``mapInPandas`` turns
-each Arrow batch of feature rows into pattern codes with numpy comparisons
-and adds the table entries per feature. Output is long:
+The weights are a Beta integral, so the sum is the integral over t in [0, 1]
+of ``prod_j (z_j (1 - t) + o_j t)`` for all j but i, a polynomial of degree
+``|P| - 1`` that Gauss-Legendre quadrature with ``ceil(|P| / 2)`` nodes gives
+exactly. The work is ``|P|^2`` a leaf and row, whatever the depth.
+
+Data side (executors): the leaf rules are broadcast (trees x 2^depth rows of
+``depth`` intervals); ``mapInPandas`` turns each Arrow batch of feature rows
+into hit flags with numpy comparisons and adds the integrals per feature. Output is long:
 ``id..., feature_index, Sensor_Name, SHAP_Value`` (exact zeros omitted),
 in log-odds units (Spark's margin is half the log-odds).
 """
@@ -38,7 +40,6 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 LOG_ODDS_SCALE = 2.0  # P(fail) = sigmoid(2 * margin) for Spark's logistic loss
-MAX_PATH_FEATURES = 12  # 2^12 hit patterns per leaf; the reference's depth is 5
 
 
 @dataclass
@@ -47,7 +48,7 @@ class LeafTables:
     lo: np.ndarray  # float64 [L, D]
     hi: np.ndarray  # float64 [L, D]
     width: np.ndarray  # int32 [L] number of distinct path features
-    table: np.ndarray  # float64 [L, 2^D, D] contribution per hit pattern
+    z: np.ndarray  # float64 [L, D] cover fraction per path slot (1 where unused)
     base: float  # expected value (log-odds)
     n_features: int
     depth: int
@@ -113,27 +114,6 @@ def _leaf_rules(tree: dict):
             stack.append((child, new))
 
 
-def _pattern_table(z: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Contributions ``[m, 2^p, p]`` for ``m`` leaves that all have ``p``
-    path features with fractions ``z [m, p]`` and values ``value [m]``."""
-    m, p = z.shape
-    patterns = ((np.arange(2**p)[:, None] >> np.arange(p)[None, :]) & 1).astype(float)
-    w = np.array([math.factorial(s) * math.factorial(p - s - 1) / math.factorial(p) for s in range(p)])
-    out = np.zeros((m, 2**p, p))
-    for i in range(p):
-        coef = np.zeros((m, 2**p, p))
-        coef[:, :, 0] = 1.0
-        for j in range(p):
-            if j == i:
-                continue
-            shifted = np.zeros_like(coef)
-            shifted[:, :, 1:] = coef[:, :, :-1]
-            coef = coef * z[:, None, j : j + 1] + shifted * patterns[None, :, j : j + 1]
-        total = (coef * w[None, None, :]).sum(-1)
-        out[:, :, i] = value[:, None] * (patterns[None, :, i] - z[:, None, i]) * total
-    return out
-
-
 def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODDS_SCALE) -> LeafTables:
     leaves = []
     tree_of = []
@@ -147,31 +127,19 @@ def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODD
             leaves.append((v, feats, [rule[f][0] for f in feats], [rule[f][1] for f in feats], z))
             tree_of.append(ti)
     depth = max([len(lf[1]) for lf in leaves] + [1])
-    if depth > MAX_PATH_FEATURES:
-        raise ValueError(
-            f"paths with {depth} distinct features: the per-leaf pattern table "
-            f"(2^{depth} entries per leaf) is only built up to {MAX_PATH_FEATURES}"
-        )
     L = len(leaves)
     feat = np.zeros((L, depth), np.int32)
     lo = np.full((L, depth), -np.inf)
     hi = np.full((L, depth), np.inf)
     width = np.zeros(L, np.int32)
-    table = np.zeros((L, 2**depth, depth))
-    for k, (_, fs, los, his, _) in enumerate(leaves):
+    zs = np.ones((L, depth))
+    for k, (_, fs, los, his, z) in enumerate(leaves):
         p = len(fs)
         width[k] = p
-        feat[k, :p], lo[k, :p], hi[k, :p] = fs, los, his
-    for p in range(1, depth + 1):
-        idx = np.nonzero(width == p)[0]
-        if len(idx) == 0:
-            continue
-        z = np.stack([leaves[k][4] for k in idx])
-        vals = np.array([leaves[k][0] for k in idx])
-        table[idx, : 2**p, :p] = _pattern_table(z, vals)
+        feat[k, :p], lo[k, :p], hi[k, :p], zs[k, :p] = fs, los, his, z
     values = np.array([lf[0] for lf in leaves], dtype=float)
     return LeafTables(
-        feat, lo, hi, width, table, base, n_features, depth,
+        feat, lo, hi, width, zs, base, n_features, depth,
         values, np.array(tree_of, dtype=np.int32), len(trees),
     )
 
@@ -258,17 +226,25 @@ def shap_matrix(X: np.ndarray, t: LeafTables, max_cells: int = 4_000_000) -> np.
         return phi.reshape(0, F)
     L, D = t.feat.shape
     chunk = max(1, max_cells // max(n * D, 1))
-    bit_w = (1 << np.arange(D)).astype(np.int64)
+    nodes, weights = np.polynomial.legendre.leggauss(max(1, (D + 1) // 2))
+    nodes, weights = (nodes + 1) / 2, weights / 2
     row_off = (np.arange(n, dtype=np.int64) * F)[:, None, None]
     for s in range(0, L, chunk):
         e = min(L, s + chunk)
         f = t.feat[s:e]
         vals = X[:, f]  # n, C, D
         used = np.arange(D)[None, :] < t.width[s:e, None]
-        hi = t.hi[s:e]
-        bits = (~(vals <= t.lo[s:e])) & ((vals <= hi) | np.isinf(hi)) & used
-        code = (bits.astype(np.int64) * bit_w).sum(-1)  # n, C
-        contrib = t.table[np.arange(s, e)[None, :], code]  # n, C, D
+        hi, z = t.hi[s:e], t.z[s:e]
+        hit = (((~(vals <= t.lo[s:e])) & ((vals <= hi) | np.isinf(hi))) | ~used).astype(float)
+        integral = np.zeros_like(hit)
+        for x, w in zip(nodes, weights):
+            factor = z * (1 - x) + hit * x  # 1 in unused slots
+            before = np.ones_like(factor)
+            after = np.ones_like(factor)
+            np.cumprod(factor[:, :, :-1], axis=2, out=before[:, :, 1:])
+            np.cumprod(factor[:, :, :0:-1], axis=2, out=after[:, :, -2::-1])
+            integral += w * before * after
+        contrib = t.value[s:e][None, :, None] * (hit - z) * integral * used
         idx = (row_off + f[None, :, :]).ravel()
         phi += np.bincount(idx, weights=contrib.ravel(), minlength=n * F)
     return phi.reshape(n, F)
@@ -306,7 +282,7 @@ def tree_attributions(
     _ship_by_value()
     plain = dict(
         feat=tables.feat, lo=tables.lo, hi=tables.hi, width=tables.width,
-        table=tables.table, n_features=tables.n_features,
+        z=tables.z, value=tables.value, n_features=tables.n_features,
     )
     bc = spark.sparkContext.broadcast((plain, list(feature_names)))
     id_fields = [df.schema[c] for c in id_cols]

@@ -27,11 +27,12 @@ from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import split as S
 from ..operators import treeshap as TS
-from ..operators.attribution import top_sensors_per_failure
+from ..operators.attribution import global_importance, recurring_sensors, top_sensors_per_failure
 from ..session import materialize
 from ..sources import tables as TB
 from ..sources import text as TX
 from . import views as V
+from .quality import table_row_counts
 
 
 @dataclass
@@ -44,6 +45,8 @@ class YieldRun:
     base_value: float
     metrics: dict = field(default_factory=dict)
     views: list = field(default_factory=list)
+    scored: DataFrame | None = None  # Wafer_ID, Probability of every test unit
+    evaluation: dict = field(default_factory=dict)  # small tables of the test units, by name
 
 
 def units_from_labels(labels: DataFrame, fallback_end: str | None = None) -> DataFrame:
@@ -76,12 +79,15 @@ def run_yield_analysis(
     register: bool = True,
     days: int = 7,
     out_dir: str | None = None,
+    explain: str = "failures",
 ) -> YieldRun:
     """``sensor_long``: ``unit_no, sensor_no, value``; ``units``:
     ``unit_no, Timestamp, Label`` (unit_no = 0-based file position).
 
     ``metrics["phase_seconds"]`` holds the wall clock spent in each phase by
-    the jobs the phase itself needs (outputs stay lazy until written)."""
+    the jobs the phase itself needs; each phase writes what it makes.
+    ``explain``: attributions of the predicted ``"failures"`` only, which the
+    root causes need, or of ``"all"`` test units."""
     clock = [time.perf_counter()]
     phases: dict[str, float] = {}
 
@@ -129,16 +135,20 @@ def run_yield_analysis(
     lap("threshold")
 
     tables = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt), len(names))
-    attributions = TS.tree_attributions(
-        test.withColumn("features_arr", F.array(*[F.col(n).cast("double") for n in names])),
-        tables,
-        names,
-        id_cols=("Wafer_ID",),
+    explained = test if explain == "all" else test.filter(F.col("probability_fail") >= threshold)
+    attributions = materialize(
+        TS.tree_attributions(
+            explained.withColumn("features_arr", F.array(*[F.col(n).cast("double") for n in names])),
+            tables,
+            names,
+            id_cols=("Wafer_ID",),
+        ),
+        "attributions",
     )
     rca = top_sensors_per_failure(
         attributions, predictions, top_n, tie_cols=("feature_index",)
     )
-    plogs = TB.production_logs(clean_long, units, sensors)
+    plogs = data.select("Wafer_ID", "Timestamp", "Label", *names)
     lap("attribution")
 
     # Write the three output tables once (to ``out_dir``, partitioned by
@@ -156,15 +166,26 @@ def run_yield_analysis(
     plogs, predictions, rca = (
         loaded["production_logs"], loaded["ml_predictions"], loaded["root_cause_analysis"]
     )
+    every = materialize(test.select("Wafer_ID", F.col("probability_fail").alias("Probability")), "scored")
     lap("table_load")
 
+    evaluation = {
+        "confusion_matrix": M.confusion_matrix(predictions),
+        "classification_report": M.classification_report(predictions),
+        "roc_auc": M.roc_auc(
+            every.join(predictions.select("Wafer_ID", "Actual_Result"), "Wafer_ID"), "Probability", "Actual_Result"
+        ),
+        "global_importance": global_importance(attributions),
+        "recurring_sensors": recurring_sensors(rca),
+        "table_row_counts": table_row_counts(loaded),
+    }
     run = YieldRun(predictions, rca, attributions, plogs, bundle, tables.base, {
         "threshold": threshold,
         "scale_pos_weight": float(cw["scale_pos_weight"]),
         "n_trees": bundle.meta.get("n_trees"),
         "n_features": len(names),
         "phase_seconds": phases,
-    })
+    }, scored=every, evaluation=evaluation)
     data.unpersist()
     scored.unpersist()
     if register:

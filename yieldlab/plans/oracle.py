@@ -188,17 +188,9 @@ FROM ks GROUP BY sensor_no""",
     )
 
 
-CLEAN = with_(
-    """SELECT s.unit_no, s.sensor_no, COALESCE(s.value, med.median) AS value
-FROM s JOIN keep2 USING (sensor_no) LEFT JOIN med USING (sensor_no)""",
-    s=SENSORS,
-    kept=KEPT,
-    ks=f"SELECT * FROM s WHERE sensor_no IN (SELECT sensor_no FROM kept)",
-    med=MEDIANS.format(src="ks"),
-    st="""SELECT sensor_no, COUNT(*) AS nr, COUNT(value) AS n, MIN(value) AS lo, MAX(value) AS hi
-FROM ks GROUP BY sensor_no""",
-    keep2="SELECT sensor_no FROM st WHERE NOT (n >= 1 AND nr >= 2 AND lo = hi)",
-)
+CLEAN = clean_sql(SENSORS)
+# The sensors that cleaning keeps: position % 16 = 0 is constant, above 50 mostly missing.
+KEPT_NAMES = ", ".join(f"'Sensor_{pos + 1}'" for pos in range(51) if pos % 16)
 
 SPLIT = """SELECT *, CAST(FLOOR(n * CAST(0.8 AS DOUBLE)) AS BIGINT) AS te,
   CAST(FLOOR(CAST(FLOOR(n * CAST(0.8 AS DOUBLE)) AS BIGINT) * CAST(0.9 AS DOUBLE)) AS BIGINT) AS fe
@@ -297,7 +289,7 @@ FROM s LEFT JOIN med USING (sensor_no)""",
         "remaining_missing": f"SELECT COUNT_IF(value IS NULL) AS remaining_missing FROM ({CLEAN}) c",
         "top_variance_sensors": f"""SELECT sensor_no, ROUND(var_samp(value), 12) AS variance
 FROM ({CLEAN}) c GROUP BY sensor_no HAVING var_samp(value) IS NOT NULL
-ORDER BY var_samp(value) DESC, sensor_no LIMIT 50""",
+ORDER BY var_samp(value) DESC, sensor_no LIMIT 20""",
         "control_limits": with_(
             """SELECT st.sensor_no, st.n_readings, ROUND(m, 9) AS mean, ROUND(sd, 9) AS std,
   ROUND(m - CAST(3.0 AS DOUBLE) * sd, 9) AS lower_limit,
@@ -315,7 +307,7 @@ FROM st LEFT JOIN (
   SELECT printf('WAFER_%04d', c.unit_no + 1) AS Wafer_ID, m.Timestamp, m.Label,
          'Sensor_' || CAST(c.sensor_no AS VARCHAR) AS sname, c.value
   FROM ({CLEAN}) c JOIN ({UNIT_META}) m USING (unit_no)
-) ON sname USING first(value) GROUP BY Wafer_ID, Timestamp, Label""",
+) ON sname IN ({KEPT_NAMES}) USING first(value) GROUP BY Wafer_ID, Timestamp, Label""",
         "assign_unit_id": """SELECT vec_id AS unit_no,
   printf('WAFER_%04d', row_number() OVER (ORDER BY vec_id)) AS Wafer_ID FROM embeddings""",
         "fill_timestamps": with_(
@@ -461,14 +453,15 @@ ORACLE.update(
     {
         "sensor_separation": with_(
             """SELECT sensor_no, n_pass, n_fail,
-  ROUND((m1 - m0) / (SQRT(v0) + SQRT(v1)), 9) AS s2n,
-  ROUND((m1 - m0) / SQRT(v0 / n_pass + v1 / n_fail), 9) AS welch_t,
+  ROUND((m1 - m0) / NULLIF(SQRT(v0) + SQRT(v1), 0), 9) AS s2n,
+  ROUND((m1 - m0) / NULLIF(SQRT(v0 / n_pass + v1 / n_fail), 0), 9) AS welch_t,
   ROUND(r, 9) AS pearson_r,
   ROUND((n_pass * (m0 - g) * (m0 - g) + n_fail * (m1 - g) * (m1 - g))
-        / (((n_pass - 1.0) * v0 + (n_fail - 1.0) * v1) / (n_pass + n_fail - 2.0)), 9) AS f_stat
+        / NULLIF(((n_pass - 1.0) * v0 + (n_fail - 1.0) * v1) / (n_pass + n_fail - 2.0), 0), 9) AS f_stat
 FROM (SELECT *, (n_pass * m0 + n_fail * m1) / (n_pass + n_fail) AS g FROM a) q""",
             c=CLEAN,
-            j=f"SELECT c.*, m.Label FROM c JOIN ({UNIT_META}) m USING (unit_no)",
+            j=f"""SELECT c.unit_no, c.sensor_no, c.value, m.Label FROM c JOIN ({UNIT_META}) m USING (unit_no)
+UNION ALL SELECT unit_no, 0, CAST(Label * 4 + 1 AS DOUBLE), Label FROM ({UNIT_META}) m""",
             a="""SELECT sensor_no,
   COUNT(value) FILTER (WHERE Label = 0) AS n_pass,
   COUNT(value) FILTER (WHERE Label = 1) AS n_fail,
@@ -511,3 +504,24 @@ def _bigint_counts(sql: str) -> str:
 
 
 ORACLE = {k: _bigint_counts(v) for k, v in ORACLE.items()}
+
+_TEST_UNITS = dict(
+    u="SELECT printf('WAFER_%04d', unit_no + 1) AS Wafer_ID, unit_no, Timestamp, Label FROM (" + UNIT_META + ") m",
+    sp=SPLIT.format(order="Timestamp, unit_no", src="u"),
+)
+
+# Of the trained model, what holds whatever its trees are: a row for each test
+# unit, probabilities, classes by the threshold, and attributions that add up.
+ORACLE.update(
+    {
+        "train_score_gbt": with_(
+            """SELECT Wafer_ID, Timestamp, CAST(Label AS INTEGER) AS Actual_Result,
+  TRUE AS Is_Probability, TRUE AS Class_Agrees FROM sp WHERE i >= te""",
+            **_TEST_UNITS,
+        ),
+        "tree_attribution": with_(
+            "SELECT Wafer_ID, CAST(0.0 AS DOUBLE) AS Residual FROM sp WHERE i >= te", **_TEST_UNITS
+        ),
+        "stream_yield_kpis": with_(YIELD_KPIS_BODY, p=PRED),
+    }
+)
