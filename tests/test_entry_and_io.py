@@ -2,7 +2,8 @@
 
 import datetime as dt
 
-import __spark_entry__ as entry
+import __spark_entry__ as entry  # noqa: E402
+from yieldlab.plans.catalog import QUERIES
 from yieldlab.sources import tables as TB
 
 
@@ -16,7 +17,7 @@ def test_oracle_keys_are_queries():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert {"yield_kpis", "high_risk_sensors", "process_stability", "failure_detail"} <= set(o)
-    assert set(q) - set(o) == {"train_score_gbt", "tree_attribution", "stream_yield_kpis"}
+    assert set(QUERIES) <= set(o)  # of the corpus queries some have no SQL
 
 
 def test_parquet_round_trip_partitioned(spark, tmp_path):

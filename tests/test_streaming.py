@@ -2,7 +2,12 @@
 
 from yieldlab.plans import adapters as ad
 from yieldlab.plans.views import yield_kpis
-from yieldlab.streaming.kpis import start_to_path, stream_events_predictions, stream_yield_kpis
+from yieldlab.streaming.kpis import (
+    run_stream_kpis,
+    start_to_path,
+    stream_events_predictions,
+    stream_yield_kpis,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,3 +26,8 @@ def test_stream_matches_batch(spark, tmp_path):
                   "Predicted_Defect_Rate_Pct", "Avg_Failure_Probability"):
             assert row[c] == e[c], (day, c)
         assert abs(row.Total_Wafers - e.Total_Wafers) <= max(2, 0.05 * e.Total_Wafers)
+
+
+def test_exact_stream_has_every_day(spark):
+    key = lambda df: sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+    assert key(run_stream_kpis(spark, SF)) == key(yield_kpis(ad.predictions(spark, SF)))

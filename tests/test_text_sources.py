@@ -80,3 +80,32 @@ def test_sensor_text_wide_layout(spark, tmp_path):
     wide = TX.load_sensor_text(spark, str(p), layout="wide").orderBy("row_idx").collect()
     assert list(wide[0].asDict()) == ["row_idx", "Sensor_1", "Sensor_2", "Sensor_3"]
     assert wide[1].Sensor_2 is None and wide[1].Sensor_3 is None and wide[0].Sensor_3 == 3.0
+
+
+def test_header_of_every_file_is_dropped(spark, tmp_path):
+    for name, text in (("a.csv", "\na,b\n1,2\n"), ("b.csv", "a,b\n3,4\n5,6\n")):
+        (tmp_path / name).write_text(text)
+    got = TX.load_sensor_text(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], delimiter=",", header=True, long=False)
+    rows = got.orderBy("row_idx").collect()
+    assert [r.features for r in rows] == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]]
+
+
+def test_times_need_no_session_zone(spark):
+    lines = spark.createDataFrame([("-1 \"09/03/2008 02:30:00\"",), ("-1 \"31/02/2008 02:30:00\"",)], "value string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [str(r.Timestamp) for r in TX.parse_label_lines(lines).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2008-03-09 02:30:00", "None"]
+
+
+def test_bad_labels_and_readings_are_reported(spark, tmp_path):
+    p = tmp_path / "labels.data"
+    p.write_text("-1 \"01/05/2010 08:00:00\"\nfail \"01/05/2010 08:01:00\"\n")
+    with pytest.raises(ValueError, match="line 1"):
+        TX.load_label_text(spark, str(p))
+    assert [r.Label for r in TX.load_label_text(spark, str(p), on_bad="pass").collect()] == [0, 0]
+    lines = spark.createDataFrame([("1 NaN 2.5",), ("1 x 3,5",)], "value string")
+    assert [r.unreadable for r in TX.unreadable_readings(lines).collect()] == [["x", "3,5"]]

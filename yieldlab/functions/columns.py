@@ -59,8 +59,18 @@ def sensor_name(sensor_no: str | Column) -> Column:
 def parse_timestamp_any(text: str | Column, formats=LABEL_TIME_FORMATS) -> Column:
     """First format that parses wins; unparseable text gives NULL."""
     c = col_(text)
-    parsed = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    return F.coalesce(*[_local_time(c, fmt) for fmt in formats])
+
+
+def _local_time(c: Column, fmt: str) -> Column:
+    """Wall-clock time in a format of dd, MM, yyyy and HH:mm:ss; no time zone
+    takes part. NULL where the text isn't in the format or is no such time."""
+    parts = ("yyyy", "MM", "dd", "HH", "mm", "ss")
+    order = sorted(parts, key=fmt.index)
+    pattern = "^" + re.sub("|".join(parts), lambda m: rf"(\d{{{len(m[0])}}})", re.escape(fmt)) + "$"
+    at = {p: f"${order.index(p) + 1}" for p in parts}
+    iso = F.regexp_replace(c, pattern, f"{at['yyyy']}-{at['MM']}-{at['dd']} {at['HH']}:{at['mm']}:{at['ss']}")
+    return F.when(c.rlike(pattern), iso).try_cast("timestamp_ntz")
 
 
 def missing_to_null(token: str | Column) -> Column:

@@ -58,7 +58,8 @@ def recent_window(rca: DataFrame, days: int = 7) -> DataFrame:
     The anchor is an uncorrelated scalar subquery, run once by Catalyst.
     """
     anchor = rca.select(F.max("Timestamp")).scalar()
-    return rca.filter(F.to_date("Timestamp") >= F.date_sub(F.to_date(anchor), days))
+    # The bare column on one side, so that the filter reaches the scan.
+    return rca.filter(F.col("Timestamp") >= F.date_sub(F.to_date(anchor), days))
 
 
 def high_risk_sensors(rca: DataFrame, days: int = 7) -> DataFrame:

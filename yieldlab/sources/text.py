@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.columns import missing_to_null, parse_timestamp_any, recode_label
+from ..functions.columns import MISSING_TOKENS, missing_to_null, parse_timestamp_any, recode_label
 from ..operators.ordering import IDX, global_index
 
 WHITESPACE = r"\s+"
@@ -39,8 +39,11 @@ def resolve_path(spark: SparkSession, *candidates: str) -> str:
     return candidates[0]
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], row_col: str = "row_idx") -> DataFrame:
-    """Non-empty lines with their 0-based position in file order."""
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], row_col: str = "row_idx", header: bool = False
+) -> DataFrame:
+    """Non-empty lines with their 0-based position in file order;
+    ``header=True`` drops the first of each file."""
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.text(paths).select(
         "value",
@@ -49,6 +52,9 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], row_col: str = "r
         F.monotonically_increasing_id().alias("_m"),
     )
     raw = raw.filter(F.length(_strip(F.col("value"))) > 0)
+    if header:
+        first = raw.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_m").alias("_m"))
+        raw = raw.join(first, ["_f", "_m"], "left_anti")
     indexed, _ = global_index(raw, ["_f", "_b", "_m"])
     return indexed.select(F.col(IDX).alias(row_col), "value")
 
@@ -86,12 +92,10 @@ def load_sensor_text(
       being the widest line (one scalar aggregate; shorter lines get NULLs).
 
     ``delimiter=","`` reads comma-separated files; ``header=True`` drops the
-    first line.
+    first line of each file.
     """
     layout = layout or ("long" if long else "array")
-    lines = read_lines(spark, path)
-    if header:
-        lines = lines.filter(F.col("row_idx") > 0).withColumn("row_idx", F.col("row_idx") - 1)
+    lines = read_lines(spark, path, header=header)
     parsed = parse_sensor_lines(lines, delimiter=delimiter).select("row_idx", "features")
     if layout == "long":
         return features_to_long(parsed, ["row_idx"])
@@ -119,9 +123,32 @@ def parse_label_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def load_label_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Label file -> ``row_idx, Label, Timestamp`` (times not yet filled)."""
-    return parse_label_lines(read_lines(spark, path)).select("row_idx", "Label", "Timestamp")
+def unreadable_labels(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Lines that don't begin with a whole number."""
+    token = F.regexp_extract(_strip(F.col(value_col)), r"^(\S+)", 1)
+    return lines.filter(token.try_cast("int").isNull())
+
+
+def unreadable_readings(lines: DataFrame, value_col: str = "value", delimiter: str = WHITESPACE) -> DataFrame:
+    """Lines with tokens that are neither numbers nor missing values, and
+    those tokens; ``parse_sensor_lines`` makes them NULL."""
+    tokens = F.split(_strip(F.col(value_col)), delimiter)
+    bad = F.filter(tokens, lambda t: ~F.trim(t).isin(*MISSING_TOKENS) & F.trim(t).try_cast("double").isNull())
+    return lines.withColumn("unreadable", bad).filter(F.size("unreadable") > 0)
+
+
+def load_label_text(
+    spark: SparkSession, path: str | Sequence[str], on_bad: str = "fail"
+) -> DataFrame:
+    """Label file -> ``row_idx, Label, Timestamp`` (times not yet filled).
+    A label that is no number raises, or counts as pass with
+    ``on_bad="pass"``."""
+    lines = read_lines(spark, path)
+    if on_bad == "fail":
+        bad = unreadable_labels(lines).limit(1).collect()
+        if bad:
+            raise ValueError(f"line {bad[0]['row_idx']} has no readable label: {bad[0]['value']!r}")
+    return parse_label_lines(lines).select("row_idx", "Label", "Timestamp")
 
 
 def with_row_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
