@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_side
+
 
 def top_n_per_unit(
     long_df: DataFrame,
@@ -174,7 +176,7 @@ def linear_attribution(
     ``sum_j coef_j * mean_j``. ``coefficients`` has ``sensor_col, coef``.
     """
     means = features_long.groupBy(sensor_col).agg(F.avg(value_col).alias("_mean"))
-    params = coefficients.join(means, sensor_col, "inner")
+    params = small_side(coefficients.join(means, sensor_col, "inner"), "coefficients")
     return features_long.join(params, sensor_col, "inner").select(
         unit_col,
         sensor_col,

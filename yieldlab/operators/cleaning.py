@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import sanitize_columns
-from ..session import materialize
+from ..session import SMALL_SIDE_ROWS, materialize, small_side
 from .ordering import IDX, global_index
 
 SENSOR = "sensor_no"
@@ -84,7 +84,7 @@ def drop_high_missing(
     keep = missing_fraction(long_df, sensor_col, value_col).filter(
         F.col("missing_fraction") <= F.lit(threshold)
     )
-    return long_df.join(keep.select(sensor_col), sensor_col, "left_semi")
+    return long_df.join(small_side(keep.select(sensor_col), "kept"), sensor_col, "left_semi")
 
 
 def _medians_by_sort(vals: DataFrame, sensor_col: str, value_col: str, unit_col: str):
@@ -144,7 +144,9 @@ def exact_medians(
         .select(s, "_c", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")),
         "median-bracket",
     )
-    tagged = vals.join(br.select(s, "_lo", "_hi"), s)
+    bounded = br.count() <= SMALL_SIDE_ROWS
+    narrow = br.select(s, "_lo", "_hi")
+    tagged = vals.join(F.broadcast(narrow) if bounded else narrow, s)
     x, lo_v, hi_v = F.col(v), F.col("_lo"), F.col("_hi")
     counts = tagged.groupBy(s).agg(
         F.count_if(x < lo_v).alias("_below"),
@@ -176,7 +178,7 @@ def exact_medians(
 
     inside = (
         tagged.filter((x > lo_v) & (x < hi_v))
-        .join(ok.select(s), s, "left_semi")
+        .join(F.broadcast(ok.select(s)) if bounded else ok.select(s), s, "left_semi")
         .select(s, v, u)
     )
     indexed, _ = global_index(inside, [s, v, u])
@@ -215,8 +217,9 @@ def impute_median(
     unless ``medians`` is given). Sensors without any reading stay NULL."""
     if medians is None:
         medians = exact_medians(long_df, sensor_col, value_col, unit_col)
+    medians = small_side(medians.select(sensor_col, "median"), "medians")
     return (
-        long_df.join(medians.select(sensor_col, "median"), sensor_col, "left")
+        long_df.join(medians, sensor_col, "left")
         .withColumn(value_col, F.coalesce(F.col(value_col), F.col("median")))
         .drop("median")
     )
@@ -234,7 +237,8 @@ def constant_sensors(
 def drop_zero_variance(
     long_df: DataFrame, sensor_col: str = SENSOR, value_col: str = VALUE
 ) -> DataFrame:
-    return long_df.join(constant_sensors(long_df, sensor_col, value_col), sensor_col, "left_anti")
+    constant = small_side(constant_sensors(long_df, sensor_col, value_col), "constant")
+    return long_df.join(constant, sensor_col, "left_anti")
 
 
 def remaining_missing(long_df: DataFrame, value_col: str = VALUE) -> DataFrame:
@@ -264,9 +268,8 @@ class CleanerModel:
     value_col: str = VALUE
 
     def transform(self, long_df: DataFrame) -> DataFrame:
-        p = self.params.select(self.sensor_col, "median")
         return (
-            long_df.join(p, self.sensor_col, "inner")
+            long_df.join(self.params, self.sensor_col, "inner")
             .withColumn(self.value_col, F.coalesce(F.col(self.value_col), F.col("median")))
             .drop("median")
         )
@@ -310,9 +313,9 @@ class SensorCleaner:
         # [_lo, _hi]; it is constant when _rows >= 2 and _lo == _hi.
         # A sensor without readings stays all-NULL and is kept.
         const = (F.col("_n") >= 1) & (F.col("_rows") >= 2) & (F.col("_lo") == F.col("_hi"))
-        keep = stats.filter(~sparse & ~const).select(s).persist()
+        keep = small_side(stats.filter(~sparse & ~const).select(s), "kept")
         med = exact_medians(long_df.join(keep, s, "left_semi"), s, v, u)
-        params = keep.join(med, s, "left").select(s, "median").persist()
+        params = small_side(keep.join(med, s, "left").select(s, "median"), "cleaner")
         return CleanerModel(params, s, v)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_pct, shap_direction
 from ..operators.ordering import global_rank, rolling_stats
+from ..session import small_side
 
 YIELD_KPI_COLUMNS = [
     "Production_Date",
@@ -193,7 +194,8 @@ def control_limits(sensor_long: DataFrame, sigmas: float = 3.0) -> DataFrame:
         (F.col("_mean") - F.lit(sigmas) * F.col("_std")).alias("_lo"),
         (F.col("_mean") + F.lit(sigmas) * F.col("_std")).alias("_hi"),
     )
-    out = sensor_long.join(limits.select("sensor_no", "_lo", "_hi"), "sensor_no").groupBy(
+    limits = small_side(limits, "limits")
+    out = sensor_long.join(limits, "sensor_no").groupBy(
         "sensor_no"
     ).agg(
         F.count_if((F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi"))).alias(

@@ -98,6 +98,20 @@ def materialize(df, label: str = "table"):
     return spark.read.parquet(path)
 
 
+SMALL_SIDE_ROWS = 1_000_000
+
+
+def small_side(df, label: str = "side", rows: int = SMALL_SIDE_ROWS):
+    """A written table for the narrow side of a join with long data (one row
+    per sensor, say): broadcast if it has at most ``rows`` rows by count, so
+    that the long side isn't shuffled; else joined by a shuffle, whose hot
+    keys adaptive execution splits."""
+    from pyspark.sql import functions as F
+
+    written = materialize(df, label)
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def drop_materialized(spark: SparkSession) -> int:
     """Delete the intermediate tables this process wrote with ``materialize``
     (call it when no DataFrame built on them is needed any more). Uses the
