@@ -94,3 +94,31 @@ def test_global_rank_with_ties(spark):
     got = {r.id: r.rank for r in global_rank(df, "x").collect()}
     naive = df.withColumn("r", F.rank().over(Window.orderBy(F.col("x").desc_nulls_last())))
     assert got == {r.id: r.r for r in naive.collect()}
+
+
+def test_buckets_come_out_even(spark):
+    """Rows of each task of the bucket window: the fullest has less than 1.5
+    times the mean."""
+    from yieldlab.operators import ordering as O
+
+    n, parts = 40_000, 8
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        size = O.bucket_size(spark, n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    b = spark.range(n).withColumn("b", F.floor(F.col("id") / size)).repartition(parts, "b")
+    rows = [r["count"] for r in b.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) == parts and max(rows) < 1.5 * n / parts
+
+
+def test_written_days_are_few_files(spark, tmp_path):
+    from yieldlab.sources import tables as TB
+
+    df = spark.range(2000).repartition(16).selectExpr(
+        "id AS Wafer_ID", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 5 AS int)) AS Timestamp")
+    TB.write_table(df, str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("Production_Date=*/*.parquet"))
+    assert len({f.parent for f in files}) == 5 and len(files) <= 10
+    assert TB.read_table(spark, str(tmp_path / "t")).count() == 2000

@@ -35,6 +35,7 @@ IDX = "_idx"
 BUCKET = "_bucket"
 _PART = "_range_part"
 _POS = "_range_pos"
+BUCKETS_PER_TASK = 32
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -78,8 +79,10 @@ def global_index(
 
 
 def bucket_size(spark, n_rows: int, min_size: int = 1) -> int:
-    """Rows per bucket so that there are about ``shuffle.partitions`` buckets."""
-    return max(min_size, math.ceil(max(n_rows, 1) / shuffle_partitions(spark)))
+    """Rows per bucket so that there are about ``BUCKETS_PER_TASK`` times
+    ``shuffle.partitions`` buckets: hashed to that many tasks, they come out
+    nearly even."""
+    return max(min_size, math.ceil(max(n_rows, 1) / (BUCKETS_PER_TASK * shuffle_partitions(spark))))
 
 
 def rolling_stats(

@@ -29,6 +29,9 @@ def write_table(
     out = df
     if partition_by_date and partition_by_date in df.columns:
         out = df.withColumn(DATE_PART, F.to_date(partition_by_date))
+        # A day's rows together (large days split by adaptive execution), so that
+        # tasks x days small files don't arise.
+        out = out.hint("rebalance", F.col(DATE_PART))
         out.write.mode(mode).partitionBy(DATE_PART).parquet(path)
     else:
         out.write.mode(mode).parquet(path)
