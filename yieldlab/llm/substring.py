@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from .common import HashCache, drop_table, materialize, partitions, small_batches, text_rows
 
 WINDOW, GRAM = 50, 20
-HOT = 500
+HOT = 20_000
 SHARD_WORDS = 60_000
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
 
