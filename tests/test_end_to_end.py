@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from yieldlab.operators import model as MD
 from yieldlab.plans import quality as Q
+from yieldlab.plans import views as V
 from yieldlab.plans.end_to_end import run_from_text, units_from_labels
 from yieldlab.sources import text as TX
+from yieldlab.sources.tables import read_table
 
 
 def _write_inputs(tmp_path, n=120, width=9, seed=3):
@@ -61,6 +63,14 @@ def test_run_from_text(spark, tmp_path):
     assert all(df.count() > 0 or n_fail == 0 for df in run.evaluation.values())
     assert run.attributions.select("Wafer_ID").distinct().count() <= n_fail
     assert run.scored.count() == 24
+    unit = run.attributions.first()
+    if unit is not None:
+        rows = {r.Position: r for r in run.explain_unit(unit.Wafer_ID, max_display=4).collect()}
+        total = run.attributions.filter(F.col("Wafer_ID") == unit.Wafer_ID).agg(F.sum("SHAP_Value")).first()[0]
+        assert abs(rows[1].Cumulative - run.base_value - total) < 1e-9
+        log = run.production_logs.filter(F.col("Wafer_ID") == unit.Wafer_ID).first().asDict()
+        assert rows[1].Reading == log[rows[1].Feature]
+        assert 4 not in rows or rows[4].Reading is None
 
 
 def test_all_times_unreadable_gets_even_axis(spark, tmp_path):
@@ -82,3 +92,29 @@ def test_command_line(spark, tmp_path):
     assert metrics["n_features"] == 7 and len(metrics["views"]) == 4
     assert spark.read.parquet(f"{out}/ml_predictions").count() == 12
     assert load_bundle(spark, f"{out}/model").feature_names[0] == "Sensor_3"
+    assert len(spark.read.parquet(f"{out}/cleaned_features").columns) == 8
+    assert spark.read.parquet(f"{out}/labels").count() == 60
+
+    # The saved model gives the run's own test units the same predictions and causes.
+    again = str(tmp_path / "again")
+    counts = main([sp, lp, again, "--score-with", f"{out}/model"])["table_row_counts"]
+    assert counts[0] == {"table_name": "ml_predictions", "n_rows": 60}
+    for name in ("ml_predictions", "root_cause_analysis"):
+        old, new = spark.read.parquet(f"{out}/{name}"), spark.read.parquet(f"{again}/{name}")
+        assert old.count() and old.exceptAll(new).count() == 0
+
+    # Appended rows show after a refresh; only recent days of the causes are read.
+    before = spark.table("v_yield_kpis").agg(F.sum("Total_Wafers")).first()[0]
+    late = spark.read.parquet(f"{out}/ml_predictions").limit(1).withColumn("Wafer_ID", F.lit("WAFER_9999"))
+    late.write.mode("append").partitionBy("Production_Date").parquet(f"{out}/ml_predictions")
+    V.refresh_views(spark, out)
+    assert spark.table("v_yield_kpis").agg(F.sum("Total_Wafers")).first()[0] == before + 1
+    dated = read_table(spark, f"{out}/root_cause_analysis", keep_date=True)
+    plan = V.recent_window(dated)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Production_Date" in plan
+
+
+def test_top_sensors_in_production_log(spark, tmp_path):
+    sp, lp = _write_inputs(tmp_path, n=60)
+    run = run_from_text(spark, sp, lp, gbt_params=MD.GBTParams(max_iter=5), top_sensors=2, register=False)
+    assert len(run.production_logs.columns) == 5 and len(run.bundle.feature_names) == 7

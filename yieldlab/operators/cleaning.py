@@ -279,6 +279,16 @@ class CleanerModel:
         return sorted(r[0] for r in self.params.select(self.sensor_col).collect())
 
 
+def save_cleaner(cleaner: CleanerModel, path: str) -> None:
+    """The kept sensors and their medians as a table."""
+    cleaner.params.write.mode("overwrite").parquet(path)
+
+
+def load_cleaner(spark, path: str, sensor_col: str = SENSOR, value_col: str = VALUE) -> CleanerModel:
+    """The cleaner that ``save_cleaner`` wrote, to apply to new units."""
+    return CleanerModel(small_side(spark.read.parquet(path), "cleaner"), sensor_col, value_col)
+
+
 class SensorCleaner:
     """Fit on some rows (e.g. the training split), apply to any rows.
 

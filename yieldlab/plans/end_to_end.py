@@ -27,7 +27,12 @@ from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import split as S
 from ..operators import treeshap as TS
-from ..operators.attribution import global_importance, recurring_sensors, top_sensors_per_failure
+from ..operators.attribution import (
+    global_importance,
+    recurring_sensors,
+    top_sensors_per_failure,
+    unit_waterfall,
+)
 from ..session import materialize
 from ..sources import tables as TB
 from ..sources import text as TX
@@ -47,6 +52,22 @@ class YieldRun:
     views: list = field(default_factory=list)
     scored: DataFrame | None = None  # Wafer_ID, Probability of every test unit
     evaluation: dict = field(default_factory=dict)  # small tables of the test units, by name
+    cleaner: C.CleanerModel | None = None
+
+    def save(self, path: str) -> None:
+        """Model, threshold and cleaner, all that ``score_units`` needs."""
+        MD.save_bundle(self.bundle, path)
+        C.save_cleaner(self.cleaner, f"{path}/cleaner")
+
+    def explain_unit(self, unit_id: str, max_display: int = 15) -> DataFrame:
+        """The waterfall of one explained unit from the model's base value,
+        with its readings (NULL in the row of the other features)."""
+        own = self.attributions.filter(F.col("Wafer_ID") == unit_id)
+        falls = unit_waterfall(own, self.base_value, max_display, tie_cols=("feature_index",))
+        logs = self.production_logs.filter(F.col("Wafer_ID") == unit_id)
+        sensors = [c for c in logs.columns if c not in ("Wafer_ID", "Timestamp", "Label")]
+        readings = logs.select(*[F.col(c).cast("double") for c in sensors]).unpivot([], sensors, "Feature", "Reading")
+        return falls.join(readings, "Feature", "left")
 
 
 def units_from_labels(labels: DataFrame, fallback_end: str | None = None) -> DataFrame:
@@ -68,6 +89,56 @@ def units_from_labels(labels: DataFrame, fallback_end: str | None = None) -> Dat
     return timed.select(F.col("row_idx").alias("unit_no"), "Timestamp", "Label")
 
 
+def explain_rows(spark: SparkSession, bundle: MD.ModelBundle, rows: DataFrame) -> tuple[DataFrame, float]:
+    """Attributions of ``rows`` (wide, scored or not), written once, and the
+    model's base value."""
+    names = bundle.feature_names
+    tables = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt), len(names))
+    arrays = rows.withColumn("features_arr", F.array(*[F.col(n).cast("double") for n in names]))
+    return materialize(TS.tree_attributions(arrays, tables, names, id_cols=("Wafer_ID",)), "attributions"), tables.base
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str, out_dir: str | None) -> DataFrame:
+    """``df`` written once and read back: under ``out_dir``, by production
+    date, or else in the checkpoint folder."""
+    if not out_dir:
+        return materialize(df, name)
+    TB.write_table(df, f"{out_dir}/{name}")
+    return TB.read_table(spark, f"{out_dir}/{name}")
+
+
+def score_units(
+    spark: SparkSession,
+    bundle_path: str,
+    sensor_long: DataFrame,
+    units: DataFrame,
+    top_n: int = 3,
+    out_dir: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Predictions and root causes of new units with a saved run's model,
+    threshold and cleaner (``YieldRun.save``); nothing is fitted.
+
+    ``sensor_long`` and ``units`` as in ``run_yield_analysis``; without a
+    ``Label`` column ``Actual_Result`` is NULL. Readings of sensors that the
+    cleaner dropped are left out, missing ones take its medians. Units without
+    any reading of a kept sensor don't appear."""
+    bundle = MD.load_bundle(spark, bundle_path)
+    cleaner = C.load_cleaner(spark, f"{bundle_path}/cleaner")
+    sensors = cleaner.sensors()
+    wide = C.to_wide(cleaner.transform(sensor_long), ["unit_no"], sensors, names=[f"Sensor_{s}" for s in sensors])
+    if "Label" not in units.columns:
+        units = units.withColumn("Label", F.lit(None).cast("int"))
+    data = wide.join(units.select("unit_no", "Timestamp", "Label"), "unit_no").withColumn(
+        "Wafer_ID", unit_id_from_index(F.col("unit_no"))
+    )
+    scored = materialize(MD.score(bundle, data), "scored")
+    predictions = M.build_predictions(scored, bundle.threshold, score_col="probability_fail")
+    predictions = stored(spark, predictions, "ml_predictions", out_dir)
+    attributions, _ = explain_rows(spark, bundle, scored.filter(F.col("probability_fail") >= bundle.threshold))
+    rca = top_sensors_per_failure(attributions, predictions, top_n, tie_cols=("feature_index",))
+    return predictions, stored(spark, rca, "root_cause_analysis", out_dir)
+
+
 def run_yield_analysis(
     spark: SparkSession,
     sensor_long: DataFrame,
@@ -80,6 +151,7 @@ def run_yield_analysis(
     days: int = 7,
     out_dir: str | None = None,
     explain: str = "failures",
+    top_sensors: int | None = None,
 ) -> YieldRun:
     """``sensor_long``: ``unit_no, sensor_no, value``; ``units``:
     ``unit_no, Timestamp, Label`` (unit_no = 0-based file position).
@@ -87,7 +159,10 @@ def run_yield_analysis(
     ``metrics["phase_seconds"]`` holds the wall clock spent in each phase by
     the jobs the phase itself needs; each phase writes what it makes.
     ``explain``: attributions of the predicted ``"failures"`` only, which the
-    root causes need, or of ``"all"`` test units."""
+    root causes need, or of ``"all"`` test units.
+    ``top_sensors``: only so many sensors, those of the largest variance, go
+    to the production log (None: all). With ``out_dir`` the cleaned features
+    and the labels are written too."""
     clock = [time.perf_counter()]
     phases: dict[str, float] = {}
 
@@ -134,21 +209,16 @@ def run_yield_analysis(
     )
     lap("threshold")
 
-    tables = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt), len(names))
     explained = test if explain == "all" else test.filter(F.col("probability_fail") >= threshold)
-    attributions = materialize(
-        TS.tree_attributions(
-            explained.withColumn("features_arr", F.array(*[F.col(n).cast("double") for n in names])),
-            tables,
-            names,
-            id_cols=("Wafer_ID",),
-        ),
-        "attributions",
-    )
+    attributions, base_value = explain_rows(spark, bundle, explained)
     rca = top_sensors_per_failure(
         attributions, predictions, top_n, tie_cols=("feature_index",)
     )
-    plogs = data.select("Wafer_ID", "Timestamp", "Label", *names)
+    logged = names
+    if top_sensors is not None:
+        widest = {f"Sensor_{r[0]}" for r in C.top_variance_sensors(clean_long, top_sensors).collect()}
+        logged = [n for n in names if n in widest]
+    plogs = data.select("Wafer_ID", "Timestamp", "Label", *logged)
     lap("attribution")
 
     # Write the three output tables once (to ``out_dir``, partitioned by
@@ -156,13 +226,10 @@ def run_yield_analysis(
     # downstream on the written tables: attribution and scoring run once.
     outputs = {"production_logs": plogs, "ml_predictions": predictions,
                "root_cause_analysis": rca}
-    loaded = {}
-    for name, df in outputs.items():
-        if out_dir:
-            TB.write_table(df, f"{out_dir}/{name}")
-            loaded[name] = TB.read_table(spark, f"{out_dir}/{name}")
-        else:
-            loaded[name] = materialize(df, name)
+    loaded = {name: stored(spark, df, name, out_dir) for name, df in outputs.items()}
+    if out_dir:
+        TB.write_table(data.select("Wafer_ID", *names), f"{out_dir}/cleaned_features")
+        TB.write_table(data.select("Wafer_ID", "Timestamp", "Label"), f"{out_dir}/labels")
     plogs, predictions, rca = (
         loaded["production_logs"], loaded["ml_predictions"], loaded["root_cause_analysis"]
     )
@@ -179,17 +246,20 @@ def run_yield_analysis(
         "recurring_sensors": recurring_sensors(rca),
         "table_row_counts": table_row_counts(loaded),
     }
-    run = YieldRun(predictions, rca, attributions, plogs, bundle, tables.base, {
+    run = YieldRun(predictions, rca, attributions, plogs, bundle, base_value, {
         "threshold": threshold,
         "scale_pos_weight": float(cw["scale_pos_weight"]),
         "n_trees": bundle.meta.get("n_trees"),
         "n_features": len(names),
         "phase_seconds": phases,
-    }, scored=every, evaluation=evaluation)
+    }, scored=every, evaluation=evaluation, cleaner=cleaner)
     data.unpersist()
     scored.unpersist()
     if register:
-        run.views = V.register_views(spark, predictions, rca, plogs, days)
+        if out_dir:
+            run.views = V.refresh_views(spark, out_dir, days)
+        else:
+            run.views = V.register_views(spark, predictions, rca, plogs, days)
         lap("views")
     return run
 

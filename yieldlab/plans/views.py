@@ -8,7 +8,9 @@ Inputs use the reference's table schemas:
 * rca (root cause): ``Wafer_ID, Timestamp, Sensor_Name, SHAP_Value, Rank``
 * production logs: ``Wafer_ID, Timestamp, Label, <sensor columns>``
 
-Every view is a lazy DataFrame; ``register_views`` exposes them to SQL.
+The daily KPIs and the failure drill-down are lazy DataFrames; the ranked and
+the rolling view stage their ordered input once. ``register_views`` exposes
+them to SQL.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import safe_pct, shap_direction
 from ..operators.ordering import global_rank, rolling_stats
 from ..session import small_side
+from ..sources.tables import DATE_PART, read_table
 
 YIELD_KPI_COLUMNS = [
     "Production_Date",
@@ -56,11 +59,14 @@ def recent_window(rca: DataFrame, days: int = 7) -> DataFrame:
     """Rows whose calendar day is within ``days`` days of the table's latest
     timestamp (inclusive by date, so up to ``days + 1`` calendar days).
 
-    The anchor is an uncorrelated scalar subquery, run once by Catalyst.
+    The anchor is an uncorrelated scalar subquery, run once by Catalyst. A
+    table that carries its date partition is pruned by it as well.
     """
     anchor = rca.select(F.max("Timestamp")).scalar()
+    first_day = F.date_sub(F.to_date(anchor), days)
     # The bare column on one side, so that the filter reaches the scan.
-    return rca.filter(F.col("Timestamp") >= F.date_sub(F.to_date(anchor), days))
+    recent = rca.filter(F.col("Timestamp") >= first_day)
+    return recent.filter(F.col(DATE_PART) >= first_day) if DATE_PART in rca.columns else recent
 
 
 def high_risk_sensors(rca: DataFrame, days: int = 7) -> DataFrame:
@@ -239,9 +245,12 @@ def register_views(
     ordered: bool = True,
 ) -> list[str]:
     """Register the base tables and the four views as temporary views
-    (sorted as the reference's views are, unless ``ordered=False``)."""
+    (sorted as the reference's views are, unless ``ordered=False``).
+
+    ``v_high_risk_sensors`` and ``v_process_stability`` read a table staged
+    here; ``refresh_views`` brings them up to date."""
     predictions.createOrReplaceTempView("ml_predictions")
-    rca.createOrReplaceTempView("root_cause_analysis")
+    rca.drop(DATE_PART).createOrReplaceTempView("root_cause_analysis")
     production_logs.createOrReplaceTempView("production_logs")
     views = {
         "v_yield_kpis": yield_kpis(predictions),
@@ -252,3 +261,12 @@ def register_views(
     for name, df in views.items():
         (df.orderBy(*_sort_keys(name)) if ordered else df).createOrReplaceTempView(name)
     return list(views)
+
+
+def refresh_views(spark: SparkSession, tables_dir: str, days: int = 7, ordered: bool = True) -> list[str]:
+    """Register the views again on the tables under ``tables_dir`` (written by
+    ``write_table``) as they are now, rows appended since included."""
+    base = {}
+    for name in ("ml_predictions", "root_cause_analysis", "production_logs"):
+        base[name] = read_table(spark, f"{tables_dir}/{name}", keep_date=name == "root_cause_analysis")
+    return register_views(spark, *base.values(), days=days, ordered=ordered)

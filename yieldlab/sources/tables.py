@@ -37,10 +37,11 @@ def write_table(
         out.write.mode(mode).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by ``write_table`` (drops the partition column)."""
+def read_table(spark: SparkSession, path: str, keep_date: bool = False) -> DataFrame:
+    """Read a table written by ``write_table``, without the partition column
+    unless ``keep_date``: with it, a filter on the date skips whole folders."""
     df = spark.read.parquet(path)
-    return df.drop(DATE_PART) if DATE_PART in df.columns else df
+    return df.drop(DATE_PART) if DATE_PART in df.columns and not keep_date else df
 
 
 def drop_autoincrement(df: DataFrame, col: str = "id") -> DataFrame:
