@@ -58,10 +58,9 @@ def rates(docs: DataFrame, targets: DataFrame | None = None, source_col: str = "
     else:
         given = targets.groupBy(F.col("source").alias("_named")).agg(F.sum(F.greatest(F.col("weight").cast("double"), F.lit(0.0))).alias("weight"))
         weighed = sizes.join(given, F.col("source").eqNullSafe(F.col("_named")), "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
-    total = weighed.agg(F.sum("n").alias("rows"), F.sum("weight").alias("weights"))  # one row
-    joined = weighed.crossJoin(F.broadcast(total))
-    share = F.when(F.col("weights") > 0, F.col("weight") / F.col("weights")).otherwise(0.0)
-    return joined.select("source", (share * F.lit(float(epochs)) * F.col("rows") / F.col("n")).alias("rate"))
+    total = weighed.agg(F.struct(F.sum("n").alias("rows"), F.sum("weight").alias("weights"))).scalar()
+    share = F.when(total["weights"] > 0, F.col("weight") / total["weights"]).otherwise(0.0)
+    return weighed.select("source", (share * F.lit(float(epochs)) * total["rows"] / F.col("n")).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", power: float = 0.5, epochs: float = 1.0, seed: int = 1) -> DataFrame:
