@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import editprint, hmm, lattice, mixing, pieces, quality, simhash, substring, tokencount, warc
+from . import decontaminate, editprint, hmm, lattice, mixing, pieces, quality, simhash, substring, tokencount, warc
 from .common import table
 
 PIECE_MODEL, BYTE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
@@ -70,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(warc.read_archive(spark, path))
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, pipeline)
+    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, op12_decontaminate, pipeline)
 }
 
 ORACLE: dict[str, str] = {
@@ -155,5 +159,26 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
        CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < last THEN last END AS refers_to
 FROM p LEFT JOIN l ON l.d = p.d AND p.n >= 1000
+""",
+    # every window of an item's words, wherever a document has it
+    "op12_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+i AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
+s AS (SELECT item_id, n, ws, unnest(generate_series(1, len(ws) - n + 1)) AS at FROM i),
+g AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, at, at + n - 1), ' ') AS gram FROM s),
+lengths AS (SELECT DISTINCT n FROM g),
+p AS (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS at FROM d, lengths WHERE len(ws) >= n),
+w AS (SELECT doc_id, n, at, array_to_string(list_slice(ws, at, at + n - 1), ' ') AS gram FROM p),
+h AS (SELECT doc_id, at, w.n, item_id FROM w JOIN g ON w.n = g.n AND w.gram = g.gram),
+c AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(generate_series(at, at + n - 1)) AS word FROM h) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 """,
 }
