@@ -169,13 +169,13 @@ b AS (
   SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM benchmark),
 i AS (SELECT item_id, ws, least(len(ws), 10) AS n FROM b WHERE len(ws) > 0),
-s AS (SELECT item_id, n, ws, unnest(generate_series(1, len(ws) - n + 1)) AS at FROM i),
-g AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, at, at + n - 1), ' ') AS gram FROM s),
+s AS (SELECT item_id, n, ws, unnest(generate_series(1, len(ws) - n + 1)) AS first_word FROM i),
+g AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, first_word, first_word + n - 1), ' ') AS gram FROM s),
 lengths AS (SELECT DISTINCT n FROM g),
-p AS (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS at FROM d, lengths WHERE len(ws) >= n),
-w AS (SELECT doc_id, n, at, array_to_string(list_slice(ws, at, at + n - 1), ' ') AS gram FROM p),
-h AS (SELECT doc_id, at, w.n, item_id FROM w JOIN g ON w.n = g.n AND w.gram = g.gram),
-c AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(generate_series(at, at + n - 1)) AS word FROM h) GROUP BY doc_id),
+p AS (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS first_word FROM d, lengths WHERE len(ws) >= n),
+w AS (SELECT doc_id, n, first_word, array_to_string(list_slice(ws, first_word, first_word + n - 1), ' ') AS gram FROM p),
+h AS (SELECT doc_id, first_word, w.n, item_id FROM w JOIN g ON w.n = g.n AND w.gram = g.gram),
+c AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(generate_series(first_word, first_word + n - 1)) AS word FROM h) GROUP BY doc_id),
 k AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
