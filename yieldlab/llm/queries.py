@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontaminate, editprint, hmm, lattice, mixing, pieces, quality, simhash, substring, tokencount, warc
+from . import decontaminate, editprint, hmm, lattice, mixing, pieces, quality, repair, simhash, substring, tokencount, warc
 from .common import table
 
 PIECE_MODEL, BYTE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
@@ -74,6 +74,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(conversations), every=conversations)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, op12_decontaminate, pipeline)
+    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, op12_decontaminate, op13_repair, pipeline)
 }
 
 ORACLE: dict[str, str] = {
