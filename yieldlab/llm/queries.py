@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontaminate, editprint, hmm, lattice, mixing, pieces, quality, repair, simhash, substring, tokencount, warc
+from . import collocations, decontaminate, editprint, hmm, lattice, mixing, pieces, quality, repair, simhash, substring, tokencount, warc
 from .common import table
 
 PIECE_MODEL, BYTE_RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
@@ -70,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(warc.read_archive(spark, path))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -87,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, op12_decontaminate, op13_repair, pipeline)
+    for f in (op1_edit_fingerprints, op2_simhash, op3_hmm_score, op4_quality, op5_lattice, op6_substring, op7_pieces, op8_mix, op9_section_tokens, op10_warc, op11_collocations, op12_decontaminate, op13_repair, pipeline)
 }
 
 ORACLE: dict[str, str] = {
@@ -164,6 +168,35 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
        CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < last THEN last END AS refers_to
 FROM p LEFT JOIN l ON l.d = p.d AND p.n >= 1000
+""",
+    # counts of all phrases of up to five words
+    "op11_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+s AS (
+  SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i
+  FROM w, (SELECT unnest(generate_series(1, 5)) AS k) WHERE len(ws) >= k),
+f AS (
+  SELECT lang, k, phrase, count(*) AS a
+  FROM (SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase FROM s)
+  GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (SELECT lang, k, phrase, a, ws, unnest(generate_series(1, k - 1)) AS cut FROM c),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cut, x.a AS l, y.a AS r, n.n,
+         (1000::HUGEINT * cuts.a::HUGEINT * n.n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+  FROM cuts JOIN n ON n.lang = cuts.lang
+  JOIN f AS x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(ws, 1, cut), ' ')
+  JOIN f AS y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(ws, cut + 1, cuts.k), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (SELECT lang, ws, a, k, m, unnest(generate_series(1, k - m + 1)) AS i FROM c, (SELECT unnest(generate_series(2, 4)) AS m) WHERE m < k),
+inside AS (SELECT lang, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase, max(a) AS around FROM parts GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE around IS NULL OR 100 * around < 100 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """,
     # every window of an item's words, wherever a document has it
     "op12_decontaminate": r"""
