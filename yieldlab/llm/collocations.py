@@ -10,8 +10,8 @@ end when no phrase is in its cycle and nothing new was noted.
 
 The notes are a table of ``1 << SLOT_BITS`` bytes, whatever the corpus: each
 noted phrase marks three slots, chosen by its hash, with the number of the scan,
-and a phrase counts as noted from the latest of its slots' numbers on. Slots
-shared by chance make a phrase begin too early, which costs work but no
+and a phrase counts as noted from the latest of its slots' numbers on, but not
+before it began. Slots shared by chance make a phrase begin too early, which costs work but no
 exactness: phrases themselves, not hashes, are the keys of the counts. New
 slots of a scan come to the driver as bit maps (at most a bit a slot).
 
@@ -95,7 +95,24 @@ def split_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
 def _noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The scan at whose end each phrase counts as noted, or ``NEVER``."""
     mask = np.uint64(len(table) - 1)
-    return np.maximum(np.maximum(table[hashes & mask], table[(hashes >> np.uint64(20)) & mask]), table[(hashes >> np.uint64(40)) & mask])
+    out = table[hashes & mask]
+    for shift in (20, 40):  # most phrases end at their first slot
+        maybe = np.flatnonzero(out != NEVER)
+        out[maybe] = np.maximum(out[maybe], table[(hashes[maybe] >> np.uint64(shift)) & mask])
+    return out
+
+
+def _distinct(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For windows of ``k`` words from ``at`` a number each, equal for equal
+    words, and a place for each number. The hashes only sort them out: words
+    are compared, and decide if two windows should share a hash."""
+    code, found = pd.factorize(hashes)
+    example = np.empty(len(found), np.int64)
+    example[code] = at
+    if any((ids[at + j] != ids[example[code] + j]).any() for j in range(k)):
+        _, first, code = np.unique(np.stack([ids[at + j] for j in range(k)]), axis=1, return_index=True, return_inverse=True)
+        code, example = code.ravel(), at[first]
+    return code, example
 
 
 def count_chunk(text: bytes, words: Vocabulary, table: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
@@ -112,7 +129,8 @@ def count_chunk(text: bytes, words: Vocabulary, table: np.ndarray, scan: int, sh
         a = np.bincount(ids, minlength=len(hashes))
         used = np.flatnonzero(a)
         yield 1, [words.words[i] for i in used], hashes[used], np.zeros(len(used), np.int16), a[used]
-    word_hash, unit, unit_hash, at_noted = hashes[ids], ids, hashes, noted[ids]
+    word_hash = hashes[ids]
+    here, at_noted = word_hash, noted[ids]
     whole = np.ones(n, bool)
     for k in range(2, longest + 1):
         if n < k:
@@ -122,22 +140,21 @@ def count_chunk(text: bytes, words: Vocabulary, table: np.ndarray, scan: int, sh
         at = np.flatnonzero(whole & (began <= scan))
         if not len(at):
             return
-        code, found = pd.factorize(unit[at] * (int(unit.max()) + 2) + unit[at + 1])
-        example = np.empty(len(found), np.int64)
-        example[code[::-1]] = at[::-1]  # the first place of each
-        unit_hash = _mix(unit_hash[unit[example]] + word_hash[example + k - 1] * np.uint64(2 * k + 1))
-        since = began[example]
-        due = np.flatnonzero(scan < since + shards)
+        phrase = _mix(here[at] + word_hash[at + k - 1] * np.uint64(2 * k + 1))
+        due = np.flatnonzero(scan < began[at] + shards)
         if len(due):
-            places = example[due]
+            code, places = _distinct(ids, at[due], phrase[due], k)
+            example = np.empty(len(places), np.int64)
+            example[code] = due
             phrases = [joined[x:y] for x, y in zip(starts[places].tolist(), ends[places + k - 1].tolist())]
-            yield k, phrases, unit_hash[due], since[due].astype(np.int16), np.bincount(code, minlength=len(found))[due]
+            yield k, phrases, phrase[example], began[at[example]].astype(np.int16), np.bincount(code, minlength=len(places))
         if k == longest:
             return
-        unit = np.full(n - k + 1, -1, np.int64)
-        unit[at] = code
+        here = np.zeros(n - k + 1, np.uint64)
+        here[at] = phrase
         at_noted = np.full(n - k + 1, NEVER, np.int16)
-        at_noted[at] = _noted(table, unit_hash)[code]
+        # not before it began itself: slots may have been marked by other phrases
+        at_noted[at] = np.maximum(_noted(table, phrase), began[at])
 
 
 def _scan(notes, scan: int, shards: int, longest: int):
@@ -188,11 +205,10 @@ def frequent_phrases(
     ``k`` 0, the sum of all word occurrences.
 
     A null language is ``und``, null texts are empty; repeated rows count each
-    time; bytes that aren't UTF-8 are parts of words; no other columns are
-    read."""
+    time; bytes that aren't UTF-8 count as U+FFFD; no other columns are read."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
     folder = f"{ensure_checkpoint_dir(spark)}/llm-shards-{np.random.default_rng().integers(1 << 62):x}"
     rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards))).write.option("compression", "zstd").partitionBy("shard").parquet(folder)
     shard_of = spark.read.schema("lang string, text binary, shard int").parquet(folder)
