@@ -66,7 +66,7 @@ def found(df):
 @pytest.mark.parametrize("shards", [1, 3, 7])
 def test_against_plain_counting(spark, shards):
     rng = random.Random(shards)
-    rows = sample(rng, 300) + [(None, None), ("en", ""), ("en", " .. ,"), ("xx", "alone"), ("en", "be " * 5000), ("und", "New York City")]
+    rows = sample(rng, 300) + [(None, None), ("en", ""), ("en", " .. ,"), ("xx", "alone"), ("en", "q" * 700 + " r " + "q" * 700 + " r. " + "q" * 699 + "p r"), ("en", "be " * 5000), ("und", "New York City")]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     for c in ("phrase", "k", "shard", "a", "n", "hash"):
         df = df.withColumn(c, F.lit(1))
@@ -125,3 +125,16 @@ def test_large_products_are_exact(spark, monkeypatch):
     monkeypatch.setattr(C, "frequent_phrases", lambda *a, **k: spark.createDataFrame([(x, bytearray(p), k, a) for x, p, k, a in big], "lang string, phrase binary, k byte, a long"))
     r = C.collocations(None).first()
     assert r["score"] == 1000 * (10**9 + 9) * (10**13 + 7) // ((3 * 10**9 + 1) * (2 * 10**9 + 3))
+
+
+def test_words_are_told_apart_by_their_bytes():
+    """Hashes follow the bytes, at any length and place; equal ones are equal."""
+    rng = random.Random(7)
+    words = [bytes(rng.choice(b"ab") for _ in range(rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 40, 511, 512, 513, 900]))) for _ in range(400)]
+    joined, starts, ends, _ = C.split_words(b" ".join(words))
+    assert [joined[x:y] for x, y in zip(starts, ends)] == words
+    hashes = C.word_hashes(joined, starts, ends, 5)
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    for h in (hashes, hashes & hashes.dtype.type(3)):  # also when hashes clash
+        code, one = C._distinct(joined, starts, ends, h)
+        assert len(one) == len(set(words)) and all(words[one[c]] == w for c, w in zip(code, words))

@@ -37,9 +37,12 @@ from .common import drop_table, materialize, small_batches
 
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
 SHARDS, SLOT_BITS = 4, 24
-#: Bytes of text counted together, and words remembered by a task.
-CHUNK_BYTES, WORDS = 16 << 20, 1_500_000
+#: Bytes of text counted together.
+CHUNK_BYTES = 16 << 20
 NEVER = 255
+#: Longer words and phrases are hashed and compared one by one.
+FAR_APART = 512
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 #: A-Z to a-z, a tab to a space, and all that ends a piece to a line feed.
 NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
@@ -55,27 +58,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Vocabulary(dict):
-    """Words of one language -> their numbers; the words and their hashes."""
-
-    def __init__(self, lang: str):
-        super().__init__()
-        import xxhash
-
-        self.seed, self.hash = zlib.crc32(lang.encode()), xxhash.xxh64_intdigest
-        self.words: list[bytes] = []
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(self.hash(word, self.seed))
-        return number
-
-
 def split_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised words joined by single spaces; their starts and ends in it;
-    for each whether a piece ends after it."""
+    """Normalised words joined by single spaces, then eight zero bytes; their
+    starts and ends in it; for each whether a piece ends after it."""
     plain = np.frombuffer(text.translate(NORMAL), np.uint8)
     gap = (plain == 32) | (plain == 10)
     word = ~gap
@@ -89,7 +74,7 @@ def split_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
     joined = np.where(gap, np.uint8(32), plain)[word]
     length = last - first + 1
     starts = np.append(0, np.cumsum(length + 1)[:-1])
-    return joined.tobytes(), starts, starts + length, apart
+    return joined.tobytes() + bytes(8), starts, starts + length, apart
 
 
 def _noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -102,35 +87,80 @@ def _noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _distinct(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For windows of ``k`` words from ``at`` a number each, equal for equal
-    words, and a place for each number. The hashes only sort them out: words
-    are compared, and decide if two windows should share a hash."""
+def _eights(joined: bytes) -> np.ndarray:
+    """The eight bytes from every place on, as numbers."""
+    return np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+
+
+def word_hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes of all words at a time; words
+    of over ``FAR_APART`` bytes one by one."""
+    import xxhash
+
+    eights, length = _eights(joined), ends - starts
+    out = length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    for i in np.flatnonzero(length > FAR_APART):
+        out[i] = xxhash.xxh64_intdigest(joined[starts[i] : ends[i]], seed)
+    left, at = np.flatnonzero(length <= FAR_APART), 0
+    while len(left):
+        piece = eights[starts[left] + at] & MASKS[np.minimum(length[left] - at, 8)]
+        out[left] = _mix(out[left] ^ piece)
+        at += 8
+        left = left[length[left] > at]
+    return out
+
+
+def _same(joined: bytes, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> bool:
+    """Whether all pairs of stretches from ``a`` and ``b`` are equal."""
+    for i in np.flatnonzero((length > FAR_APART) & (a != b)):
+        if joined[a[i] : a[i] + length[i]] != joined[b[i] : b[i] + length[i]]:
+            return False
+    eights, at = _eights(joined), 0
+    left = np.flatnonzero((length <= FAR_APART) & (a != b))
+    while len(left):
+        mask = MASKS[np.minimum(length[left] - at, 8)]
+        if ((eights[a[left] + at] ^ eights[b[left] + at]) & mask).any():
+            return False
+        at += 8
+        left = left[length[left] > at]
+    return True
+
+
+def _distinct(joined: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each phrase ``joined[begin:end]``, equal for equal ones,
+    and the place in the list of one of each. Hashes only sort them out: the
+    bytes are compared, and decide if two phrases should share a hash."""
     code, found = pd.factorize(hashes)
     example = np.empty(len(found), np.int64)
-    example[code] = at
-    if any((ids[at + j] != ids[example[code] + j]).any() for j in range(k)):
-        _, first, code = np.unique(np.stack([ids[at + j] for j in range(k)]), axis=1, return_index=True, return_inverse=True)
-        code, example = code.ravel(), at[first]
+    example[code] = np.arange(len(code))
+    of, length = example[code], end - begin
+    if (length != length[of]).any() or not _same(joined, begin, begin[of], length):
+        phrases = np.empty(len(begin), object)
+        phrases[:] = [joined[x:y] for x, y in zip(begin.tolist(), end.tolist())]
+        code, found = pd.factorize(phrases)
+        example = np.empty(len(found), np.int64)
+        example[code] = np.arange(len(code))
     return code, example
 
 
-def count_chunk(text: bytes, words: Vocabulary, table: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
+def count_chunk(text: bytes, seed: int, table: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
     """Counts ``(k, phrases, hashes, since, a)`` of the phrases that are in
     their cycle at this scan, by length."""
     joined, starts, ends, apart = split_words(text)
     n = len(starts)
     if not n:
         return
-    ids = np.fromiter(map(words.__getitem__, joined.split(b" ")), np.int64, n)
-    hashes = np.array(words.hashes, np.uint64)
-    noted = _noted(table, hashes).astype(np.int16)
+
+    def counted(k: int, at: np.ndarray, hashes: np.ndarray, since: np.ndarray) -> tuple:
+        begin, end = starts[at], ends[at + k - 1]
+        code, one = _distinct(joined, begin, end, hashes)
+        phrases = [joined[x:y] for x, y in zip(begin[one].tolist(), end[one].tolist())]
+        return k, phrases, hashes[one], since[one].astype(np.int16), np.bincount(code, minlength=len(one))
+
+    word_hash = word_hashes(joined, starts, ends, seed)
     if scan < shards:
-        a = np.bincount(ids, minlength=len(hashes))
-        used = np.flatnonzero(a)
-        yield 1, [words.words[i] for i in used], hashes[used], np.zeros(len(used), np.int16), a[used]
-    word_hash = hashes[ids]
-    here, at_noted = word_hash, noted[ids]
+        yield counted(1, np.arange(n), word_hash, np.zeros(n, np.int16))
+    here, at_noted = word_hash, _noted(table, word_hash).astype(np.int16)
     whole = np.ones(n, bool)
     for k in range(2, longest + 1):
         if n < k:
@@ -143,11 +173,7 @@ def count_chunk(text: bytes, words: Vocabulary, table: np.ndarray, scan: int, sh
         phrase = _mix(here[at] + word_hash[at + k - 1] * np.uint64(2 * k + 1))
         due = np.flatnonzero(scan < began[at] + shards)
         if len(due):
-            code, places = _distinct(ids, at[due], phrase[due], k)
-            example = np.empty(len(places), np.int64)
-            example[code] = due
-            phrases = [joined[x:y] for x, y in zip(starts[places].tolist(), ends[places + k - 1].tolist())]
-            yield k, phrases, phrase[example], began[at[example]].astype(np.int16), np.bincount(code, minlength=len(places))
+            yield counted(k, at[due], phrase[due], began[at[due]])
         if k == longest:
             return
         here = np.zeros(n - k + 1, np.uint64)
@@ -163,14 +189,12 @@ def _scan(notes, scan: int, shards: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(zlib.decompress(notes.value), np.uint8)
         schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("k", pa.int8()), ("hash", pa.int64()), ("since", pa.int16()), ("a", pa.int64())])
-        vocabularies: dict[str, Vocabulary] = {}
         waiting: dict[str, list[bytes]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in waiting.items():
-                words = vocabularies.setdefault(lang, Vocabulary(lang))
-                for k, phrases, hashes, since, a in count_chunk(b"\n".join(texts), words, table, scan, shards, longest):
+                for k, phrases, hashes, since, a in count_chunk(b"\n".join(texts), zlib.crc32(lang.encode()), table, scan, shards, longest):
                     for i in range(0, len(phrases), 100_000):
                         j = min(i + 100_000, len(phrases))
                         yield pa.RecordBatch.from_arrays([
@@ -178,8 +202,6 @@ def _scan(notes, scan: int, shards: int, longest: int):
                             pa.array(hashes[i:j].view(np.int64)), pa.array(since[i:j]), pa.array(a[i:j].astype(np.int64)),
                         ], schema=schema)
             waiting.clear()
-            if sum(map(len, vocabularies.values())) > WORDS:
-                vocabularies.clear()
 
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
