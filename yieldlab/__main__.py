@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--score-with", default=None, metavar="BUNDLE", help="score and explain with a saved model")
     args = ap.parse_args(argv)
 
-    from .operators.model import GBTParams
+    from .operators.boosting import BoostParams
     from .plans.end_to_end import run_from_text, score_units, units_from_labels
     from .plans.quality import smoke_test, table_row_counts
     from .sources.text import load_label_text, load_sensor_text, resolve_path
@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> dict:
         tune_on=args.tune_on,
         fit_cleaner_on=args.fit_cleaner_on,
         top_n=args.top_n,
-        gbt_params=GBTParams(max_iter=args.max_iter),
+        gbt_params=BoostParams(rounds=args.max_iter),
         explain=args.explain,
         top_sensors=args.top_sensors,
     )

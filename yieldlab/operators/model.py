@@ -1,5 +1,6 @@
 """Class-weighted boosted-tree classifier on Spark ML, scoring, and the model
-bundle (pipeline + threshold + feature names).
+bundle (pipeline + threshold + feature names). The regularised second-order
+trainer is in ``boosting``; scoring, saving and loading here take both.
 
 Mapping of the reference's hyper-parameters (re-aimed, not bit-equal):
 400 rounds -> ``maxIter``; depth 5 -> ``maxDepth``; rate 0.05 -> ``stepSize``;
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import boosting
 
 
 @dataclass
@@ -185,17 +187,22 @@ def _fit_with_patience(fit_rows, val_rows, feature_cols, label_col, weight_col,
     return bundle
 
 
-def score(bundle: ModelBundle, df: DataFrame, out_col: str = "probability_fail") -> DataFrame:
+def score(bundle: ModelBundle | boosting.BoostedModel, df: DataFrame, out_col: str = "probability_fail") -> DataFrame:
     """Add the failure probability (class 1) as a DOUBLE column."""
+    if isinstance(bundle, boosting.BoostedModel):
+        return boosting.score(bundle, df, out_col)
     scored = bundle.model.transform(df)
     return scored.withColumn(out_col, vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction"
     )
 
 
-def save_bundle(bundle: ModelBundle, path: str) -> None:
-    """Pipeline under ``path/model``; threshold, feature names and metadata as
-    a one-row JSON table under ``path/meta``."""
+def save_bundle(bundle: ModelBundle | boosting.BoostedModel, path: str) -> None:
+    """Pipeline under ``path/model`` (trees of the regularised trainer under
+    ``path/trees``); threshold, feature names and metadata as a one-row JSON
+    table under ``path/meta``."""
+    if isinstance(bundle, boosting.BoostedModel):
+        return boosting.save(bundle, path)
     bundle.model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     meta = json.dumps(
@@ -206,9 +213,11 @@ def save_bundle(bundle: ModelBundle, path: str) -> None:
     )
 
 
-def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
-    model = PipelineModel.load(f"{path}/model")
+def load_bundle(spark: SparkSession, path: str) -> ModelBundle | boosting.BoostedModel:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    if meta.get("kind") == "boosted":
+        return boosting.load(spark, path, meta)
+    model = PipelineModel.load(f"{path}/model")
     threshold = float(meta.pop("threshold"))
     names = list(meta.pop("feature_names"))
     return ModelBundle(model, names, threshold, meta)

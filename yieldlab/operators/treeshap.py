@@ -55,6 +55,12 @@ class LeafTables:
     value: np.ndarray | None = None  # float64 [L] leaf value (log-odds, weighted)
     tree: np.ndarray | None = None  # int32 [L] tree index of the leaf
     n_trees: int = 0
+    miss: np.ndarray | None = None  # bool [L, D] whether a missing reading keeps to the path
+
+
+def hits(vals: np.ndarray, t, s: int, e: int) -> np.ndarray:
+    """Whether readings ``[n, leaves, slots]`` keep to the paths of leaves ``s`` to ``e``."""
+    return np.where(np.isnan(vals), t.miss[s:e], (vals > t.lo[s:e]) & (vals <= t.hi[s:e]))
 
 
 def read_trees(spark: SparkSession, gbt_model, path: str | None = None) -> list[dict]:
@@ -91,26 +97,29 @@ def read_trees(spark: SparkSession, gbt_model, path: str | None = None) -> list[
 
 
 def _leaf_rules(tree: dict):
-    """Yield ``(value, {feature: [lo, hi, z]})`` for each leaf of one tree."""
+    """Yield ``(value, {feature: [lo, hi, z, missing]})`` for each leaf of one
+    tree; ``missing`` says whether a missing reading takes the path's side of
+    every split on the feature (nodes without a seventh entry send it right)."""
     nodes = tree["nodes"]
     children = {c for n in nodes.values() for c in (n[2], n[3]) if c >= 0}
     root = min(set(nodes) - children)
     stack = [(root, {})]
     while stack:
         nid, rule = stack.pop()
-        pred, cover, left, right, feat, thr = nodes[nid]
+        pred, cover, left, right, feat, thr, *side = nodes[nid]
+        missing_left = bool(side and side[0])
         if left < 0:
             yield pred, rule
             continue
         for child, go_left in ((left, True), (right, False)):
             frac = nodes[child][1] / cover if cover > 0 else 0.0
             new = {k: list(v) for k, v in rule.items()}
-            lo, hi, z = new.get(feat, [-math.inf, math.inf, 1.0])
+            lo, hi, z, missing = new.get(feat, [-math.inf, math.inf, 1.0, True])
             if go_left:
                 hi = min(hi, thr)
             else:
                 lo = max(lo, thr)
-            new[feat] = [lo, hi, z * frac]
+            new[feat] = [lo, hi, z * frac, missing and missing_left == go_left]
             stack.append((child, new))
 
 
@@ -124,7 +133,7 @@ def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODD
             feats = sorted(rule)
             z = np.array([rule[f][2] for f in feats])
             base += v * float(np.prod(z)) if len(feats) else v
-            leaves.append((v, feats, [rule[f][0] for f in feats], [rule[f][1] for f in feats], z))
+            leaves.append((v, feats, [rule[f][0] for f in feats], [rule[f][1] for f in feats], z, [rule[f][3] for f in feats]))
             tree_of.append(ti)
     depth = max([len(lf[1]) for lf in leaves] + [1])
     L = len(leaves)
@@ -133,14 +142,15 @@ def build_leaf_tables(trees: list[dict], n_features: int, scale: float = LOG_ODD
     hi = np.full((L, depth), np.inf)
     width = np.zeros(L, np.int32)
     zs = np.ones((L, depth))
-    for k, (_, fs, los, his, z) in enumerate(leaves):
+    miss = np.ones((L, depth), bool)
+    for k, (_, fs, los, his, z, ms) in enumerate(leaves):
         p = len(fs)
         width[k] = p
-        feat[k, :p], lo[k, :p], hi[k, :p], zs[k, :p] = fs, los, his, z
+        feat[k, :p], lo[k, :p], hi[k, :p], zs[k, :p], miss[k, :p] = fs, los, his, z, ms
     values = np.array([lf[0] for lf in leaves], dtype=float)
     return LeafTables(
         feat, lo, hi, width, zs, base, n_features, depth,
-        values, np.array(tree_of, dtype=np.int32), len(trees),
+        values, np.array(tree_of, dtype=np.int32), len(trees), miss,
     )
 
 
@@ -157,8 +167,7 @@ def prefix_margins(X: np.ndarray, t, max_cells: int = 4_000_000) -> np.ndarray:
         e = min(L, s + chunk)
         vals = X[:, t.feat[s:e]]
         used = np.arange(D)[None, :] < t.width[s:e, None]
-        hi = t.hi[s:e]
-        ok = (~(vals <= t.lo[s:e])) & ((vals <= hi) | np.isinf(hi))
+        ok = hits(vals, t, s, e)
         reached = np.all(ok | ~used, axis=-1)  # n, C
         idx = (row_off + t.tree[s:e][None, :]).ravel()
         per_tree += np.bincount(idx, weights=(reached * t.value[s:e][None, :]).ravel(),
@@ -181,7 +190,7 @@ def validation_average_precision(
     spark = df.sparkSession
     _ship_by_value()
     plain = dict(feat=tables.feat, lo=tables.lo, hi=tables.hi, width=tables.width,
-                 value=tables.value, tree=tables.tree, n_trees=tables.n_trees)
+                 value=tables.value, tree=tables.tree, n_trees=tables.n_trees, miss=tables.miss)
     bc = spark.sparkContext.broadcast(plain)
     schema = "k int, score double, y int"
 
@@ -234,8 +243,8 @@ def shap_matrix(X: np.ndarray, t: LeafTables, max_cells: int = 4_000_000) -> np.
         f = t.feat[s:e]
         vals = X[:, f]  # n, C, D
         used = np.arange(D)[None, :] < t.width[s:e, None]
-        hi, z = t.hi[s:e], t.z[s:e]
-        hit = (((~(vals <= t.lo[s:e])) & ((vals <= hi) | np.isinf(hi))) | ~used).astype(float)
+        z = t.z[s:e]
+        hit = (hits(vals, t, s, e) | ~used).astype(float)
         integral = np.zeros_like(hit)
         for x, w in zip(nodes, weights):
             factor = z * (1 - x) + hit * x  # 1 in unused slots
@@ -282,7 +291,7 @@ def tree_attributions(
     _ship_by_value()
     plain = dict(
         feat=tables.feat, lo=tables.lo, hi=tables.hi, width=tables.width,
-        z=tables.z, value=tables.value, n_features=tables.n_features,
+        z=tables.z, value=tables.value, n_features=tables.n_features, miss=tables.miss,
     )
     bc = spark.sparkContext.broadcast((plain, list(feature_names)))
     id_fields = [df.schema[c] for c in id_cols]

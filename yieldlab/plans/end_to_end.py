@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import unit_id_from_index
+from ..operators import boosting as BT
 from ..operators import cleaning as C
 from ..operators import metrics as M
 from ..operators import model as MD
@@ -46,7 +47,7 @@ class YieldRun:
     rca: DataFrame
     attributions: DataFrame
     production_logs: DataFrame
-    bundle: MD.ModelBundle
+    bundle: MD.ModelBundle | BT.BoostedModel
     base_value: float
     metrics: dict = field(default_factory=dict)
     views: list = field(default_factory=list)
@@ -89,11 +90,15 @@ def units_from_labels(labels: DataFrame, fallback_end: str | None = None) -> Dat
     return timed.select(F.col("row_idx").alias("unit_no"), "Timestamp", "Label")
 
 
-def explain_rows(spark: SparkSession, bundle: MD.ModelBundle, rows: DataFrame) -> tuple[DataFrame, float]:
+def explain_rows(spark: SparkSession, bundle: MD.ModelBundle | BT.BoostedModel, rows: DataFrame) -> tuple[DataFrame, float]:
     """Attributions of ``rows`` (wide, scored or not), written once, and the
     model's base value."""
     names = bundle.feature_names
-    tables = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt), len(names))
+    if isinstance(bundle, BT.BoostedModel):
+        tables = TS.build_leaf_tables(bundle.node_tables(), len(names), scale=1.0)
+        tables.base += bundle.base_margin
+    else:
+        tables = TS.build_leaf_tables(TS.read_trees(spark, bundle.gbt), len(names))
     arrays = rows.withColumn("features_arr", F.array(*[F.col(n).cast("double") for n in names]))
     return materialize(TS.tree_attributions(arrays, tables, names, id_cols=("Wafer_ID",)), "attributions"), tables.base
 
@@ -146,7 +151,7 @@ def run_yield_analysis(
     top_n: int = 3,
     tune_on: str = S.VALIDATION,
     fit_cleaner_on: str = "all",
-    gbt_params: MD.GBTParams | None = None,
+    gbt_params: MD.GBTParams | BT.BoostParams | None = None,
     register: bool = True,
     days: int = 7,
     out_dir: str | None = None,
@@ -159,7 +164,8 @@ def run_yield_analysis(
     ``metrics["phase_seconds"]`` holds the wall clock spent in each phase by
     the jobs the phase itself needs; each phase writes what it makes.
     ``explain``: attributions of the predicted ``"failures"`` only, which the
-    root causes need, or of ``"all"`` test units.
+    root causes need, or of ``"all"`` test units. ``gbt_params``: the
+    regularised trainer's (the default) or, as ``GBTParams``, Spark ML's.
     ``top_sensors``: only so many sensors, those of the largest variance, go
     to the production log (None: all). With ``out_dir`` the cleaned features
     and the labels are written too."""
@@ -195,7 +201,10 @@ def run_yield_analysis(
     train = MD.with_class_weight(train, "Label", cw["scale_pos_weight"]).withColumn(
         "is_validation", F.col("Split") == S.VALIDATION
     )
-    bundle = MD.train_gbt(train, names, params=gbt_params)
+    if isinstance(gbt_params, MD.GBTParams):
+        bundle = MD.train_gbt(train, names, params=gbt_params)
+    else:
+        bundle = BT.train_boosted(train, names, params=gbt_params)
     lap("training")
 
     scored = MD.score(bundle, data.filter(F.col("Split") != S.TRAIN)).persist()
