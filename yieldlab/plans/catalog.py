@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attribution as A
+from ..operators import boosting as BT
 from ..operators import cleaning as C
 from ..operators import metrics as M
 from ..operators import split as S
@@ -21,6 +22,7 @@ from ..operators.screening import sensor_separation
 from ..sources import tables as TB
 from ..sources import text as TX
 from ..streaming.kpis import run_stream_kpis
+from ..streaming.state import run_state_kpis
 from . import adapters as ad
 from . import quality as Q
 from . import views as V
@@ -143,6 +145,26 @@ def _separators(s, d):
     return both.join(lab, "unit_no")
 
 
+def _boosted_splits(s, d):
+    """Every node of the first tree of the regularised trainer: whether a line
+    is dear, by quantity (missing for each seventh order), discount, tax and
+    line number; dear lines weigh 3."""
+    price = F.col("l_extendedprice") > 60000
+    rows = ad.table(s, d, "lineitem").select(
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")).alias("quantity"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), F.col("l_linenumber").cast("double").alias("line"),
+        F.when(price, 1).otherwise(0).alias("Label"), F.when(price, 3.0).otherwise(1.0).alias("weight"),
+    )
+    params = BT.BoostParams(rounds=1, max_depth=2, subsample=1.0, colsample=1.0)
+    nodes = BT.train_boosted(rows, ["quantity", "discount", "tax", "line"], validation_col=None, params=params).split_table(s)
+    split = F.col("feature") >= 0
+    return nodes.select(
+        "node", "feature_name", F.when(split, F.round("threshold", 6)).alias("threshold"), F.when(split, F.col("missing_left")).alias("missing_left"),
+        F.when(split, F.round("gain", 6)).alias("gain"), F.round("cover", 6).alias("cover"), F.round("grad", 6).alias("grad"),
+        F.when(~split, F.round("value", 9)).alias("leaf_value"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     # 2.10 views and 2.4 aggregations
     "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
@@ -217,8 +239,10 @@ QUERIES: dict[str, Query] = {
     "sensor_separation": lambda s, d: sensor_separation(_separators(s, d)),
     "train_score_gbt": _trained,
     "tree_attribution": _additivity,
+    "boosted_tree_splits": _boosted_splits,
     # 2.12 streaming form of the daily KPIs
     "stream_yield_kpis": run_stream_kpis,
+    "state_yield_kpis": run_state_kpis,
     # 2.11 data quality
     "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
     "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),

@@ -525,3 +525,41 @@ ORACLE.update(
         "stream_yield_kpis": with_(YIELD_KPIS_BODY, p=PRED),
     }
 )
+
+# ---- one tree of the regularised trainer, level by level ----------------------
+
+
+def _tree_level(k: int, rows: str) -> str:
+    """Best split of each node of ``rows`` (node, rid, g, h); L1 0.1, L2 1, hessian at least 5."""
+    shrunk = "(SIGN({g}) * GREATEST(ABS({g}) - 0.1, 0.0))"
+    part = lambda g, h: f"({shrunk.format(g=g)} * {shrunk.format(g=g)} / ({h} + 1.0))"
+    return f"""c{k} AS (SELECT node, f, v, SUM(g) AS g, SUM(h) AS h FROM {rows} JOIN cells USING (rid) GROUP BY node, f, v),
+t{k} AS (SELECT node, f, SUM(g) AS tg, SUM(h) AS th, COALESCE(SUM(g) FILTER (WHERE v IS NULL), 0) AS mg,
+  COALESCE(SUM(h) FILTER (WHERE v IS NULL), 0) AS mh FROM c{k} GROUP BY node, f),
+u{k} AS (SELECT node, f, v, SUM(g) OVER w AS lg, SUM(h) OVER w AS lh FROM c{k} WHERE v IS NOT NULL
+  WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+d{k} AS (SELECT node, f, v, miss, tg, th, lg + CASE WHEN miss THEN mg ELSE 0 END AS gl, lh + CASE WHEN miss THEN mh ELSE 0 END AS hl
+  FROM u{k} JOIN t{k} USING (node, f), (VALUES (FALSE), (TRUE)) AS m(miss)),
+b{k} AS (SELECT *, {part("gl", "hl")} + {part("(tg - gl)", "(th - hl)")} - {part("tg", "th")} AS gain FROM d{k}
+  WHERE hl >= 5 AND th - hl >= 5 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, miss, v) = 1)"""
+
+
+_LEAF = "-0.05 * SIGN({g}) * GREATEST(ABS({g}) - 0.1, 0.0) / ({h} + 1.0)"
+
+ORACLE["boosted_tree_splits"] = f"""WITH base AS (
+  SELECT row_number() OVER () AS rid, CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS q, l_discount AS d, l_tax AS t,
+    CAST(l_linenumber AS DOUBLE) AS l, CASE WHEN l_extendedprice > 60000 THEN 1 ELSE 0 END AS y FROM lineitem),
+cells AS (SELECT rid, 0 AS f, q AS v FROM base UNION ALL SELECT rid, 1, d FROM base
+  UNION ALL SELECT rid, 2, t FROM base UNION ALL SELECT rid, 3, l FROM base),
+s0 AS (SELECT 0 AS node, rid, CASE WHEN y = 1 THEN -1.5::DOUBLE ELSE 0.5::DOUBLE END AS g, CASE WHEN y = 1 THEN 0.75::DOUBLE ELSE 0.25::DOUBLE END AS h FROM base),
+{_tree_level(0, "s0")},
+s1 AS (SELECT CASE WHEN COALESCE(cells.v <= b0.v, b0.miss) THEN 1 ELSE 2 END AS node, rid, g, h
+  FROM s0 JOIN cells USING (rid) JOIN b0 ON b0.f = cells.f),
+{_tree_level(1, "s1")},
+splits AS (SELECT * FROM b0 UNION ALL SELECT * FROM b1),
+leaves AS (SELECT 2 * node + 1 AS node, gl AS g, hl AS h FROM b1 UNION ALL SELECT 2 * node + 2, tg - gl, th - hl FROM b1)
+SELECT CAST(node AS INTEGER) AS node, ['quantity', 'discount', 'tax', 'line'][f + 1] AS feature_name, ROUND(v, 6) AS threshold, miss AS missing_left,
+  ROUND(gain, 6) AS gain, ROUND(th, 6) AS cover, ROUND(tg, 6) AS grad, CAST(NULL AS DOUBLE) AS leaf_value FROM splits
+UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, NULL, NULL, ROUND(h, 6), ROUND(g, 6), ROUND({_LEAF.format(g="g", h="h")}, 9) FROM leaves"""
+
+ORACLE["state_yield_kpis"] = ORACLE["stream_yield_kpis"]

@@ -36,15 +36,18 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def key_violations(
     tables: Mapping[str, DataFrame], declared: Mapping = DECLARED_KEYS
 ) -> DataFrame:
-    """One row per (table, check): ``duplicate_key`` = rows minus distinct
-    keys, ``null_<col>`` = NULLs in a required column."""
+    """One row per (table, check): ``duplicate_key`` = rows with a whole key
+    minus distinct keys, ``null_<col>`` = NULLs in a required column."""
     parts = []
     for name, df in tables.items():
         if name not in declared:
             continue
         keys, required = declared[name]
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
         aggs = [
-            (F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias(
+            (F.count_if(whole) - F.count_distinct(*[F.col(k) for k in keys])).alias(
                 "duplicate_key"
             )
         ] + [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required]
