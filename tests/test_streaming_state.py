@@ -13,7 +13,7 @@ SCHEMA = "Wafer_ID string, Timestamp timestamp_ntz, Actual_Result int, Predicted
 
 
 def ordered(df):
-    return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
 
 
 def run(spark, source, out, state):
