@@ -80,8 +80,8 @@ def _chunk_task(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
         row = [[part << 32 | n], [ids], [held], [lengths.tolist()]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32())]
         cols = [pa.array(v, t) for v, t in zip(row, kinds)]
-        # 24 bits of a token; the high ones are mostly zero, and so they are kept apart
-        cols += [pa.array([x.tobytes()]) for x in (vocab, train, tokens.astype(np.uint16), (tokens >> 16).astype(np.uint8))]
+        # the high bits of tokens are mostly zero, and so they are kept apart
+        cols += [pa.array([x.tobytes()]) for x in (vocab, train, tokens.astype(np.uint16), (tokens >> 16).astype(np.uint16))]
         return pa.record_batch(cols, names)
 
     for i, out, data in text_rows(batches, "id", "held", "data"):
@@ -110,7 +110,7 @@ def _array(data: bytes, kind) -> np.ndarray:
 
 
 def _tokens(row: dict) -> np.ndarray:
-    return _array(row["low"], np.uint16) | _array(row["high"], np.uint8).astype(np.int32) << 16
+    return _array(row["low"], np.uint16) | _array(row["high"], np.uint16).astype(np.int32) << 16
 
 
 class Chunk:
@@ -161,11 +161,16 @@ def _class_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iter
 
 
 class Model:
-    """``emit`` (classes, states), ``move`` (states, states), ``begin``."""
+    """``emit`` (classes, states), ``move`` (states, states), ``begin``. It is
+    sent to tasks as ``arrays()``: a broadcast pickles classes by reference,
+    and executors needn't have this module."""
 
     def __init__(self, emit: np.ndarray, move: np.ndarray, begin: np.ndarray):
         self.emit, self.move, self.begin = emit, move, begin
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.emit, self.move, self.begin
+
     @staticmethod
     def learn(counts: np.ndarray, moves: np.ndarray, begins: np.ndarray, prior: np.ndarray) -> Model:
         """From expected counts; ``prior`` is the classes' unigram distribution."""
@@ -304,7 +309,7 @@ def _learners(c: Chunk, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def _pass_task(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, model) -> Iterator[pa.RecordBatch]:
     """One row for each class, state and for the first states: what this
     task's sequences are expected to count."""
-    m = model.value
+    m = Model(*model.value)
     k, counts, moves, begins, log = len(m.begin), None, None, None, 0.0
     for c in _chunks(batches):
         symbols, start, size = _learners(c, frequent)
@@ -351,8 +356,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(id_col, held_out, n_tokens, n_known, train_tokens, base_score,
     score)``, one row for each row; scores are log10 probabilities.
 
-    Held out are ids whose crc32 modulo 5 is 1; a null id isn't. A null or
-    blank text is its end token. Without any training text every token is
+    Held out are ids whose crc32 modulo 5 is 1; a null id isn't. Rows with
+    equal ids are documents of their own, each counted; other columns of
+    ``docs`` are left out. A null or blank text is its end token. Without any training text every token is
     unknown and has the base probability 1."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -385,7 +391,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 model = Model.learn(*expected(flat, start, size, model)[:3], prior)
     columns = [f"n{j}" for j in range(states)]
     for _ in range(passes if n else 0):
-        sent = spark.sparkContext.broadcast(model)  # classes x states, bounded by FREQUENT and BUCKETS
+        sent = spark.sparkContext.broadcast(model.arrays())  # classes x states, bounded by FREQUENT and BUCKETS
         kind = "row long, " + ", ".join(f"{c} double" for c in columns)
         got = chunks.mapInArrow(partial(_pass_task, frequent=frequent, model=sent), kind).groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
         table, row = got[columns].to_numpy(float), got["row"].to_numpy(np.int64)
@@ -398,10 +404,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # The last class is the unknown word, as likely in every state.
     model.emit = np.concatenate([model.emit, np.full((1, states), 0.5 / total)])
     rare = chunks.mapInArrow(partial(_rare_task, frequent=frequent), "word long, chunk long, at int").join(words, "word").select("chunk", "at", "c")
-    sent = spark.sparkContext.broadcast((model, mass[: len(frequent)] - 0.5, mass, total))
+    sent = spark.sparkContext.broadcast((model.arrays(), mass[: len(frequent)] - 0.5, mass, total))
 
     def score(chunk: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        model, known, mass, total = sent.value
+        arrays, known, mass, total = sent.value
+        model = Model(*arrays)
         out = []
         for row in chunk.to_dict("records"):
             classes = _array(row["classes"], np.int32).astype(np.int64)
