@@ -61,6 +61,32 @@ def test_poisson_mean(spark):
     assert n["small"] == pytest.approx(20_000, rel=0.03) and n["large"] == pytest.approx(20_000, rel=0.03)
 
 
+@pytest.mark.parametrize("small", [mixing.SMALL, 0])
+def test_null_and_repeated_ids_draw_apart(spark, monkeypatch, small):
+    """Sources whose rows have no id, or one id between them, or are all the
+    same, keep their mean; rows with an id of their own draw as ever."""
+    monkeypatch.setattr(mixing, "SMALL", small)
+    n = 6000
+    kind = F.element_at(F.array(*map(F.lit, ("none", "one", "pairs", "own"))), (F.col("id") % 4 + 1).cast("int"))
+    key = F.when(kind == "none", None).when(kind == "one", -1).when(kind == "pairs", -2 - F.floor(F.col("id") / 8)).otherwise(F.col("id"))
+    df = spark.range(4 * n).select(key.cast("long").alias("doc_id"), kind.alias("source"), F.lit("same").alias("text"))
+    out = mixing.mix_sources(df, power=0.0)
+    got = {r["source"]: r for r in out.groupBy("source").agg(F.count("*").alias("n"), F.max("_copy").alias("most")).collect()}
+    for source in ("none", "one", "pairs", "own"):
+        assert got[source]["n"] == pytest.approx(n, rel=0.06) and got[source]["most"] > 3
+    own = Counter(r["doc_id"] for r in out.filter("source = 'own'").select("doc_id").collect())
+    assert own == {i: k for i in range(3, 4 * n, 4) if (k := plain_count(1.0, i))}
+    assert mixing.mix_sources(df, power=0.0).groupBy("source").count().exceptAll(out.groupBy("source").count()).isEmpty()
+
+
+def test_names_like_the_extra_columns_stay(spark):
+    df = spark.createDataFrame([(i, "a", -i, "r", "o", "x") for i in range(50)], "doc_id long, source string, _copy long, _rate string, _order string, row string")
+    out = mixing.mix_sources(df, extras=False)
+    assert out.columns == df.columns
+    assert all(r["_copy"] == -r["doc_id"] and tuple(r)[3:] == ("r", "o", "x") for r in out.collect())
+    assert corpus_pipeline.mixing_stage(spark, df, SF).columns == df.columns
+
+
 def test_shuffle_is_global(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
     order = [r["doc_id"] for r in mixing.mix_sources(df).collect()]
@@ -191,13 +217,26 @@ def test_stages_of_odd_rows(spark, odd_docs):
     assert docs.count() > 0
 
 
-@pytest.mark.parametrize("name", [k for k in QUERIES if k != "pipeline"])
+#: The table and id of queries that return a row for each id.
+ROW_OF = dict.fromkeys(QUERIES, ("documents", "doc_id")) | {
+    "op5_lattice": ("embeddings", "vec_id"),
+    "op10_warc": ("pages", "page_id"),
+    "op13_repair": ("conversations", "conv_id"),
+}
+
+
+@pytest.mark.parametrize("name", [k for k in QUERIES if k not in ("pipeline", "op8_mix", "op11_collocations")])
 def test_queries_return_a_row_for_each_row(spark, name):
-    got = QUERIES[name](spark, SF)
-    table = {"op5_lattice": "embeddings", "op10_warc": "pages"}.get(name, "documents")
-    key = {"embeddings": "vec_id", "pages": "page_id", "documents": "doc_id"}[table]
-    n = spark.read.parquet(f"{SF}/{table}.parquet").count()
-    if name == "op8_mix":
-        assert got.count() > 0
-    else:
-        assert got.select(key).distinct().count() == n
+    table, key = ROW_OF[name]
+    ids = spark.read.parquet(f"{SF}/{table}.parquet").select(key).distinct()
+    got = QUERIES[name](spark, SF).select(key)
+    assert sorted(got.collect()) == sorted(ids.collect())
+
+
+def test_queries_with_other_rows(spark):
+    """op8 returns copies, op11 each language's phrases, ranked from 1."""
+    assert QUERIES["op8_mix"](spark, SF).count() > 0
+    ranks = {}
+    for r in QUERIES["op11_collocations"](spark, SF).select("lang", "rank").collect():
+        ranks.setdefault(r["lang"], []).append(r["rank"])
+    assert all(sorted(v) == list(range(1, len(v) + 1)) and len(v) <= 2000 for v in ranks.values())

@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize, partitions
 
+__all__ = ["hashed", "mix_sources", "poisson", "rates", "row_keys"]
+
 RATE = 16.0
 #: P(X > 80) of a Poisson number X with mean 16 is below 1e-29, smaller than a step of the hashed number.
 TAIL = 80
-#: Sources whose rates are sent to every executor; with more, they are joined.
+#: Rates of sources, or ids of several rows, that are sent to every executor; with more, they are joined.
 SMALL = 100_000
 
 
@@ -63,17 +65,43 @@ def rates(docs: DataFrame, targets: DataFrame | None = None, source_col: str = "
     return weighed.select("source", (share * F.lit(float(epochs)) * total["rows"] / F.col("n")).alias("rate"))
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", power: float = 0.5, epochs: float = 1.0, seed: int = 1) -> DataFrame:
-    """The mixture: the columns of ``docs``, then ``_copy`` (from 1),
-    ``_rate`` and ``_order`` (hash in [0, 1) of the global shuffle). Rows come
-    out in shuffled order, partition by partition.
-
-    Rows with equal ids get equal counts, a null id counts as an id of its
-    own text; all other columns pass through, nulls included, and a source is
-    only compared with itself."""
+def row_keys(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with a text ``row`` that is one row's alone: its id's, and
+    where an id is null or several rows have it, a number after the id.
+
+    Only ids are counted and shuffled. The rows that need a number get it by
+    their place in the input, while they are written to the checkpoint folder,
+    so that it stays whatever is computed again."""
+    key = F.col(id_col)
+    ids = docs.filter(key.isNotNull()).groupBy(key.alias("shared")).count().filter("count > 1").select("shared")
+    shared = materialize(ids, "shared-ids")
+    n = shared.count()
+    nameless = docs.filter(key.isNull())
+    if not n and nameless.isEmpty():
+        return docs.withColumn("row", key.cast("string"))
+    shared = F.broadcast(shared) if n <= SMALL else shared
+    named = docs.filter(key.isNotNull())
+    several = named.join(shared, key == F.col("shared"), "left_semi").unionByName(nameless)
+    several = materialize(several.withColumn("at", F.monotonically_increasing_id()), "shared-rows")
+    row = F.concat_ws("#", F.coalesce(key.cast("string"), F.lit("null")), F.col("at"))
+    own = named.join(shared, key == F.col("shared"), "left_anti").withColumn("row", key.cast("string"))
+    return own.unionByName(several.withColumn("row", row).drop("at"))
+
+
+def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", power: float = 0.5, epochs: float = 1.0, seed: int = 1, extras: bool = True) -> DataFrame:
+    """The mixture: the columns of ``docs``, then, with ``extras``, ``_copy``
+    (from 1), ``_rate`` and ``_order`` (hash in [0, 1) of the global shuffle).
+    Rows come out in shuffled order, partition by partition.
+
+    Every row has a draw of its own: an id that is one row's alone gives the
+    same count wherever the row lies; rows with a null id, or with an id that
+    other rows have as well, draw by id and place in the input. All columns
+    pass through, nulls included, whatever their names (those that are called
+    like an extra column want ``extras=False``), and a source is only compared
+    with itself. An empty table gives an empty mixture."""
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    row = F.coalesce(F.col(f"c{names.index(id_col)}").cast("string"), F.lit("null"))
+    plain = row_keys(docs.toDF(*[f"c{i}" for i in range(len(names))]), f"c{names.index(id_col)}")
+    row = F.col("row")
     per = materialize(rates(docs, targets, source_col, power, epochs), "rates")
     per = F.broadcast(per) if per.count() <= SMALL else per
     source = F.col(f"c{names.index(source_col)}")
@@ -84,4 +112,5 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str =
     copies = joined.withColumn("copy", F.explode(F.when(F.col("rate") > 0, F.sequence(F.lit(0), count)).otherwise(F.array(F.lit(0)))))
     copies = copies.filter("copy > 0").withColumn("order", hashed(F.lit("order"), F.lit(seed), row, F.col("copy")))
     shuffled = copies.repartition(partitions(docs.sparkSession), "order").sortWithinPartitions("order", "copy")
-    return shuffled.select(*[f"c{i}" for i in range(len(names))], "copy", "rate", "order").toDF(*names, "_copy", "_rate", "_order")
+    own = shuffled.select(*[f"c{i}" for i in range(len(names))], "copy", "rate", "order")
+    return own.toDF(*names, "_copy", "_rate", "_order") if extras else own.drop("copy", "rate", "order").toDF(*names)
