@@ -23,7 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints, the smallest id."""
+    """One document of each group of linked fingerprints, the smallest id,
+    with all its columns; texts without words are one group."""
     ensure_checkpoint_dir(spark)
     return simhash.keep_one(docs)
 
@@ -37,13 +38,16 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to the sources' weights, in shuffled order."""
+    """Documents repeated to the sources' weights, in shuffled order. Rows
+    with null or repeated ids draw one by one, a null source is a source, and
+    all columns of ``docs`` pass through, whatever their names."""
     ensure_checkpoint_dir(spark)
-    return mixing.mix_sources(docs).drop("_copy", "_rate", "_order")
+    return mixing.mix_sources(docs, extras=False)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every copy's text."""
+    """The ids of every copy's text, with ``doc_id`` and ``source`` of the
+    copy; a null text has no ids, repeated rows stay."""
     ensure_checkpoint_dir(spark)
     return pieces.encode(docs.select("doc_id", "source", "text"), tokenizer_file(PIECE_MODEL)).drop("text")
 
