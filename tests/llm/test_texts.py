@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -277,6 +278,30 @@ def test_encoding_is_the_librarys(model, library):
     assert [pieces.decode_ids(vocab, t) for t in want] == [library.decode(t) for t in want]
 
 
+def test_long_words(model, library):
+    """A megabyte without a break costs n log n steps, and has the library's ids."""
+    rng = random.Random(5)
+    n = 1_000_000
+    texts = [" " * n, "e" * n, "-" * n, "ab" * (n // 2), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))]
+    encoder = pieces.Encoder(pieces.Vocabulary(model))
+    for text in texts:
+        begin = time.process_time()
+        got = [i for w in next(encoder.encode([text], lambda ids: ids)) for i in w]
+        spent = time.process_time() - begin
+        assert got == library.encode(text) and spent < 30
+
+
+@pytest.mark.parametrize("alphabet", [" ", "e ", "aeh", "=-", " \t", "日本e", "é☃ \n", "the in", "."])
+def test_heap_equals_rounds_and_library(model, library, monkeypatch, alphabet):
+    rng = random.Random(alphabet)
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 400))) for _ in range(60)]
+    want = library.encode(texts)
+    for most in (0, 3, pieces.LONG, 10_000):
+        monkeypatch.setattr(pieces, "LONG", most)
+        got = [[i for w in t for i in w] for t in pieces.Encoder(pieces.Vocabulary(model)).encode(texts, lambda ids: ids)]
+        assert got == want
+
+
 def test_decoding_is_the_librarys(model, library):
     vocab, rng = pieces.Vocabulary(model), random.Random(2)
     for _ in range(1500):

@@ -10,15 +10,19 @@ words' ids one after another.
 
 Where a merged piece could take part in a better merge than its own (a rank
 better than that of a part, or ranks that tie), only the leftmost occurrence
-is merged in a round, as the library's queue would.
+is merged in a round, as the library's queue would. Rounds over a long word
+would then cost the square of its length, so that a word of more than
+``LONG`` characters (a table's run of spaces, a line of one letter) is merged
+by itself, best pair first, with a heap of its pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,7 @@ from .common import small_batches, text_rows
 
 SPACE = "▁"
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
+LONG = 256
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NEVER = np.iinfo(np.int32).max
 
@@ -96,9 +101,66 @@ class Vocabulary:
         piece = np.where(ok, self.made[at], -1)
         return piece, np.where(ok, self.rank[piece], NEVER)
 
+    @cached_property
+    def made_of(self) -> dict[int, int]:
+        """Pair -> piece, for one look-up at a time."""
+        return dict(zip(self.keys.tolist(), self.made.tolist()))
+
+
+def encode_long(vocab: Vocabulary, word: str) -> list[int]:
+    """Ids of one word by a heap of (rank, place): about n log n steps."""
+    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds, which = np.unique(points, return_inverse=True)
+    start = np.array([vocab.ids.get(chr(c), -1 - int(c)) for c in kinds], np.int64)[which]
+    n, made_of, rank_of = len(start), vocab.made_of, vocab.rank.tolist()
+    _, first = vocab.merged(start[:-1], start[1:])
+    at = np.flatnonzero(first < NEVER)
+    # rank and place in one number; a place's entry counts while its pair still has that rank
+    heap = (first[at].astype(np.int64) << 32 | at).tolist()
+    heapq.heapify(heap)
+    now = [*first.tolist(), NEVER]
+    sym, after, before = start.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+
+    def look(i: int, j: int) -> None:
+        """The pair of the symbols at ``i`` and, behind it, ``j``."""
+        piece = made_of.get(sym[i] << 32 | sym[j]) if sym[i] >= 0 and sym[j] >= 0 else None
+        if piece is None:
+            now[i] = NEVER
+        else:
+            now[i] = rank_of[piece]
+            heapq.heappush(heap, now[i] << 32 | i)
+
+    while heap:
+        top = heapq.heappop(heap)
+        i = top & 0xFFFFFFFF
+        if now[i] != top >> 32:
+            continue
+        j = after[i]
+        sym[i] = made_of[sym[i] << 32 | sym[j]]
+        now[j] = NEVER  # j is no symbol any more
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            look(i, k)
+        else:
+            now[i] = NEVER
+        if before[i] >= 0:
+            look(before[i], i)
+    out, i = [], 0
+    while i < n:
+        if sym[i] >= 0:
+            out.append(sym[i])
+        else:
+            out.extend(vocab.bytes[list(chr(-1 - sym[i]).encode("utf-8", "surrogatepass"))].tolist())
+        i = after[i]
+    return out
+
 
 def encode_words(vocab: Vocabulary, words: list[str]) -> list[list[int]]:
-    """Ids of words that no merge crosses, all in flat arrays."""
+    """Ids of words that no merge crosses, all in flat arrays but the long."""
+    if any(len(w) > LONG for w in words):
+        rest = iter(encode_words(vocab, [w for w in words if len(w) <= LONG]))
+        return [encode_long(vocab, w) if len(w) > LONG else next(rest) for w in words]
     lengths = np.array([len(w) for w in words], np.int64)
     text = "".join(words)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
