@@ -22,6 +22,7 @@ from ..operators.screening import sensor_separation
 from ..sources import tables as TB
 from ..sources import text as TX
 from ..streaming.kpis import run_stream_kpis
+from ..streaming.rolling import run_stream_stability
 from ..streaming.state import run_state_kpis
 from . import adapters as ad
 from . import quality as Q
@@ -243,6 +244,9 @@ QUERIES: dict[str, Query] = {
     # 2.12 streaming form of the daily KPIs
     "stream_yield_kpis": run_stream_kpis,
     "state_yield_kpis": run_state_kpis,
+    "stream_process_stability": lambda s, d: run_stream_stability(
+        s, d, ad.production_logs_events(s, d), ad.rca(s, d)
+    ),
     # 2.11 data quality
     "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
     "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),

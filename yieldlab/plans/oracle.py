@@ -563,3 +563,4 @@ SELECT CAST(node AS INTEGER) AS node, ['quantity', 'discount', 'tax', 'line'][f
 UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, NULL, NULL, ROUND(h, 6), ROUND(g, 6), ROUND({_LEAF.format(g="g", h="h")}, 9) FROM leaves"""
 
 ORACLE["state_yield_kpis"] = ORACLE["stream_yield_kpis"]
+ORACLE["stream_process_stability"] = ORACLE["process_stability"]
