@@ -6,6 +6,7 @@ DuckDB SQL; of the model keys it checks what holds whatever the trees are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,14 @@ from ..operators import split as S
 from ..operators import timeline as TL
 from ..operators.ordering import rolling_stats
 from ..operators.screening import sensor_separation
+from ..session import ensure_checkpoint_dir
 from ..sources import tables as TB
 from ..sources import text as TX
 from ..streaming.kpis import run_stream_kpis
 from ..streaming.rolling import run_stream_stability
 from ..streaming.state import run_state_kpis
 from . import adapters as ad
+from . import live
 from . import quality as Q
 from . import views as V
 from .end_to_end import run_yield_analysis
@@ -166,6 +169,21 @@ def _boosted_splits(s, d):
     )
 
 
+def _live(view: str) -> Query:
+    """A view over tables that three loads have filled one after another."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = f"{ensure_checkpoint_dir(spark)}/live-{uuid.uuid4().hex}"
+        live.create_tables(spark, base, "long")
+        given = [ad.predictions(spark, sf_dir), ad.rca(spark, sf_dir), ad.production_logs_events(spark, sf_dir)]
+        part = F.coalesce(F.pmod(F.unix_date(F.to_date("Timestamp")), F.lit(3)), F.lit(0))
+        for load in range(3):
+            live.append_load(spark, base, str(load), *[df.filter(part == load) for df in given])
+        return spark.sql(live.view_sql(base)[view])
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     # 2.10 views and 2.4 aggregations
     "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
@@ -247,6 +265,10 @@ QUERIES: dict[str, Query] = {
     "stream_process_stability": lambda s, d: run_stream_stability(
         s, d, ad.production_logs_events(s, d), ad.rca(s, d)
     ),
+    # 2.10 views that follow their tables
+    "live_yield_kpis": _live("v_yield_kpis"),
+    "live_high_risk_sensors": _live("v_high_risk_sensors"),
+    "live_process_stability": _live("v_process_stability"),
     # 2.11 data quality
     "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
     "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),

@@ -564,3 +564,4 @@ UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, NULL, NULL, ROUND(h, 6), ROU
 
 ORACLE["state_yield_kpis"] = ORACLE["stream_yield_kpis"]
 ORACLE["stream_process_stability"] = ORACLE["process_stability"]
+ORACLE |= {f"live_{k}": ORACLE[k] for k in ("yield_kpis", "high_risk_sensors", "process_stability")}
