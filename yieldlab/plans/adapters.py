@@ -11,6 +11,7 @@ tables (see FIXTURES.md part C). Each has a DuckDB twin in ``oracle.py``.
                        event time
 * ``label_lines``      C4: predictions rendered as label text lines
 * ``sensor_lines``     C5: sensor readings rendered as text lines
+* ``sensor_csv_lines``  the same as comma-separated lines, some of them bad
 * ``gapped_times``     C6: predictions with NULL times injected
 * ``orders_*``         larger scenario for scale: orders -> predictions,
                        lineitem -> attributions
@@ -136,6 +137,18 @@ def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sensor_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sensor_lines`` separated by commas. Every 5th unit has its fields in
+    quotes, every 17th a field too many, every 19th an unreadable first one."""
+    lines, unit = sensor_lines(spark, sf_dir), F.col("unit_no")
+    fields = F.split("value", "  ")
+    first = F.when(unit % 19 == 0, F.lit('x,"y')).otherwise(fields[0])
+    fields = F.concat(F.array(first), F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0))))
+    quoted = F.transform(fields, lambda f: F.concat(F.lit('"'), F.regexp_replace(f, '"', '""'), F.lit('"')))
+    fields = F.when((unit % 5 == 0) | (unit % 19 == 0), quoted).otherwise(fields)
+    return lines.select("unit_no", F.concat(F.concat_ws(",", fields), F.when(unit % 17 == 0, F.lit(",7")).otherwise(F.lit(""))).alias("value"))
+
+
 def gapped_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = predictions(spark, sf_dir)
     return p.select(

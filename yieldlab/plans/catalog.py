@@ -16,11 +16,14 @@ from ..operators import attribution as A
 from ..operators import boosting as BT
 from ..operators import cleaning as C
 from ..operators import metrics as M
+from ..operators import quantiles as QT
 from ..operators import split as S
 from ..operators import timeline as TL
 from ..operators.ordering import rolling_stats
 from ..operators.screening import sensor_separation
 from ..session import ensure_checkpoint_dir
+from ..sources import delimited as DL
+from ..sources import loads as LD
 from ..sources import tables as TB
 from ..sources import text as TX
 from ..streaming.kpis import run_stream_kpis
@@ -184,6 +187,71 @@ def _live(view: str) -> Query:
     return run
 
 
+def _quantile_table(s, d):
+    """Quantiles from sketches that three loads of days have written, with
+    whether each rank is within twice the stated error (five standard
+    deviations)."""
+    base = f"{ensure_checkpoint_dir(s)}/quantiles-{uuid.uuid4().hex}"
+    readings = ad.sensor_long(s, d).join(ad.unit_meta(s, d).select("unit_no", "Timestamp"), "unit_no")
+    for load in range(3):
+        part = readings.filter(F.pmod(F.unix_date(F.to_date("Timestamp")), F.lit(3)) == load)
+        QT.append_quantiles(part, base, str(load), "Timestamp")
+    found = QT.quantiles(QT.read_quantile_parts(s, base))
+    checked = QT.rank_errors(found, ad.sensor_long(s, d))
+    return checked.select(
+        "sensor_no", "p", "n_readings", "n_missing", "lowest", "highest",
+        (F.coalesce("rank_error", F.lit(0.0)) <= 2 * QT.rank_error()).alias("within"),
+    )
+
+
+def _load_violations(s, d):
+    """Rows and broken constraints of each table's load, and the rows that a
+    reader then finds."""
+    base = f"{ensure_checkpoint_dir(s)}/loads-{uuid.uuid4().hex}"
+    logs, pred, rca = ad.production_logs_events(s, d), ad.orders_predictions(s, d), ad.rca(s, d)
+    chance = F.col("Failure_Probability")
+    checks = {
+        "production_logs": (logs, LD.Checks(["Wafer_ID", "Timestamp", "Label"], key=["Wafer_ID"])),
+        "ml_predictions": (pred, LD.Checks(
+            ["Wafer_ID"], {"probability": chance.between(0, 1), "class": (F.col("Predicted_Class") == 1) == (chance >= 0.8)},
+            ["Wafer_ID"], logs, "Wafer_ID")),
+        "root_cause_analysis": (rca, LD.Checks(
+            ["Wafer_ID", "Sensor_Name", "SHAP_Value", "Rank"], {"rank": F.col("Rank") <= 2}, ["Wafer_ID"], logs, "Wafer_ID")),
+    }
+    rows = []
+    for name, (df, rules) in checks.items():
+        if name == "production_logs":
+            report = LD.load_days(df, f"{base}/{name}", checks=rules, on_violation="report")
+            found = LD.read_days(s, f"{base}/{name}").count()
+        else:
+            report = LD.load_table(df, f"{base}/{name}", rules, on_violation="report")
+            found = LD.read_current(s, f"{base}/{name}").count()
+        rows += [(name, "n_rows", report.n_rows), (name, "n_read", found)]
+        rows += [(name, check, n) for check, n in report.violations.items()]
+    return s.createDataFrame(rows, "table_name string, check_name string, n long")
+
+
+def _reloaded_kpis(s, d):
+    """Daily KPIs of a table whose every third day was first loaded wrongly
+    and then replaced by a load of those days."""
+    path = f"{ensure_checkpoint_dir(s)}/reloaded-{uuid.uuid4().hex}"
+    pred = ad.predictions(s, d)
+    third = F.pmod(F.unix_date(F.to_date("Timestamp")), F.lit(3)) == 0
+    LD.load_days(pred.withColumn("Predicted_Class", F.when(third, 1).otherwise(F.col("Predicted_Class"))), path)
+    LD.load_days(pred.filter(third), path)
+    return V.yield_kpis(LD.read_days(s, path).drop(TB.DATE_PART))
+
+
+def _sensor_csv(s, d):
+    """Comma-separated lines with quoted fields, lines of another width and
+    unreadable readings, parsed to one row a sensor."""
+    lines = ad.sensor_csv_lines(s, d)
+    parsed = DL.parse_matrix_lines(lines, DL.find_layout(lines))
+    return TX.features_to_long(
+        parsed.select("unit_no", F.col("bad_line").isNotNull().alias("is_bad"), "features"), ["unit_no", "is_bad"]
+    )
+
+
 QUERIES: dict[str, Query] = {
     # 2.10 views and 2.4 aggregations
     "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
@@ -220,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "drop_high_missing": lambda s, d: C.drop_high_missing(ad.sensor_long(s, d)),
     "impute_median": lambda s, d: C.impute_median(ad.sensor_long(s, d)),
     "drop_zero_variance": lambda s, d: C.drop_zero_variance(ad.sensor_long(s, d)),
+    "sensor_quantiles": _quantile_table,
     "clean_sensors": _clean,
     "clean_sensors_lineitem": lambda s, d: C.clean_sensors(ad.lineitem_sensor_long(s, d)),
     "remaining_missing": lambda s, d: C.remaining_missing(_clean(s, d)),
@@ -234,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "select_scored_units": _scored_units,
     # 2.1 sources and sinks, 2.3 joins
     "load_sensor_text": _sensor_text,
+    "load_sensor_csv": _sensor_csv,
     "parse_label_lines": _label_text,
     "production_logs": _production_logs,
     "attach_labels": lambda s, d: ad.sensor_long(s, d).join(
@@ -271,6 +341,8 @@ QUERIES: dict[str, Query] = {
     "live_process_stability": _live("v_process_stability"),
     # 2.11 data quality
     "table_row_counts": lambda s, d: Q.table_row_counts(_quality_tables(s, d)),
+    "load_violations": _load_violations,
+    "reloaded_yield_kpis": _reloaded_kpis,
     "key_violations": lambda s, d: Q.key_violations(_quality_tables(s, d)),
     "orphan_rows": lambda s, d: Q.orphan_rows(_quality_tables(s, d)),
 }

@@ -565,3 +565,41 @@ UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, NULL, NULL, ROUND(h, 6), ROU
 ORACLE["state_yield_kpis"] = ORACLE["stream_yield_kpis"]
 ORACLE["stream_process_stability"] = ORACLE["process_stability"]
 ORACLE |= {f"live_{k}": ORACLE[k] for k in ("yield_kpis", "high_risk_sensors", "process_stability")}
+
+
+PROBABILITIES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+
+ORACLE["sensor_quantiles"] = with_(
+    """SELECT sensor_no, CAST(p AS DOUBLE) AS p, n_readings, n_missing, lowest, highest, TRUE AS within
+FROM (SELECT sensor_no, COUNT(value) AS n_readings, COUNT(*) - COUNT(value) AS n_missing,
+    MIN(value) AS lowest, MAX(value) AS highest FROM s GROUP BY sensor_no),
+  (SELECT unnest([%s]) AS p)""" % ", ".join(map(str, PROBABILITIES)),
+    s=SENSORS,
+)
+
+ORACLE["load_violations"] = with_(
+    """SELECT t AS table_name, c AS check_name, CAST(n AS BIGINT) AS n FROM (
+SELECT 'production_logs' AS t, unnest(['n_rows', 'n_read', 'null_Wafer_ID', 'null_Timestamp', 'null_Label', 'duplicate_key']) AS c,
+  unnest([COUNT(*), COUNT(*), COUNT(*) - COUNT(Wafer_ID), COUNT(*) - COUNT(Timestamp), COUNT(*) - COUNT(Label),
+    COUNT(Wafer_ID) - COUNT(DISTINCT Wafer_ID)]) AS n FROM pl
+UNION ALL SELECT 'ml_predictions', unnest(['n_rows', 'n_read', 'null_Wafer_ID', 'broken_probability', 'broken_class', 'duplicate_key', 'orphan']),
+  unnest([COUNT(*), COUNT(*), COUNT(*) - COUNT(Wafer_ID), COUNT(*) FILTER (Failure_Probability < 0 OR Failure_Probability > 1),
+    COUNT(*) FILTER ((Predicted_Class = 1) <> (Failure_Probability >= 0.8)), COUNT(Wafer_ID) - COUNT(DISTINCT Wafer_ID),
+    COUNT(*) FILTER (Wafer_ID NOT IN (SELECT Wafer_ID FROM pl WHERE Wafer_ID IS NOT NULL))]) FROM mp
+UNION ALL SELECT 'root_cause_analysis',
+  unnest(['n_rows', 'n_read', 'null_Wafer_ID', 'null_Sensor_Name', 'null_SHAP_Value', 'null_Rank', 'broken_rank', 'duplicate_key', 'orphan']),
+  unnest([COUNT(*), COUNT(*), COUNT(*) - COUNT(Wafer_ID), COUNT(*) - COUNT(Sensor_Name), COUNT(*) - COUNT(SHAP_Value), COUNT(*) - COUNT(Rank),
+    COUNT(*) FILTER (Rank > 2), COUNT(Wafer_ID) - COUNT(DISTINCT Wafer_ID),
+    COUNT(*) FILTER (Wafer_ID NOT IN (SELECT Wafer_ID FROM pl WHERE Wafer_ID IS NOT NULL))]) FROM r)""",
+    pl=PLOGS,
+    mp=ORDERS_PRED,
+    r=RCA,
+)
+
+ORACLE["reloaded_yield_kpis"] = ORACLE["yield_kpis"]
+
+ORACLE["load_sensor_csv"] = with_(
+    """SELECT unit_no, sensor_no, unit_no % 17 = 0 OR unit_no % 19 = 0 AS is_bad,
+  CASE WHEN unit_no % 19 = 0 AND sensor_no = 1 THEN NULL ELSE value END AS value FROM s""",
+    s=SENSORS,
+)
