@@ -17,6 +17,7 @@ from ..operators import boosting as BT
 from ..operators import cleaning as C
 from ..operators import metrics as M
 from ..operators import quantiles as QT
+from ..operators import selection as SL
 from ..operators import split as S
 from ..operators import timeline as TL
 from ..operators.ordering import rolling_stats
@@ -252,6 +253,16 @@ def _sensor_csv(s, d):
     )
 
 
+def _selection_errors(s, d):
+    """Balanced errors of the selection baselines over ten folds of the
+    cleaned readings."""
+    cells = F.array_sort(F.collect_list(F.struct("sensor_no", "value")))
+    units = _clean(s, d).groupBy("unit_no").agg(F.transform(cells, lambda c: c["value"]).alias("features"))
+    found = SL.cross_validated(units.join(ad.unit_meta(s, d).select("unit_no", "Label"), "unit_no"), top=20)
+    digits = [F.round(c, 9).alias(c) for c in ("true_fail_rate", "true_pass_rate", "balanced_error_rate")]
+    return found.select("method", "fold", "n_pass", "n_fail", *digits, F.size("selected").alias("n_selected"))
+
+
 QUERIES: dict[str, Query] = {
     # 2.10 views and 2.4 aggregations
     "yield_kpis": lambda s, d: V.yield_kpis(ad.predictions(s, d)),
@@ -326,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "classification_report": lambda s, d: M.classification_report(_built_predictions(s, d)),
     "balanced_error_rate": lambda s, d: M.balanced_error_rate(_built_predictions(s, d)),
     "sensor_separation": lambda s, d: sensor_separation(_separators(s, d)),
+    "selection_errors": _selection_errors,
     "train_score_gbt": _trained,
     "tree_attribution": _additivity,
     "boosted_tree_splits": _boosted_splits,
