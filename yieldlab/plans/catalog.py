@@ -254,13 +254,20 @@ def _sensor_csv(s, d):
 
 
 def _selection_errors(s, d):
-    """Balanced errors of the selection baselines over ten folds of the
-    cleaned readings."""
+    """The selection baselines over ten folds of the cleaned readings: rows
+    that each method classified, and as flags, so that the rows can be
+    checked, what must hold of its errors."""
     cells = F.array_sort(F.collect_list(F.struct("sensor_no", "value")))
     units = _clean(s, d).groupBy("unit_no").agg(F.transform(cells, lambda c: c["value"]).alias("features"))
     found = SL.cross_validated(units.join(ad.unit_meta(s, d).select("unit_no", "Label"), "unit_no"), top=20)
-    digits = [F.round(c, 9).alias(c) for c in ("true_fail_rate", "true_pass_rate", "balanced_error_rate")]
-    return found.select("method", "fold", "n_pass", "n_fail", *digits, F.size("selected").alias("n_selected"))
+    error = F.col("balanced_error_rate")
+    mean = (F.col("true_fail_rate") + F.col("true_pass_rate")) / 2
+    agrees = error.between(0, 1) & (F.abs(error - (1 - mean)) < 1e-9)
+    return found.groupBy("method").agg(
+        F.sum("n_pass").alias("n_pass"), F.sum("n_fail").alias("n_fail"), F.bool_and(F.coalesce(agrees, F.lit(True))).alias("errors_agree"),
+        F.bool_and((F.size("selected") <= 20) & (F.size(F.array_distinct("selected")) == F.size("selected"))).alias("selected_distinct"),
+    )
+
 
 
 QUERIES: dict[str, Query] = {

@@ -603,3 +603,10 @@ ORACLE["load_sensor_csv"] = with_(
   CASE WHEN unit_no % 19 = 0 AND sensor_no = 1 THEN NULL ELSE value END AS value FROM s""",
     s=SENSORS,
 )
+
+ORACLE["selection_errors"] = with_(
+    """SELECT method, COUNT(*) FILTER (Label = 0) AS n_pass, COUNT(*) FILTER (Label = 1) AS n_fail,
+  TRUE AS errors_agree, TRUE AS selected_distinct
+FROM u, (SELECT unnest(['s2n', 'ttest', 'pearson', 'ftest', 'gram_schmidt']) AS method) GROUP BY method""",
+    u=UNIT_META,
+)
