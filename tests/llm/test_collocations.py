@@ -138,3 +138,67 @@ def test_words_are_told_apart_by_their_bytes():
     for h in (hashes, hashes & hashes.dtype.type(3)):  # also when hashes clash
         code, one = C._distinct(joined, starts, ends, h)
         assert len(one) == len(set(words)) and all(words[one[c]] == w for c, w in zip(code, words))
+
+
+def test_words_and_ends_of_pieces():
+    """Any gaps: words, and after which of them a piece ends."""
+    rng = random.Random(11)
+    for _ in range(300):
+        text = "".join(rng.choice("aB\0 \t\n.,;\x0b") for _ in range(rng.randrange(0, 30)))
+        pieces = [re.findall("[^ \t]+", p) for p in re.split("[.,;:!?\n\x0b\x0c\r]", lower(text))]
+        words = [w.encode() for p in pieces for w in p]
+        last = [i == len(p) - 1 for p in pieces for i in range(len(p))]
+        for split in (C.word_spans, C.split_words):
+            data, starts, ends, apart = split(text.encode())
+            assert [data[x:y] for x, y in zip(starts, ends)] == words and apart.tolist() == last
+        assert data.rstrip(b"\0") == b" ".join(words).rstrip(b"\0")
+
+
+def test_scans_carry_numbers_only(spark, monkeypatch):
+    """The counts of a scan are keyed by hash, and what is noted isn't counted
+    again; phrases are moved once, at the end."""
+    made = {}
+    real = C.materialize
+
+    def spy(df, label):
+        made[label] = real(df, label)
+        made[label].cache().count()
+        return made[label]
+
+    monkeypatch.setattr(C, "materialize", spy)
+    rows = [("en", "often seen words")] * 400 + [("en", f"rare{i} words") for i in range(40)]
+    out = C.frequent_phrases(spark.createDataFrame(rows, "lang string, text string").coalesce(1), 20, shards=2)
+    plain, _ = counts(rows)
+    assert {bytes(r["phrase"]).decode(): r["a"] for r in out.filter("k > 0").collect()} == {" ".join(p): a for p, a in plain["en"].items() if a >= 20}
+    scans = [t for label, t in made.items() if label.startswith("scan")]
+    assert len(scans) > 2 and all(set(t.dtypes) == {("hash", "bigint"), ("since", "smallint"), ("a", "bigint")} for t in scans)
+    # three words, two pairs and one triple reach the threshold, each in one scan only
+    assert sum(t.filter("a >= 20").count() for t in scans) == 6
+    for t in made.values():
+        t.unpersist()
+
+
+def test_last_pass_sums_a_task(monkeypatch):
+    """One row a phrase for all texts of a task, however they are cut; with
+    little room the sums are the same."""
+    import zlib
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    rows = sample(rng, 60)
+    texts = [(lang or "und", text.encode()) for lang, text in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in texts]), pa.array([y for _, y in texts], pa.binary())], ["lang", "text"])
+    notes = SimpleNamespace(value=zlib.compress(bytes(1 << 16)))  # all noted
+    plain, n = counts(rows)
+    want = {(lang, " ".join(p)): a for lang, f in plain.items() for p, a in f.items()} | {(lang, ""): a for lang, a in n.items()}
+    monkeypatch.setattr(C, "CHUNK_BYTES", 500)
+    for held in (10**6, 100):
+        monkeypatch.setattr(C, "HELD", held)
+        found, made = defaultdict(int), 0
+        for out in C._last_pass(notes, 5)(iter([batch])):
+            for r in out.to_pylist():
+                found[r["lang"], r["phrase"].decode()] += r["a"]
+                made += 1
+        assert found == want and (made == len(want)) == (held == 10**6)

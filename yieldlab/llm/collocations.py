@@ -4,16 +4,20 @@ Documents are dealt into shards, which are scanned in a cycle. Single words are
 counted from the first scan on. After each scan the phrases whose count has
 just reached the threshold are noted; from the next scan on, a longer phrase is
 counted if both phrases that it is made of (all but its last word, all but its
-first) have been noted, whatever its length. Each phrase is counted for one
-full cycle from the scan at which it began, so its count is exact; the scans
+first) have been noted, whatever its length. Each phrase is counted from the
+scan at which it began until it is noted, for one full cycle at most; the scans
 end when no phrase is in its cycle and nothing new was noted.
 
+These counts are by 64-bit hash. Phrases that share one can only be noted too
+early, never missed: their counts add up. One more pass over all documents then
+counts the noted phrases themselves, by their bytes; these counts are exact.
+
 The notes are a table of ``1 << SLOT_BITS`` bytes, whatever the corpus: each
 noted phrase marks three slots, chosen by its hash, with the number of the scan,
 and a phrase counts as noted from the latest of its slots' numbers on, but not
-before it began. Slots shared by chance make a phrase begin too early, which costs work but no
-exactness: phrases themselves, not hashes, are the keys of the counts. New
-slots of a scan come to the driver as bit maps (at most a bit a slot).
+before it began. Slots shared by chance make a phrase be noted too early, which
+costs work but no exactness. New slots of a scan come to the driver as bit maps
+(at most a bit a slot).
 
 Counts of a scan are summed inside tasks, then by a shuffle together with those
 of phrases still in their cycle; those that end it below the threshold go.
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +43,8 @@ THRESHOLD, LONGEST, TOP = 100, 5, 2000
 SHARDS, SLOT_BITS = 4, 24
 #: Bytes of text counted together.
 CHUNK_BYTES = 16 << 20
+#: Phrases that a task of the last pass sums before they are shuffled.
+HELD = 500_000
 NEVER = 255
 #: Longer words and phrases are hashed and compared one by one.
 FAR_APART = 512
@@ -47,9 +53,13 @@ MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 #: A-Z to a-z, a tab to a space, and all that ends a piece to a line feed.
 NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
-COUNTS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()), T.StructField("k", T.ByteType()),
-    T.StructField("hash", T.LongType()), T.StructField("since", T.ShortType()), T.StructField("a", T.LongType()),
+#: Shifts of a hash to its slots. Its lowest bit isn't in them: it is 0 for
+#: phrases of the longest length, which no other begins after.
+SHIFTS = (1, 20, 40)
+
+COUNTS = T.StructType([T.StructField("hash", T.LongType()), T.StructField("since", T.ShortType()), T.StructField("a", T.LongType())])
+PHRASES = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()), T.StructField("k", T.ByteType()), T.StructField("a", T.LongType()),
 ])
 
 
@@ -58,21 +68,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def word_spans(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The normalised text, then eight zero bytes; its words' starts and ends
+    in it; for each whether a piece ends after it."""
+    normal = text.translate(NORMAL)
+    plain = np.frombuffer(normal, np.uint8)
+    word = np.zeros(len(plain) + 2, bool)
+    word[1:-1] = (plain != 32) & (plain != 10)
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    apart = np.zeros(len(starts) + 1, bool)
+    apart[np.searchsorted(starts, np.flatnonzero(plain == 10))] = True  # the words before each end of a piece
+    apart[-1] = True
+    return normal + bytes(8), starts, ends, apart[1:]
+
+
 def split_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """Normalised words joined by single spaces, then eight zero bytes; their
     starts and ends in it; for each whether a piece ends after it."""
-    plain = np.frombuffer(text.translate(NORMAL), np.uint8)
-    gap = (plain == 32) | (plain == 10)
-    word = ~gap
-    first = np.flatnonzero(word & np.append(True, gap[:-1]))
-    last = np.flatnonzero(word & np.append(gap[1:], True))
+    normal, first, end, apart = word_spans(text)
     if not len(first):
-        return b"", first, last, np.zeros(0, bool)
-    ends = np.cumsum(plain == 10)
-    apart = np.append(ends[first[1:]] > ends[last[:-1]], True)
-    word[first[1:] - 1] = True  # one byte of each gap stays
-    joined = np.where(gap, np.uint8(32), plain)[word]
-    length = last - first + 1
+        return b"", first, end, apart
+    plain = np.frombuffer(normal, np.uint8)
+    gap = (plain == 32) | (plain == 10)
+    keep = ~gap
+    keep[-8:] = False
+    keep[first[1:] - 1] = True  # one byte of each gap stays
+    joined = np.where(gap, np.uint8(32), plain)[keep]
+    length = end - first
     starts = np.append(0, np.cumsum(length + 1)[:-1])
     return joined.tobytes() + bytes(8), starts, starts + length, apart
 
@@ -80,8 +103,8 @@ def split_words(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
 def _noted(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The scan at whose end each phrase counts as noted, or ``NEVER``."""
     mask = np.uint64(len(table) - 1)
-    out = table[hashes & mask]
-    for shift in (20, 40):  # most phrases end at their first slot
+    out = table[(hashes >> np.uint64(SHIFTS[0])) & mask]
+    for shift in SHIFTS[1:]:  # most phrases end at their first slot
         maybe = np.flatnonzero(out != NEVER)
         out[maybe] = np.maximum(out[maybe], table[(hashes[maybe] >> np.uint64(shift)) & mask])
     return out
@@ -143,24 +166,14 @@ def _distinct(joined: bytes, begin: np.ndarray, end: np.ndarray, hashes: np.ndar
     return code, example
 
 
-def count_chunk(text: bytes, seed: int, table: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
-    """Counts ``(k, phrases, hashes, since, a)`` of the phrases that are in
-    their cycle at this scan, by length."""
-    joined, starts, ends, apart = split_words(text)
-    n = len(starts)
-    if not n:
-        return
-
-    def counted(k: int, at: np.ndarray, hashes: np.ndarray, since: np.ndarray) -> tuple:
-        begin, end = starts[at], ends[at + k - 1]
-        code, one = _distinct(joined, begin, end, hashes)
-        phrases = [joined[x:y] for x, y in zip(begin[one].tolist(), end[one].tolist())]
-        return k, phrases, hashes[one], since[one].astype(np.int16), np.bincount(code, minlength=len(one))
-
-    word_hash = word_hashes(joined, starts, ends, seed)
-    if scan < shards:
-        yield counted(1, np.arange(n), word_hash, np.zeros(n, np.int16))
-    here, at_noted = word_hash, _noted(table, word_hash).astype(np.int16)
+def _places(word_hash: np.ndarray, apart: np.ndarray, table: np.ndarray, scan: int, longest: int) -> Iterator[tuple]:
+    """``(k, at, hashes, began, noted)`` of the phrases that have begun by
+    this scan, by length: the word they start at, their hash, the scan at which
+    they began and the one at whose end they count as noted, or ``NEVER``."""
+    n, one = len(word_hash), np.uint64(1)
+    here = word_hash | one if longest > 1 else word_hash & ~one
+    at_noted = _noted(table, here).astype(np.int16)
+    yield 1, np.arange(n), here, np.zeros(n, np.int16), at_noted
     whole = np.ones(n, bool)
     for k in range(2, longest + 1):
         if n < k:
@@ -170,17 +183,62 @@ def count_chunk(text: bytes, seed: int, table: np.ndarray, scan: int, shards: in
         at = np.flatnonzero(whole & (began <= scan))
         if not len(at):
             return
-        phrase = _mix(here[at] + word_hash[at + k - 1] * np.uint64(2 * k + 1))
-        due = np.flatnonzero(scan < began[at] + shards)
-        if len(due):
-            yield counted(k, at[due], phrase[due], began[at[due]])
-        if k == longest:
-            return
+        phrase, began = _mix(here[at] + word_hash[at + k - 1] * np.uint64(2 * k + 1)), began[at]
+        phrase = phrase | one if k < longest else phrase & ~one
+        # not before it began itself: slots may have been marked by other phrases
+        noted = np.maximum(_noted(table, phrase), began)
+        yield k, at, phrase, began, noted
         here = np.zeros(n - k + 1, np.uint64)
         here[at] = phrase
         at_noted = np.full(n - k + 1, NEVER, np.int16)
-        # not before it began itself: slots may have been marked by other phrases
-        at_noted[at] = np.maximum(_noted(table, phrase), began[at])
+        at_noted[at] = noted
+
+
+def count_chunk(text: bytes, seed: int, table: np.ndarray, scan: int, shards: int, longest: int) -> Iterator[tuple]:
+    """Counts ``(hashes, since, a)`` of the phrases that are in their cycle at
+    this scan and aren't noted yet."""
+    normal, starts, ends, apart = word_spans(text)
+    if not len(starts):
+        return
+    for _, _, hashes, began, noted in _places(word_hashes(normal, starts, ends, seed), apart, table, scan, longest):
+        due = np.flatnonzero((scan < began + shards) & (noted == NEVER))
+        hashes, began = hashes[due], began[due]
+        for since in range(max(scan - shards + 1, 0), scan + 1):
+            found, a = np.unique(hashes[began == since], return_counts=True)
+            if len(found):
+                yield found, since, a
+
+
+def count_noted(text: bytes, seed: int, table: np.ndarray, longest: int) -> Iterator[tuple]:
+    """Counts ``(k, phrases, a)`` of the phrases that are noted at the end, by
+    their bytes, and all words as the empty phrase with ``k`` 0."""
+    joined, starts, ends, apart = split_words(text)
+    if not len(starts):
+        return
+    yield 0, [b""], np.array([len(starts)])
+    for k, at, hashes, _, noted in _places(word_hashes(joined, starts, ends, seed), apart, table, NEVER, longest):
+        at, hashes = at[noted != NEVER], hashes[noted != NEVER]
+        if len(at):
+            begin, end = starts[at], ends[at + k - 1]
+            code, one = _distinct(joined, begin, end, hashes)
+            yield k, [joined[x:y] for x, y in zip(begin[one].tolist(), end[one].tolist())], np.bincount(code, minlength=len(one))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Texts ``(lang, text)`` of a language joined to pieces of work."""
+    waiting: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                waiting.setdefault(lang, []).append(text)
+                size += len(text)
+                if size >= CHUNK_BYTES:
+                    yield from ((x, b"\n".join(texts)) for x, texts in waiting.items())
+                    waiting.clear()
+                    size = 0
+    yield from ((x, b"\n".join(texts)) for x, texts in waiting.items())
 
 
 def _scan(notes, scan: int, shards: int, longest: int):
@@ -188,30 +246,39 @@ def _scan(notes, scan: int, shards: int, longest: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(zlib.decompress(notes.value), np.uint8)
-        schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("k", pa.int8()), ("hash", pa.int64()), ("since", pa.int16()), ("a", pa.int64())])
-        waiting: dict[str, list[bytes]] = {}
-        size = 0
+        for lang, text in _chunks(batches):
+            for hashes, since, a in count_chunk(text, zlib.crc32(lang.encode()), table, scan, shards, longest):
+                for i in range(0, len(hashes), 100_000):
+                    part = hashes[i : i + 100_000].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), since, np.int16)), pa.array(a[i : i + 100_000].astype(np.int64))], ["hash", "since", "a"])
+
+    return run
+
+
+def _last_pass(notes, longest: int):
+    """Documents ``(lang, text)`` -> counts of noted phrases, summed over a
+    task's texts as far as ``HELD`` phrases allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(zlib.decompress(notes.value), np.uint8)
+        schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("k", pa.int8()), ("a", pa.int64())])
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in waiting.items():
-                for k, phrases, hashes, since, a in count_chunk(b"\n".join(texts), zlib.crc32(lang.encode()), table, scan, shards, longest):
-                    for i in range(0, len(phrases), 100_000):
-                        j = min(i + 100_000, len(phrases))
-                        yield pa.RecordBatch.from_arrays([
-                            pa.repeat(lang, j - i), pa.array(phrases[i:j], pa.binary()), pa.array(np.full(j - i, k, np.int8)),
-                            pa.array(hashes[i:j].view(np.int64)), pa.array(since[i:j]), pa.array(a[i:j].astype(np.int64)),
-                        ], schema=schema)
-            waiting.clear()
-
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    waiting.setdefault(lang, []).append(text)
-                    size += len(text)
-                    if size >= CHUNK_BYTES:
-                        yield from flush()
-                        size = 0
+            for (lang, k), counts in held.items():
+                phrases, a = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                for i in range(0, len(phrases), 100_000):
+                    part = phrases[i : i + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(part)), pa.array(part, pa.binary()), pa.array(np.full(len(part), k, np.int8)), pa.array(a[i : i + 100_000])], schema=schema)
+            held.clear()
+
+        for lang, text in _chunks(batches):
+            for k, phrases, a in count_noted(text, zlib.crc32(lang.encode()), table, longest):
+                counts = held.setdefault((lang, k), {})
+                for phrase, n in zip(phrases, a.tolist()):
+                    counts[phrase] = counts.get(phrase, 0) + n
+            if sum(map(len, held.values())) > HELD:
+                yield from flush()
         yield from flush()
 
     return run
@@ -235,51 +302,50 @@ def frequent_phrases(
     rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards))).write.option("compression", "zstd").partitionBy("shard").parquet(folder)
     shard_of = spark.read.schema("lang string, text binary, shard int").parquet(folder)
     notes = np.full(1 << slot_bits, NEVER, np.uint8)
-    live, done, tables, scan, last = None, [], [], 0, -1
+    live, tables, scan, last = None, [], 0, -1
     while scan < shards or scan <= last + shards:
         sent = spark.sparkContext.broadcast(zlib.compress(notes.tobytes(), 1))
         part = shard_of.filter(F.col("shard") == scan % shards).select("lang", "text")
-        new = part.mapInArrow(_scan(sent, scan, shards, longest), COUNTS).withColumn("before", F.lit(0).cast("long"))
-        both = new if live is None else new.unionByName(live.withColumn("before", F.col("a")))
-        summed = both.groupBy("lang", "phrase").agg(*[F.max(c).alias(c) for c in ("k", "hash", "since")], F.sum("a").alias("a"), F.sum("before").alias("before"))
-        summed = summed.withColumn("over", F.col("since") + shards - 1 <= scan).withColumn("new", (F.col("a") >= threshold) & (F.col("before") < threshold))
-        # Words below the threshold stay, for the sum of all words.
-        now = materialize(summed.drop("before").filter(~F.col("over") | (F.col("a") >= threshold) | (F.col("k") == 1)), f"scan{scan}")
-        if _note(spark, now.filter((F.col("k") < longest) & F.col("new")), notes, scan, slot_bits):
+        new = part.mapInArrow(_scan(sent, scan, shards, longest), COUNTS)
+        both = new if live is None else new.unionByName(live)
+        summed = both.groupBy("hash").agg(F.max("since").alias("since"), F.sum("a").alias("a"))
+        # what is noted is counted no more; what ended its cycle goes
+        now = materialize(summed.filter((F.col("a") >= threshold) | (F.col("since") + shards - 1 > scan)), f"scan{scan}")
+        if _note(now.filter(F.col("a") >= threshold), notes, scan, slot_bits):
             last = scan
-        done.append(now.filter("over"))
-        live = now.filter("not over").select(*COUNTS.names)
+        live = now.filter(F.col("a") < threshold)
         tables.append(now)
         sent.destroy()
         if scan >= NEVER - 1:
             raise ValueError("too many scans for one byte: use fewer shards")
         scan += 1
-    ended = done[0]
-    for d in done[1:]:
-        ended = ended.unionByName(d)
-    total = ended.filter("k = 1").groupBy("lang").agg(F.sum("a").alias("a")).select("lang", F.lit(b"").alias("phrase"), F.lit(0).cast("byte").alias("k"), "a")
-    out = materialize(ended.filter(F.col("a") >= threshold).select("lang", "phrase", "k", "a").unionByName(total), "phrases")
+    sent = spark.sparkContext.broadcast(zlib.compress(notes.tobytes(), 1))
+    # few tasks, as each has a row for nearly every phrase
+    few = shard_of.select("lang", "text").coalesce(2 * spark.sparkContext.defaultParallelism)
+    counts = few.mapInArrow(_last_pass(sent, longest), PHRASES)
+    counts = counts.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("a").alias("a"))
+    out = materialize(counts.filter((F.col("a") >= threshold) | (F.col("k") == 0)), "phrases")
+    sent.destroy()
     drop_table(spark, shard_of)
     for t in tables:
         drop_table(spark, t)
     return out
 
 
-def _note(spark: SparkSession, rows: DataFrame, notes: np.ndarray, scan: int, slot_bits: int) -> bool:
-    """Mark the slots of newly frequent phrases that aren't marked yet."""
+def _note(rows: DataFrame, notes: np.ndarray, scan: int, slot_bits: int) -> bool:
+    """Mark the slots of newly frequent phrases that aren't marked yet; whether
+    there are any that longer ones may begin after."""
     mask = (1 << slot_bits) - 1
-
-    def slot(shift: int) -> Column:
-        return F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit(mask))
+    slots = F.array(*[F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit(mask)) for shift in SHIFTS])
 
     # a bucket of a bit map holds the numbers from 1 on
-    slots = rows.select(F.explode(F.array(slot(0), slot(20), slot(40))).alias("slot")).select((F.col("slot") + 1).alias("slot"))
-    maps = slots.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    slots = rows.select(F.col("hash").bitwiseAND(F.lit(1)).alias("longer"), F.explode(slots).alias("slot")).withColumn("slot", F.col("slot") + 1)
+    maps = slots.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"), F.max("longer").alias("longer")).collect()
     for r in maps:
         at = np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + (r["b"] - 1) * 32768
         at = at[notes[at] == NEVER]
         notes[at] = scan
-    return bool(maps)
+    return any(r["longer"] for r in maps)
 
 
 def collocations(
