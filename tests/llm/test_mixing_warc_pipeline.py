@@ -229,7 +229,13 @@ ROW_OF = dict.fromkeys(QUERIES, ("documents", "doc_id")) | {
 def test_queries_return_a_row_for_each_row(spark, name):
     table, key = ROW_OF[name]
     ids = spark.read.parquet(f"{SF}/{table}.parquet").select(key).distinct()
-    got = QUERIES[name](spark, SF).select(key)
+    got = QUERIES[name](spark, SF)
+    if name == "op9_section_tokens":  # a row for each line: every id, and each of its sections once
+        sections = got.select(key, "section")
+        assert sections.count() == sections.distinct().count()
+        got = got.select(key).distinct()
+    else:
+        got = got.select(key)
     assert sorted(got.collect()) == sorted(ids.collect())
 
 
